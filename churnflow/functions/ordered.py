@@ -1,4 +1,4 @@
-"""Prefix sums and order statistics that never put a whole column into one task."""
+"""Order statistics that never put a whole column into one task."""
 
 from __future__ import annotations
 
@@ -8,48 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def totals_below(
-    df: DataFrame, group: str, value: str, measure: str, groups: int, ranges: int = 256
-) -> DataFrame:
-    """Adds ``below``: the sum of ``measure`` over rows of the same group with a smaller ``value``.
-
-    ``df`` holds at most one row per (group, value) and ``groups`` distinct groups. The values of
-    a group are cut into about ``ranges`` intervals of equal row count; a window runs inside one
-    interval only, and the totals of the intervals (at most groups * (ranges + 1) rows, so safe to
-    broadcast) supply the rest.
-    """
-    if groups > 1000:
-        raise ValueError(f"{groups} groups; the broadcast tables are sized for at most 1000")
-    cuts = df.groupBy(group).agg(
-        F.percentile_approx(
-            value, [i / ranges for i in range(1, ranges)], 20 * ranges
-        ).alias("cuts")
-    )
-    ranged = (
-        df.join(F.broadcast(cuts), group)
-        .withColumn("range_id", F.size(F.filter("cuts", lambda cut: cut < F.col(value))))
-        .drop("cuts")
-    )
-    earlier = Window.partitionBy(group).orderBy("range_id").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        ranged.groupBy(group, "range_id")
-        .agg(F.sum(measure).alias("range_total"))
-        .select(
-            group, "range_id", F.coalesce(F.sum("range_total").over(earlier), F.lit(0)).alias("offset")
-        )
-    )
-    inside = Window.partitionBy(group, "range_id").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    return (
-        ranged.join(F.broadcast(offsets), [group, "range_id"])
-        .withColumn("below", F.col("offset") + F.coalesce(F.sum(measure).over(inside), F.lit(0)))
-        .drop("range_id", "offset")
-    )
-
-
 def exact_medians(df: DataFrame, columns: Mapping[str, Column], accuracy: int = 10_000) -> dict:
     """Exact median of the non-null values of each column (mean of the middle two if even).
 

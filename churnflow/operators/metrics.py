@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnflow.functions.cells import cell
-from churnflow.functions.ordered import totals_below
 
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
 
@@ -69,40 +68,76 @@ def score_histogram(df: DataFrame, label: str, scores: Mapping[str, str]) -> Dat
     )
 
 
-def roc_auc(histogram: DataFrame, models: int) -> DataFrame:
-    """(model, roc_auc): the exact rank statistic, ties count half; null if a class is absent."""
-    ranked = totals_below(histogram, "model", "score", "neg", models)
-    won = F.col("pos").cast("double") * (F.col("below").cast("double") + F.col("neg").cast("double") / 2.0)
-    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return ranked.groupBy("model").agg(F.when(pairs > 0, F.sum(won) / pairs).alias("roc_auc"))
+def _with_intervals(
+    histogram: DataFrame, df: DataFrame, scores: Mapping[str, str], intervals: int
+) -> DataFrame:
+    """Adds ``range_id``, the interval of scores a row of the histogram falls into.
 
+    The cuts are quantiles of the scores, found in one pass over all models. They only balance
+    the work: any cuts give the same metrics.
+    """
+    shares = [i / intervals for i in range(1, intervals)]
+    cuts = F.lit(None)
+    for model, column in scores.items():
+        of_model = df.agg(F.percentile_approx(cell(column).cast("double"), shares, 10 * intervals))
+        cuts = F.when(F.col("model") == model, of_model.scalar()).otherwise(cuts)
+    return (
+        histogram.withColumn("cuts", cuts)
+        .withColumn("range_id", F.size(F.filter("cuts", lambda cut: cut < F.col("score"))))
+        .drop("cuts")
+    )
 
-def classification_metrics(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
-    """One row per model: n, tp, fp, fn, tn, accuracy, precision, recall, f1_score, roc_auc."""
-    histogram = score_histogram(df, label, scores)
-    hit = F.col("score") > 0.5
 
-    def total(column: str, where: Column) -> Column:
-        return F.sum(F.when(where, F.col(column)).otherwise(0)).alias(
-            {("pos", True): "tp", ("neg", True): "fp", ("pos", False): "fn", ("neg", False): "tn"}[
-                column, where is hit
-            ]
-        )
+def classification_metrics(
+    df: DataFrame, label: str, scores: Mapping[str, str], intervals: int = 256
+) -> DataFrame:
+    """One row per model: n, tp, fp, fn, tn, accuracy, precision, recall, f1_score, roc_auc.
 
-    miss = ~hit
-    counts = histogram.groupBy("model").agg(
-        total("pos", hit), total("neg", hit), total("pos", miss), total("neg", miss)
+    ROC AUC is the exact rank statistic (ties count half; null if a class is absent). The ranks
+    are running totals over distinct scores. They are taken inside intervals of scores, so no
+    task sorts a whole model, and what lies below an interval is added once per interval.
+    """
+    inside = Window.partitionBy("model", "range_id").orderBy("score").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    threshold = threshold_metrics()
-    return (
-        counts.join(F.broadcast(roc_auc(histogram, len(scores))), "model")
-        .select(
-            "model",
-            (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"),
-            "tp", "fp", "fn", "tn",
-            *[expression.alias(name) for name, expression in threshold.items()],
-            "roc_auc",
+    earlier = Window.partitionBy("model").orderBy("range_id").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+
+    def before(measure: str, window) -> Column:
+        return F.coalesce(F.sum(measure).over(window), F.lit(0)).cast("double")
+
+    def hits(measure: str) -> Column:
+        return F.sum(F.when(predicted_class(F.col("score")) == 1, F.col(measure)).otherwise(0))
+
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    by_interval = (
+        _with_intervals(score_histogram(df, label, scores), df, scores, intervals)
+        .withColumn("won", pos * (before("neg", inside) + neg / 2.0))
+        .groupBy("model", "range_id")
+        .agg(
+            F.sum("pos").alias("pos"),
+            F.sum("neg").alias("neg"),
+            F.sum("won").alias("won"),
+            hits("pos").alias("tp"),
+            hits("neg").alias("fp"),
         )
+        .withColumn("won", F.col("won") + pos * before("neg", earlier))
+    )
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    counts = by_interval.groupBy("model").agg(
+        F.sum("tp").alias("tp"),
+        F.sum("fp").alias("fp"),
+        (F.sum("pos") - F.sum("tp")).alias("fn"),
+        (F.sum("neg") - F.sum("fp")).alias("tn"),
+        F.when(pairs > 0, F.sum("won") / pairs).alias("roc_auc"),
+    )
+    return counts.select(
+        "model",
+        (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"),
+        "tp", "fp", "fn", "tn",
+        *[expression.alias(name) for name, expression in threshold_metrics().items()],
+        "roc_auc",
     )
 
 
