@@ -4,44 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
-def exact_medians(df: DataFrame, columns: Mapping[str, Column], accuracy: int = 10_000) -> dict:
+def exact_medians(
+    df: DataFrame, columns: Mapping[str, Column], also: Sequence[Column] = (), accuracy: int = 10_000
+) -> tuple[dict[str, float | None], Row]:
     """Exact median of the non-null values of each column (mean of the middle two if even).
 
     One pass sketches an interval around the middle of each column; a second pass counts the
     values below it and the distinct values inside it, so only a sliver of the data is shuffled.
     The ranks found are checked against the counts; an interval that missed is widened, in the
-    end to the whole column. A column without values yields None.
+    end to the whole column. A column without values yields None. The aggregates in ``also`` are
+    computed in the first pass and returned as a row.
     """
-    numbers = df.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(columns.values())])
-    todo = set(numbers.columns)
+    keys = [f"c{i}" for i in range(len(columns))]
+    numbers = df.select("*", *[c.cast("double").alias(k) for k, c in zip(keys, columns.values())])
+    todo, extra = set(keys), None
     medians: dict[str, float | None] = {}
     margin = 2.0 / accuracy
     while todo:
-        sizes, limits = _middle_intervals(numbers, sorted(todo), margin, accuracy)
+        sizes, limits, row = _middle_intervals(numbers, sorted(todo), margin, accuracy, also if extra is None else ())
+        extra = row if extra is None else extra
         medians |= {c: None for c in todo if not sizes[c]}
         if limits:
             medians |= _medians_inside(numbers, sizes, limits)
         todo -= medians.keys()
         margin *= 16
-    return {name: medians[f"c{i}"] for i, name in enumerate(columns)}
+    return {name: medians[k] for k, name in zip(keys, columns)}, extra
 
 
-def _middle_intervals(numbers: DataFrame, columns: Sequence[str], margin: float, accuracy: int):
+def _middle_intervals(numbers: DataFrame, keys: Sequence[str], margin: float, accuracy: int, also):
     def interval(c):
         if margin >= 0.5:
             return F.array(F.min(c), F.max(c))
         return F.percentile_approx(c, [0.5 - margin, 0.5 + margin], accuracy)
 
     row = numbers.agg(
-        *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[interval(c).alias(f"i_{c}") for c in columns],
+        *[F.count(c).alias(f"n_{c}") for c in keys], *[interval(c).alias(f"i_{c}") for c in keys], *also
     ).first()
-    sizes = {c: row[f"n_{c}"] for c in columns}
-    return sizes, {c: tuple(row[f"i_{c}"]) for c in columns if sizes[c]}
+    sizes = {c: row[f"n_{c}"] for c in keys}
+    return sizes, {c: tuple(row[f"i_{c}"]) for c in keys if sizes[c]}, row
 
 
 def _medians_inside(numbers: DataFrame, sizes: Mapping[str, int], limits: Mapping[str, tuple]) -> dict:

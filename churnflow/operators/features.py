@@ -133,26 +133,21 @@ def numeric_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, NumericSta
     filling needs no pass of its own.
     """
     values = {c: number(df, c) for c in columns}
-    moments = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[
-            agg(v).alias(f"{name}{i}")
-            for i, v in enumerate(values.values())
-            for name, agg in (
-                ("n", F.count),
-                ("mean", F.avg),
-                ("var", F.var_pop),
-                ("inf", lambda v: F.count_if(F.abs(v) == math.inf)),
-            )
-        ],
-    ).first()
-    for i, c in enumerate(columns):
-        if moments[f"n{i}"] == 0:
+    also = [F.count(F.lit(1)).alias("rows")]
+    for i, v in enumerate(values.values()):
+        also += [
+            F.count(v).alias(f"n{i}"),
+            F.avg(v).alias(f"mean{i}"),
+            F.var_pop(v).alias(f"var{i}"),
+            F.count_if(F.abs(v) == math.inf).alias(f"inf{i}"),
+        ]
+    medians, moments = exact_medians(df, values, also)
+    stats = {}
+    for i, (c, median) in enumerate(medians.items()):
+        if median is None:
             raise ValueError(f"Numerical column '{c}' has no values to fit on.")
         if moments[f"inf{i}"]:
             raise ValueError(f"Numerical column '{c}' contains infinity.")
-    stats = {}
-    for i, (c, median) in enumerate(exact_medians(df, values).items()):
         filled = moments[f"n{i}"] / moments["rows"]
         gaps = 1.0 - filled
         mean = filled * moments[f"mean{i}"] + gaps * median

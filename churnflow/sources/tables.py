@@ -83,5 +83,7 @@ def append_table(df: DataFrame, path: str) -> str:
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Export with a header row; the number of files follows the partitions."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
     return path

@@ -101,15 +101,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def view_over(spark: SparkSession, name: str, **inputs: DataFrame) -> DataFrame:
+    """A view over given frames, batch or streaming."""
+    return spark.sql(VIEWS[name], **inputs)
+
+
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A view over the Parquet tables of ``folder`` as a lazy DataFrame."""
-    text = VIEWS[name]
     inputs = {
         source: view(spark, folder, source) if source in VIEWS else table(spark, folder, source)
         for source in (*VIEWS, *TABLES)
-        if "{" + source + "}" in text
+        if "{" + source + "}" in VIEWS[name]
     }
-    return spark.sql(text, **inputs)
+    return view_over(spark, name, **inputs)
 
 
 def view_sql(name: str) -> str:
