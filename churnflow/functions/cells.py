@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,3 +70,34 @@ def number(df: DataFrame, name: str) -> Column:
         return value
     text = stripped(cell(name))
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
+def with_parsed(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """The frame with its text columns parsed once, and per name the column of double values.
+
+    Rules that look at a number several times would otherwise parse its text each time.
+    """
+    helper = {c: f"__parsed_{c}" for c in names if is_text(df, c)}
+    wide = df.withColumns({h: parsed_number(df, c) for c, h in helper.items()}) if helper else df
+    return wide, {c: cell(helper[c]) if c in helper else parsed_number(df, c) for c in names}
+
+
+def literal(value: str | int | bool | None) -> str:
+    """A value as a SQL literal; whole numbers are bigint."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value)
+    if isinstance(value, int):
+        return f"{value}L"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stacked(columns: Sequence[str], lines: Sequence[Sequence[str]]) -> Column:
+    """Turns one row into several: ``lines`` of SQL expressions under the names ``columns``.
+
+    One text instead of a column object per cell, which keeps building wide reports cheap.
+    """
+    cells = ", ".join(part for line in lines for part in line)
+    names = ", ".join(quoted(c) for c in columns)
+    return F.expr(f"stack({len(lines)}, {cells}) AS ({names})")

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from churnflow.functions.cells import literal, stacked
+
 
 def exact_medians(
-    df: DataFrame, columns: Mapping[str, Column], also: Sequence[Column] = (), accuracy: int = 10_000
+    df: DataFrame, columns: Sequence[str], also: Sequence[Column] = (), accuracy: int = 10_000
 ) -> tuple[dict[str, float | None], Row]:
-    """Exact median of the non-null values of each column (mean of the middle two if even).
+    """Exact median of the non-null values of double columns (mean of the middle two if even).
 
     One pass sketches an interval around the middle of each column; a second pass counts the
     values below it and the distinct values inside it, so only a sliver of the data is shuffled.
@@ -20,7 +24,7 @@ def exact_medians(
     computed in the first pass and returned as a row.
     """
     keys = [f"c{i}" for i in range(len(columns))]
-    numbers = df.select("*", *[c.cast("double").alias(k) for k, c in zip(keys, columns.values())])
+    numbers = df.withColumnsRenamed(dict(zip(columns, keys)))
     todo, extra = set(keys), None
     medians: dict[str, float | None] = {}
     margin = 2.0 / accuracy
@@ -49,25 +53,21 @@ def _middle_intervals(numbers: DataFrame, keys: Sequence[str], margin: float, ac
 
 
 def _medians_inside(numbers: DataFrame, sizes: Mapping[str, int], limits: Mapping[str, tuple]) -> dict:
-    inside = [
-        F.when(F.col(c).between(low, high), F.struct(F.lit(c).alias("name"), F.col(c).alias("value")))
-        for c, (low, high) in limits.items()
-    ]
+    inside = {c: F.col(c).between(low, high) for c, (low, high) in limits.items()}
+    values = F.array(*[
+        F.struct(F.lit(c).alias("name"), F.when(is_inside, F.col(c)).alias("value"))
+        for c, is_inside in inside.items()
+    ])
     distinct = (
-        numbers.select(F.explode(F.array_compact(F.array(*inside))).alias("e"))
-        .groupBy(F.col("e.name").alias("name"), F.col("e.value").alias("value"))
+        numbers.where(reduce(or_, inside.values()))
+        .select(F.inline(values))
+        .where("value is not null")
+        .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     below = numbers.agg(
         *[F.count_if(F.col(c) < low).alias(c) for c, (low, _) in limits.items()]
-    ).select(
-        F.inline(
-            F.array(*[
-                F.struct(F.lit(c).alias("name"), F.lit(None).cast("double").alias("value"), F.col(c).alias("n"))
-                for c in limits
-            ])
-        )
-    )
+    ).select(stacked(("name", "value", "n"), [(literal(c), "CAST(NULL AS DOUBLE)", c) for c in limits]))
     # The ranks, counted from 0, of the two middle values.
     ranks = {c: ((sizes[c] - 1) // 2, sizes[c] // 2) for c in limits}
     wanted = F.col("running") > F.element_at(_literal_map({c: r[0] for c, r in ranks.items()}), F.col("name"))

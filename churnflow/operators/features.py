@@ -132,18 +132,19 @@ def numeric_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, NumericSta
     The moments of the filled column follow from those of the values and the number of gaps, so
     filling needs no pass of its own.
     """
-    values = {c: number(df, c) for c in columns}
+    names = [f"c{i}" for i in range(len(columns))]
+    values = df.select(*[number(df, c).alias(n) for n, c in zip(names, columns)])
     also = [F.count(F.lit(1)).alias("rows")]
-    for i, v in enumerate(values.values()):
+    for i, n in enumerate(names):
         also += [
-            F.count(v).alias(f"n{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.var_pop(v).alias(f"var{i}"),
-            F.count_if(F.abs(v) == math.inf).alias(f"inf{i}"),
+            F.count(n).alias(f"n{i}"),
+            F.avg(n).alias(f"mean{i}"),
+            F.var_pop(n).alias(f"var{i}"),
+            F.count_if(F.abs(n) == math.inf).alias(f"inf{i}"),
         ]
-    medians, moments = exact_medians(df, values, also)
+    medians, moments = exact_medians(values, names, also)
     stats = {}
-    for i, (c, median) in enumerate(medians.items()):
+    for i, (c, median) in enumerate(zip(columns, medians.values())):
         if median is None:
             raise ValueError(f"Numerical column '{c}' has no values to fit on.")
         if moments[f"inf{i}"]:

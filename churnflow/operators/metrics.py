@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnflow.functions.cells import cell
+from churnflow.functions.cells import cell, literal, stacked
 
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
 
@@ -44,47 +46,51 @@ def threshold_metrics() -> dict[str, Column]:
     }
 
 
-def score_histogram(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
-    """(model, score, pos, neg): labels counted per distinct score of every model, in one pass.
+def _interval_splits(df: DataFrame, columns: Sequence[str], intervals: int) -> list[list[float]]:
+    """Per score column, ascending cuts that put about equally many rows into each interval.
 
-    ``scores`` maps a model name to its score column. Labels and scores must not be missing.
+    The cuts only balance the work: any cuts give the same metrics.
     """
-    stacked = df.select(
-        cell(label).cast("int").alias("label"),
-        F.inline(F.array(*[
-            F.struct(F.lit(model).alias("model"), cell(c).cast("double").alias("score"))
-            for model, c in scores.items()
-        ])),
-    )
-    unusable = F.col("label").isNull() | F.col("score").isNull() | F.isnan("score")
-    checked = F.when(unusable, F.raise_error(F.lit("label or score is missing")).cast("double")).otherwise(
-        F.col("score")
-    )
-    # Adding 0.0 makes -0.0 and 0.0 the same score.
-    return (
-        stacked.select("model", "label", (checked + F.lit(0.0)).alias("score"))
-        .groupBy("model", "score")
-        .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
-    )
+    shares = [i / intervals for i in range(1, intervals)]
+    cuts = df.agg(*[F.percentile_approx(c, shares, 10 * intervals) for c in columns]).first()
+    return [[-math.inf, *sorted({*(found or [0.0])} - {-math.inf, math.inf}), math.inf] for found in cuts]
 
 
-def _with_intervals(
-    histogram: DataFrame, df: DataFrame, scores: Mapping[str, str], intervals: int
+def score_histogram(
+    df: DataFrame, label: str, scores: Mapping[str, str], intervals: int = 256
 ) -> DataFrame:
-    """Adds ``range_id``, the interval of scores a row of the histogram falls into.
+    """(model, range_id, score, pos, neg): labels counted per distinct score of every model.
 
-    The cuts are quantiles of the scores, found in one pass over all models. They only balance
-    the work: any cuts give the same metrics.
+    ``scores`` maps a model name to its score column; ``range_id`` numbers intervals of scores in
+    ascending order. Labels and scores must not be missing.
     """
-    shares = [i / intervals for i in range(1, intervals)]
-    cuts = F.lit(None)
-    for model, column in scores.items():
-        of_model = df.agg(F.percentile_approx(cell(column).cast("double"), shares, 10 * intervals))
-        cuts = F.when(F.col("model") == model, of_model.scalar()).otherwise(cuts)
+
+    def usable(score: Column) -> Column:
+        missing = F.col("label").isNull() | score.isNull() | F.isnan(score)
+        # Adding 0.0 makes -0.0 and 0.0 the same score.
+        return F.when(missing, F.raise_error(F.lit("label or score is missing")).cast("double")).otherwise(
+            score + F.lit(0.0)
+        )
+
+    names = [f"s{i}" for i in range(len(scores))]
+    given = df.select(
+        cell(label).cast("int").alias("label"),
+        *[cell(c).cast("double").alias(n) for n, c in zip(names, scores.values())],
+    )
+    checked = given.select("label", *[usable(F.col(n)).alias(n) for n in names])
+    ranges = [f"r{i}" for i in range(len(scores))]
+    bucketizer = Bucketizer(
+        splitsArray=_interval_splits(checked, names, intervals),
+        inputCols=names,
+        outputCols=ranges,
+        handleInvalid="error",
+    )
+    lines = [(literal(model), f"CAST({r} AS INT)", n) for model, r, n in zip(scores, ranges, names)]
     return (
-        histogram.withColumn("cuts", cuts)
-        .withColumn("range_id", F.size(F.filter("cuts", lambda cut: cut < F.col("score"))))
-        .drop("cuts")
+        bucketizer.transform(checked)
+        .select("label", stacked(("model", "range_id", "score"), lines))
+        .groupBy("model", "range_id", "score")
+        .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
     )
 
 
@@ -112,7 +118,7 @@ def classification_metrics(
 
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     by_interval = (
-        _with_intervals(score_histogram(df, label, scores), df, scores, intervals)
+        score_histogram(df, label, scores, intervals)
         .withColumn("won", pos * (before("neg", inside) + neg / 2.0))
         .groupBy("model", "range_id")
         .agg(

@@ -7,11 +7,12 @@ never multiplied by the number of overlapping windows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnflow.functions.cells import literal, quoted, stacked
 from churnflow.operators.scoring import FAILED, INVALID, OK
 
 # Upper bounds of the latency (seconds) and probability buckets.
@@ -62,18 +63,34 @@ def bucket_counts(value: str, bounds: Sequence[float], prefix: str) -> dict[str,
 
 def measures() -> dict[str, Column]:
     """All additive measures of a stretch of the log."""
+    totals = (
+        F.count(F.lit(1)),
+        F.count_if(_is(OK)),
+        F.count_if(_is(INVALID) | _is(FAILED)),
+        F.coalesce(F.sum("latency_seconds"), F.lit(0.0)),
+        F.count("latency_seconds"),
+        F.count("probability"),
+    )
     return {
-        "requests": F.count(F.lit(1)),
-        "successful": F.count_if(_is(OK)),
-        "failed": F.count_if(_is(INVALID) | _is(FAILED)),
-        "latency_sum": F.coalesce(F.sum("latency_seconds"), F.lit(0.0)),
-        "latency_count": F.count("latency_seconds"),
-        "probability_count": F.count("probability"),
+        **dict(zip(_TOTALS, totals, strict=True)),
         **bucket_counts("latency_seconds", LATENCY_BOUNDS, "latency_le_"),
         **bucket_counts("probability", PROBABILITY_BOUNDS, "probability_le_"),
     }
 
 
+_TOTALS = ("requests", "successful", "failed", "latency_sum", "latency_count", "probability_count")
+MEASURES = (
+    *_TOTALS,
+    *[f"latency_le_{i}" for i in range(len(LATENCY_BOUNDS))],
+    *[f"probability_le_{i}" for i in range(len(PROBABILITY_BOUNDS))],
+)
+
+
+def summed() -> list[Column]:
+    """The measures of several stretches of the log added up."""
+    return [F.sum(name).alias(name) for name in MEASURES]
+
+
 def histogram(log: DataFrame, value: str, bounds: Sequence[float], *by: str) -> DataFrame:
     """(by..., le, cumulative, sum, count): one row per upper bound, and one for ``+Inf``.
 
@@ -84,13 +101,8 @@ def histogram(log: DataFrame, value: str, bounds: Sequence[float], *by: str) ->
         F.count(value).alias("count"),
         *[c.alias(n) for n, c in bucket_counts(value, bounds, "b").items()],
     )
-    lines = [(str(le), F.col(f"b{i}")) for i, le in enumerate(bounds)] + [("+Inf", F.col("count"))]
-    return counted.select(
-        *by,
-        F.inline(F.array(*[F.struct(F.lit(le).alias("le"), n.alias("cumulative")) for le, n in lines])),
-        "sum",
-        "count",
-    )
+    lines = [(literal(str(le)), f"b{i}") for i, le in enumerate(bounds)] + [("'+Inf'", "`count`")]
+    return counted.select(*by, stacked(("le", "cumulative"), lines), "sum", "count")
 
 
 def merge_histograms(histograms: DataFrame) -> DataFrame:
@@ -147,10 +159,6 @@ def with_dashboard(windows: DataFrame, seconds: int) -> DataFrame:
     )
 
 
-def _additive(names: Mapping[str, Column]) -> list[Column]:
-    return [F.sum(name).alias(name) for name in names]
-
-
 def window_measures(log: DataFrame, seconds: int = 300, slide: int = 60, grid: bool = True) -> DataFrame:
     """All measures per window [start, start + seconds), a window every ``slide`` seconds.
 
@@ -171,7 +179,7 @@ def window_measures(log: DataFrame, seconds: int = 300, slide: int = 60, grid: b
         ]).where("first is not null")
         empty = span.select(F.explode(F.sequence("first", "last", step)).alias("slide_start")).select(
             "slide_start",
-            *[F.lit(0).cast(slides.schema[n].dataType).alias(n) for n in measures()],
+            *[F.lit(0.0 if n == "latency_sum" else 0).alias(n) for n in MEASURES],
         )
         slides = slides.unionByName(empty)
     covering = F.sequence(
@@ -182,7 +190,7 @@ def window_measures(log: DataFrame, seconds: int = 300, slide: int = 60, grid: b
     return (
         slides.withColumn("window_start", F.explode(covering))
         .groupBy("window_start")
-        .agg(*_additive(measures()))
+        .agg(*summed())
     )
 
 
@@ -197,7 +205,5 @@ def last_values(windows: DataFrame, at: str, series: Sequence[str]) -> DataFrame
         F.max_by(name, F.when(F.col(name).isNotNull(), F.col(at))).alias(name) for name in series
     ])
     return latest.select(
-        F.inline(F.array(*[
-            F.struct(F.lit(name).alias("series"), F.col(name).cast("double").alias("value")) for name in series
-        ]))
+        stacked(("series", "value"), [(literal(name), f"CAST({quoted(name)} AS DOUBLE)") for name in series])
     )

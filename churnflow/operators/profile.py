@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnflow.functions.cells import cell, is_missing
+from churnflow.functions.cells import cell, is_missing, literal, stacked
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -17,20 +17,14 @@ def shape(df: DataFrame) -> DataFrame:
 
 def column_profile(df: DataFrame) -> DataFrame:
     """One row per column in table order: position from 1, name, type, missing and filled cells."""
-    entries = [
-        F.struct(
-            F.lit(i).cast("bigint").alias("position"),
-            F.lit(name).alias("column"),
-            F.lit(kind).alias("type"),
-            F.col(f"m{i}").alias("missing"),
-            (F.col("n") - F.col(f"m{i}")).alias("filled"),
-        )
+    lines = [
+        (literal(i), literal(name), literal(kind), f"m{i}", f"n - m{i}")
         for i, (name, kind) in enumerate(df.dtypes, start=1)
     ]
     return df.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(df.columns, start=1)],
-    ).select(F.inline(F.array(*entries)))
+    ).select(stacked(("position", "column", "type", "missing", "filled"), lines))
 
 
 def missing_counts(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnflow.functions.cells import literal, stacked
 from churnflow.operators.metrics import METRICS
 from churnflow.sources import records
 from churnflow.sources.tables import append_table, read_table, require_path
@@ -138,25 +139,16 @@ def side_by_side(candidate: Mapping[str, float], production: Mapping[str, float]
 
 def evaluation_entries(evaluation: DataFrame) -> DataFrame:
     """The run-ledger rows of an evaluation, made on Spark from its one-row frame."""
-    lines = [
-        ("metric", f"{side}_{m}", F.col(f"{side}_metrics.{m}"))
-        for side in ("candidate", "production")
-        for m in METRICS
+    values = [
+        ("metric", f"{side}_{m}", f"{side}_metrics.{m}") for side in ("candidate", "production") for m in METRICS
     ]
-    lines += [
-        ("metric", "f1_improvement", F.col("f1_improvement")),
-        ("param", "candidate_better", F.col("candidate_better")),
-        ("tag", "run_type", F.lit("held_out_evaluation")),
+    values += [
+        ("metric", "f1_improvement", "f1_improvement"),
+        ("param", "candidate_better", "candidate_better"),
+        ("tag", "comparison_metric", "'f1_score'"),
     ]
-    return evaluation.select(
-        F.inline(F.array(*[
-            F.struct(
-                F.lit("candidate_held_out_evaluation").alias("run_name"),
-                F.lit("held_out_evaluation").alias("run_type"),
-                F.lit(kind).alias("kind"),
-                F.lit(key).alias("key"),
-                value.cast("string").alias("value"),
-            )
-            for kind, key, value in lines
-        ]))
-    )
+    lines = [
+        ("'candidate_held_out_evaluation'", "'held_out_evaluation'", literal(kind), literal(key), f"string({value})")
+        for kind, key, value in values
+    ]
+    return evaluation.select(stacked(("run_name", "run_type", "kind", "key", "value"), lines))

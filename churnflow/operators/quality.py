@@ -14,11 +14,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from churnflow.functions.cells import cell, is_missing, is_text, number, parsed_number, stripped
+from churnflow.functions.cells import (
+    cell, is_missing, is_text, literal, number, parsed_number, stacked, stripped, with_parsed,
+)
 from churnflow.spec import DatasetSpec
 
 # Error texts name at most this many offending values; ``unexpected_categories`` has them all.
 _NAMED_VALUES = 20
+_REPORT = ("position", "check", "column", "violations", "allowed")
 
 
 @dataclass(frozen=True)
@@ -42,25 +45,24 @@ def negative_values(df: DataFrame, *columns: str) -> DataFrame:
     """One row per column: how many values are below zero."""
     counts = df.agg(*[F.count_if(number(df, c) < 0).alias(f"c{i}") for i, c in enumerate(columns)])
     return counts.select(
-        F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("violations"))
-            for i, c in enumerate(columns)
-        ]))
+        stacked(("column", "violations"), [(literal(c), f"c{i}") for i, c in enumerate(columns)])
     )
 
 
 def unexpected_categories(df: DataFrame, categories) -> DataFrame:
     """(column, value, rows) for every trimmed, non-null value outside its allowed set."""
-    bad = [
-        F.when(
-            cell(c).isNotNull() & ~stripped(cell(c)).isin(*allowed),
-            F.struct(F.lit(c).alias("column"), stripped(cell(c)).alias("value")),
+    # No filter on the whole rows: pushed into a deep view, a disjunction over this many columns
+    # would cost the optimizer more than it saves.
+    lines = F.array(*[
+        F.struct(
+            F.lit(c).alias("column"), F.when(_unexpected(c, allowed), stripped(cell(c))).alias("value")
         )
         for c, allowed in categories.items()
-    ]
+    ])
     return (
-        df.select(F.explode(F.array_compact(F.array(*bad))).alias("e"))
-        .groupBy("e.column", "e.value")
+        df.select(F.inline(lines))
+        .where("value is not null")
+        .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
 
@@ -73,41 +75,53 @@ def unexpected_columns(df: DataFrame, spec: DatasetSpec) -> list[str]:
     return [c for c in df.columns if c not in spec.columns]
 
 
-def _cell_checks(df: DataFrame, spec: DatasetSpec) -> list[_CellCheck]:
-    """The checks that look at one cell at a time, in order, for the columns that are there."""
+# Both tests below use CASE, not AND: its branches are only evaluated when reached, so that cells
+# that match a category as they are never get trimmed.
+
+
+def _unexpected(column: str, allowed) -> Column:
+    """A non-null cell outside its allowed set, with or without white space around it."""
+    value = cell(column).cast("string")
+    return F.when(value.isNull() | value.isin(*allowed), False).otherwise(~stripped(value).isin(*allowed))
+
+
+def _blank(column: str, spec: DatasetSpec) -> Column:
+    """A cell of white space only."""
+    value = cell(column).cast("string")
+    blank = stripped(value) == ""
+    allowed = spec.categories.get(column)
+    return F.when(value.isin(*allowed), False).otherwise(blank) if allowed else blank
+
+
+def _cell_checks(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, list[_CellCheck]]:
+    """The frame to check, and the checks of single cells, in order, for the columns there are."""
     here = set(df.columns)
+    wide, parsed = with_parsed(df, [c for c in spec.numericals if c in here])
     checks = [_CellCheck("V5", c, is_missing(df, c)) for c in df.columns]
     checks += [
-        _CellCheck("V13" if c in spec.blank_allowed else "V6", c, stripped(cell(c)) == "", c in spec.blank_allowed)
+        _CellCheck("V13" if c in spec.blank_allowed else "V6", c, _blank(c, spec), c in spec.blank_allowed)
         for c in df.columns
         if is_text(df, c)
     ]
     checks += [
-        _CellCheck("V7", c, cell(c).isNotNull() & ~stripped(cell(c)).isin(*allowed))
-        for c, allowed in spec.categories.items()
-        if c in here
+        _CellCheck("V7", c, _unexpected(c, allowed)) for c, allowed in spec.categories.items() if c in here
     ]
-    for c in spec.numericals:
-        if c not in here:
-            continue
-        # A column that may be blank is coerced, so there even "nan" is no number; elsewhere
-        # a missing-value text is for V5 to find.
-        value = number(df, c) if c in spec.blank_allowed else parsed_number(df, c)
+    for c, value in parsed.items():
         wrong = cell(c).isNotNull() & value.isNull()
         if c in spec.blank_allowed:
-            wrong = wrong & (stripped(cell(c)) != "")
+            # A column that may be blank is coerced, so there even "nan" is no number; elsewhere
+            # a missing-value text is for V5 to find.
+            wrong = cell(c).isNotNull() & (value.isNull() | F.isnan(value)) & ~_blank(c, spec)
         checks.append(_CellCheck("V8", c, wrong))
     checks += [
-        _CellCheck("V9", c, ~parsed_number(df, c).isin(*domain))
-        for c, domain in spec.domains.items()
-        if c in here
+        _CellCheck("V9", c, ~parsed[c].isin(*domain)) for c, domain in spec.domains.items() if c in here
     ]
     checks += [
-        _CellCheck(f"V{10 + i}", c, number(df, c) < least)
+        _CellCheck(f"V{10 + i}", c, parsed[c] < least)
         for i, (c, least) in enumerate(spec.minimums.items())
         if c in here
     ]
-    return checks
+    return wide, checks
 
 
 def validation_report(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -116,39 +130,26 @@ def validation_report(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     Every check on single cells is part of one aggregation over the table; only the uniqueness
     of ids needs a shuffle. Status is passed, failed, or allowed (blank cells where permitted).
     """
-    checks = _cell_checks(df, spec)
+    wide, checks = _cell_checks(df, spec)
     absent, extra = missing_columns(df, spec), unexpected_columns(df, spec)
-    fixed = [("V2", c, F.lit(1)) for c in absent] + [("V3", c, F.lit(1)) for c in extra]
-    lines = [("V1", "", (F.col("n") == 0).cast("int"), False)]
-    lines += [(code, c, hit, False) for code, c, hit in fixed]
-    lines += [(check.code, check.column, F.col(f"k{i}"), check.allowed) for i, check in enumerate(checks)]
-    # Position 1 + len(fixed) + 1 is kept for the uniqueness check.
-    after_ids = 1 + len(fixed)
-    entries = [
-        _report_line(i + 1 + (i >= after_ids), code, column, count, allowed)
-        for i, (code, column, count, allowed) in enumerate(lines)
-    ]
-    report = df.agg(
+    lines = [("V1", "", "IF(n = 0, 1L, 0L)", False)]
+    lines += [("V2", c, "1L", False) for c in absent] + [("V3", c, "1L", False) for c in extra]
+    id_position = len(lines) + 1  # the check of ids comes next, from an aggregation of its own
+    lines += [(check.code, check.column, f"k{i}", check.allowed) for i, check in enumerate(checks)]
+    report = wide.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(check.violated).alias(f"k{i}") for i, check in enumerate(checks)],
-    ).select(F.inline(F.array(*entries)))
+    ).select(
+        stacked(_REPORT, [
+            (literal(i if i < id_position else i + 1), literal(code), literal(column), count, literal(allowed))
+            for i, (code, column, count, allowed) in enumerate(lines, start=1)
+        ])
+    )
     if spec.id_column in df.columns:
-        line = _report_line(after_ids + 1, "V4", spec.id_column, F.col("duplicates"), False)
-        report = report.unionByName(
-            duplicate_ids(df, spec.id_column).select(F.inline(F.array(line)))
-        )
+        line = (literal(id_position), "'V4'", literal(spec.id_column), "duplicates", "false")
+        report = report.unionByName(duplicate_ids(df, spec.id_column).select(stacked(_REPORT, [line])))
     status = F.when(F.col("violations") == 0, "passed").when(F.col("allowed"), "allowed").otherwise("failed")
-    return report.select("position", "check", "column", "violations", status.alias("status"))
-
-
-def _report_line(position: int, code: str, column: str, count: Column, allowed: bool) -> Column:
-    return F.struct(
-        F.lit(position).cast("bigint").alias("position"),
-        F.lit(code).alias("check"),
-        F.lit(column).alias("column"),
-        count.cast("bigint").alias("violations"),
-        F.lit(allowed).alias("allowed"),
-    )
+    return report.withColumn("status", status).drop("allowed")
 
 
 def validate(df: DataFrame, spec: DatasetSpec) -> bool:

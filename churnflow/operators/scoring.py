@@ -6,43 +6,48 @@ All operators are projections and filters, so they take batch and streaming fram
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnflow.functions.cells import cell, is_text, number, parsed_number
+from churnflow.functions.cells import cell, is_text, number, with_parsed
 from churnflow.operators.features import PrepState
 from churnflow.operators.metrics import predicted_class
 from churnflow.operators.training import scored
 from churnflow.spec import DatasetSpec
 
 OK, INVALID, FAILED = 200, 422, 500
+_ERRORS = "array<struct<field: string, rule: string>>"
+
+
+def _number_error(spec: DatasetSpec, name: str, value: Column) -> Column:
+    """The broken rule of a given, non-null number: type, value or minimum."""
+    wrong_type = value.isNull()
+    if name in spec.integers:
+        wrong_type = wrong_type | F.isnan(value) | (F.abs(value) == math.inf) | (value != F.floor(value))
+    rule = F.when(wrong_type, "type")
+    if name in spec.domains:
+        rule = rule.when(~value.isin(*spec.domains[name]), "value")
+    if name in spec.minimums:
+        # Spark orders NaN above every number, but it is not at least the minimum.
+        rule = rule.when(F.isnan(value) | (value < spec.minimums[name]), "minimum")
+    return rule
 
 
-def _field_error(df: DataFrame, spec: DatasetSpec, name: str) -> Column:
+def _field_error(df: DataFrame, spec: DatasetSpec, name: str, parsed: Mapping[str, Column]) -> Column:
     """The broken rule of one field (missing, type, value or minimum), or null."""
-    required = name not in spec.optional_in_request
+    absent = F.lit(None).cast("string") if name in spec.optional_in_request else F.lit("missing")
     if name not in df.columns:
-        return F.lit("missing") if required else F.lit(None).cast("string")
-    column = cell(name)
-    rule = F.when(column.isNull(), F.lit("missing") if required else F.lit(None).cast("string"))
-    if name in spec.numericals:
-        value = parsed_number(df, name)
-        wrong_type = value.isNull()
-        if name in spec.integers:
-            wrong_type = wrong_type | F.isnan(value) | (F.abs(value) == math.inf) | (value != F.floor(value))
-        rule = rule.when(wrong_type, "type")
-        if name in spec.domains:
-            rule = rule.when(~value.isin(*spec.domains[name]), "value")
-        if name in spec.minimums:
-            # Spark orders NaN above every number; a request with NaN is below no minimum but
-            # not above it either, so it is refused.
-            rule = rule.when(F.isnan(value) | (value < spec.minimums[name]), "minimum")
-    elif name in spec.categories:
-        rule = rule.when(~column.cast("string").isin(*spec.categories[name]), "value")
-    elif not is_text(df, name):
-        rule = rule.when(F.lit(True), "type")
-    return rule
+        return absent
+    rule = F.when(cell(name).isNull(), absent)
+    if name in parsed:
+        return rule.otherwise(_number_error(spec, name, parsed[name]))
+    if name in spec.categories:
+        return rule.when(~cell(name).cast("string").isin(*spec.categories[name]), "value")
+    return rule if is_text(df, name) else rule.otherwise("type")
 
 
 def with_request_errors(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -50,11 +55,16 @@ def with_request_errors(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
     Categories must match exactly: requests are not trimmed, unlike in dataset validation.
     """
-    fields = [c for c in spec.columns if c != spec.target]
-    results = F.array(*[
-        F.struct(F.lit(c).alias("field"), _field_error(df, spec, c).alias("rule")) for c in fields
+    wide, parsed = with_parsed(df, [c for c in spec.numericals if c in df.columns])
+    rules = {c: _field_error(df, spec, c, parsed) for c in spec.columns if c != spec.target}
+    all_fields = F.array(*[
+        F.struct(F.lit(c).alias("field"), rule.alias("rule")) for c, rule in rules.items()
     ])
-    return df.withColumn("errors", F.filter(results, lambda e: e["rule"].isNotNull()))
+    broken = F.filter(all_fields, lambda e: e["rule"].isNotNull())
+    # Valid requests, usually nearly all of them, never build the list.
+    any_broken = reduce(or_, [rule.isNotNull() for rule in rules.values()])
+    errors = F.when(any_broken, broken).otherwise(F.array().cast(_ERRORS))
+    return wide.withColumn("errors", errors).select(*[cell(c) for c in df.columns], "errors")
 
 
 def quarantine(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:

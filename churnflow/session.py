@@ -20,6 +20,8 @@ def build_session(app_name: str = "churnflow", master: str | None = None, **conf
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Recording the call site of every column object makes wide plans slow to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

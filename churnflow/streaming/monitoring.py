@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnflow.operators.monitoring import measures, with_dashboard
+from churnflow.operators.monitoring import measures, summed, with_dashboard
 
 
 def stream_dashboard(
@@ -27,7 +27,7 @@ def stream_dashboard(
     )
     windows = (
         slides.groupBy(F.window(F.window_time("slide"), f"{seconds} seconds", f"{slide} seconds").alias("w"))
-        .agg(*[F.sum(n).alias(n) for n in measures()])
+        .agg(*summed())
         .withColumn("window_start", F.col("w.start"))
     )
     return with_dashboard(windows, seconds)

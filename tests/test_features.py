@@ -12,7 +12,7 @@ from tests.rows import FIRST, SECOND, SPEC, changed, frame
 
 
 def median_of(df, accuracy=10_000):
-    return exact_medians(df, {"x": F.col("x")}, accuracy=accuracy)[0]["x"]
+    return exact_medians(df, ["x"], accuracy=accuracy)[0]["x"]
 
 
 @pytest.mark.parametrize("accuracy", [10, 100, 10_000])
