@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnflow.operators import assembly, features, metrics, monitoring, profile, promotion, quality, scoring
 from churnflow.operators import split as splits
 from churnflow.operators import training
+from churnflow.plans.bootstrap import run_bootstrap
+from churnflow.plans.layout import Layout
+from churnflow.plans.retraining import run_retraining
 from churnflow.session import work_folder
-from churnflow.sources import models, tables
+from churnflow.sources import models, records, tables
 from churnflow.sources.views import table, view, view_over
 from churnflow.spec import telecom_spec
 from churnflow.streaming.monitoring import run_to_table, stream_dashboard
@@ -433,6 +437,16 @@ def search_trials(spark, folder):
     return training.trials_table(spark, candidate.trials)
 
 
+@registered
+def retraining_flow(spark, folder):
+    """Both flows end to end with tiny models: the decision and the F1 scores it rests on."""
+    layout, profile_ = Layout(work_folder(spark, "project")), training.SearchProfile.smoke()
+    run_bootstrap(spark, _subscribers(spark, folder), layout.root, SPEC, profile_)
+    decision = run_retraining(spark, layout.data("new"), layout.root, SPEC, profile_)
+    ledger = records.read_runs(spark, layout.ledger).where("run_type = 'model_promotion' AND kind = 'metric'")
+    return ledger.select(F.lit(decision).alias("decision"), "key", F.col("value").cast("double").alias("value"))
+
+
 # Scoring
 
 
@@ -472,7 +486,7 @@ def _fitted(spark, folder):
     prepared, state = _prepared(spark, folder)
     rows = assembly.features_and_label(prepared, state.feature_names, "Churn")
     trees = training.fit_trees(rows, training.SearchProfile.smoke().draws(training.TUNE_SPACE)[0])
-    return state, training.PipelineModel([assembly.assembler(state.feature_names), trees])
+    return state, PipelineModel([assembly.assembler(state.feature_names), trees])
 
 
 @registered

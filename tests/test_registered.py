@@ -3,7 +3,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle import connect, difference
 
-TRAINED = {"train_and_score", "search_trials", "score_requests"}
+TRAINED = {"train_and_score", "search_trials", "score_requests", "retraining_flow"}
 
 
 @pytest.fixture(scope="module")
