@@ -172,6 +172,7 @@ def validate(df: DataFrame, spec: DatasetSpec) -> bool:
 
 
 def _failure_text(df: DataFrame, spec: DatasetSpec, failed: list[Row]) -> str:
+    # The wording of the errors, which callers match on.
     code, column = failed[0]["check"], failed[0]["column"]
     same = {r["column"]: r["violations"] for r in failed if r["check"] == code}
     if code == "V4":

@@ -7,8 +7,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,15 +54,14 @@ def with_request_errors(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     Categories must match exactly: requests are not trimmed, unlike in dataset validation.
     """
     wide, parsed = with_parsed(df, [c for c in spec.numericals if c in df.columns])
-    rules = {c: _field_error(df, spec, c, parsed) for c in spec.columns if c != spec.target}
-    all_fields = F.array(*[
-        F.struct(F.lit(c).alias("field"), rule.alias("rule")) for c, rule in rules.items()
-    ])
-    broken = F.filter(all_fields, lambda e: e["rule"].isNotNull())
+    names = {c: f"__rule_{c}" for c in spec.columns if c != spec.target}
+    judged = wide.withColumns({n: _field_error(df, spec, c, parsed) for c, n in names.items()})
     # Valid requests, usually nearly all of them, never build the list.
-    any_broken = reduce(or_, [rule.isNotNull() for rule in rules.values()])
+    any_broken = F.coalesce(*[cell(n) for n in names.values()]).isNotNull()
+    all_fields = F.array(*[F.struct(F.lit(c).alias("field"), cell(n).alias("rule")) for c, n in names.items()])
+    broken = F.filter(all_fields, lambda e: e["rule"].isNotNull())
     errors = F.when(any_broken, broken).otherwise(F.array().cast(_ERRORS))
-    return wide.withColumn("errors", errors).select(*[cell(c) for c in df.columns], "errors")
+    return judged.withColumn("errors", errors).select(*[cell(c) for c in df.columns], "errors")
 
 
 def quarantine(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
