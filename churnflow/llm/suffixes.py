@@ -347,7 +347,7 @@ def without_repeated_strings(documents: DataFrame, length: int = LENGTH, gram: i
         texts.groupBy("at").cogroup(asked.groupBy("at"))
         .applyInArrow(lambda t, a: step.contexts(t, a) if a.num_rows else _CONTEXTS.empty_table(), "kind int, at long, h long, doc long, pos long, left binary, right binary, more binary, hashes binary")
     )
-    compared = contexts.repartition("at").sortWithinPartitions("kind", "at").mapInArrow(step.compare, _MESSAGE)
+    compared = contexts.repartition("at", "h").sortWithinPartitions("kind", "at").mapInArrow(step.compare, _MESSAGE)
     word = counted.where(F.col("kind") == REPEAT).unionByName(compared).select("at", "docs", "pos", "width")
     return texts.groupBy("at").cogroup(word.groupBy("at")).applyInArrow(_finish, "doc_id long, n_bytes long, removed array<struct<start: int, end: int>>, kept binary")
 
