@@ -139,7 +139,7 @@ def _cut(words: list[bytes], hit: np.ndarray, window: int) -> tuple[list[tuple[i
     return spans, kept + words[at:]
 
 
-def without_repeated_windows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
+def without_repeated_windows(documents: DataFrame, window: int = WINDOW, chunk: int = CHUNK) -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``removed`` (maximal intervals of words, end exclusive), ``kept`` (the other
     words joined by one space).
 
@@ -169,6 +169,6 @@ def without_repeated_windows(documents: DataFrame, window: int = WINDOW) -> Data
                         "kept": b" ".join(kept).decode("utf-8", "surrogatepass")})
         return pa.Table.from_pylist(out, schema=_RESULT)
 
-    told = repeated_windows(documents, window, bits, n_groups)
+    told = repeated_windows(documents, window, bits, n_groups, chunk)
     return in_groups(documents, n_groups).groupBy("at").cogroup(told.groupBy("at")).applyInArrow(
         finish, "doc_id long, n_words long, removed array<struct<start: int, end: int>>, kept string")
