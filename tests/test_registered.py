@@ -1,6 +1,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from churnflow.plans.catalog import QUERIES
+from churnflow.plans.oracle import ORACLE
 from tests.oracle import connect, difference
 
 TRAINED = {"train_and_score", "search_trials", "score_requests", "retraining_flow"}
@@ -12,18 +14,19 @@ def answers(sf_dir):
 
 
 def test_only_trained_models_lack_an_answer():
-    assert set(queries()) - set(oracle_sql()) == TRAINED
-    assert not set(oracle_sql()) - set(queries())
+    assert set(QUERIES) - set(ORACLE) == TRAINED
+    assert not set(ORACLE) - set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_answer(spark, sf_dir, answers, name):
-    assert difference(queries()[name](spark, sf_dir), answers, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, sf_dir), answers, ORACLE[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(TRAINED))
 def test_trained_query_has_rows(spark, sf_dir, name):
-    assert queries()[name](spark, sf_dir).count() > 0
+    assert QUERIES[name](spark, sf_dir).count() > 0
 
 
 def test_entry(spark):
