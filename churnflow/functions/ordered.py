@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from churnflow.functions.cells import literal, stacked
+
+#: Slices of an interval around the middle of a column.
+_SLICES = 256
 
 
 def exact_medians(
@@ -19,7 +20,7 @@ def exact_medians(
 
     One pass sketches an interval around the middle of each column; a second pass counts the
     values below it and the distinct values inside it, so only a sliver of the data is shuffled.
-    The ranks found are checked against the counts; an interval that missed is widened, in the
+    The interval is cut into slices, and only slices that hold a middle value are sorted. The ranks found are checked against the counts; an interval that missed is widened, in the
     end to the whole column. A column without values yields None. The aggregates in ``also`` are
     computed in the first pass and returned as a row.
     """
@@ -52,35 +53,47 @@ def _middle_intervals(numbers: DataFrame, keys: Sequence[str], margin: float, ac
     return sizes, {c: tuple(row[f"i_{c}"]) for c in keys if sizes[c]}, row
 
 
+def _slice(value: Column, low: float, high: float) -> Column:
+    """The slice of the interval that a value lies in, in ascending order; -1 below the interval."""
+    width = high - low
+    if not 0 < width < math.inf:
+        return F.when(value.isNull(), -1).otherwise(0)
+    place = F.least(F.floor((value - low) / width * _SLICES), F.lit(_SLICES - 1))
+    return F.when(value.isNull(), -1).otherwise(place.cast("int"))
+
+
 def _medians_inside(numbers: DataFrame, sizes: Mapping[str, int], limits: Mapping[str, tuple]) -> dict:
-    inside = {c: F.col(c).between(low, high) for c, (low, high) in limits.items()}
-    values = F.array(*[
-        F.struct(F.lit(c).alias("name"), F.when(is_inside, F.col(c)).alias("value"))
-        for c, is_inside in inside.items()
+    # Values below the interval become one row per column, with a null in place of the value.
+    cells = F.array(*[
+        F.struct(
+            F.lit(c).alias("name"), F.when(F.col(c) >= low, F.col(c)).alias("value"), (F.col(c) <= high).alias("counts")
+        )
+        for c, (low, high) in limits.items()
     ])
-    distinct = (
-        numbers.where(reduce(or_, inside.values()))
-        .select(F.inline(values))
-        .where("value is not null")
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    below = numbers.agg(
-        *[F.count_if(F.col(c) < low).alias(c) for c, (low, _) in limits.items()]
-    ).select(stacked(("name", "value", "n"), [(literal(c), "CAST(NULL AS DOUBLE)", c) for c in limits]))
+    counted = numbers.select(F.inline(cells)).where("counts").groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    slices = None
+    for c, (low, high) in limits.items():
+        place = _slice(F.col("value"), low, high)
+        slices = F.when(F.col("name") == c, place) if slices is None else slices.when(F.col("name") == c, place)
+    counted = counted.withColumn("slice", slices)
     # The ranks, counted from 0, of the two middle values.
     ranks = {c: ((sizes[c] - 1) // 2, sizes[c] // 2) for c in limits}
-    wanted = F.col("running") > F.element_at(_literal_map({c: r[0] for c, r in ranks.items()}), F.col("name"))
-    needed = F.col("running") - F.col("n") <= F.element_at(
-        _literal_map({c: r[1] for c, r in ranks.items()}), F.col("name")
+    lower, upper = (F.element_at(_literal_map({c: r[i] for c, r in ranks.items()}), F.col("name")) for i in (0, 1))
+    earlier = Window.partitionBy("name").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = (
+        counted.groupBy("name", "slice").agg(F.sum("n").alias("held"))
+        .withColumn("base", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+        .where((F.col("base") + F.col("held") > lower) & (F.col("base") <= upper))
+        .select("name", "slice", "base")
     )
-    ascending = Window.partitionBy("name").orderBy(F.asc_nulls_first("value")).rowsBetween(
+    ascending = Window.partitionBy("name", "slice").orderBy(F.asc_nulls_first("value")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     middle = (
-        distinct.unionByName(below)
-        .withColumn("running", F.sum("n").over(ascending))
-        .where(wanted & needed)
+        counted.join(F.broadcast(wanted), ["name", "slice"])
+        .withColumn("running", F.col("base") + F.sum("n").over(ascending))
+        .where((F.col("running") > lower) & (F.col("running") - F.col("n") <= upper))
+        .select("name", "value", "n", "running")
         .collect()
     )
     result = {}

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnflow.functions.cells import cell, number, stripped
 from churnflow.functions.ordered import exact_medians
+from churnflow.functions.running import running_totals
 from churnflow.spec import DatasetSpec
 
 STATE_SCHEMA = (
     "kind string, column string, category string, ordinal int, value_double double, value_string string"
 )
-# The state travels to the driver and becomes one column per category, so it has to stay small.
+# This form of the state travels to the driver and becomes one column per category, so it has to stay small.
+# Columns with more categories take the sparse form in ``sparse``, which has no limit.
 MAX_CATEGORIES = 20_000
 
 
@@ -121,7 +124,7 @@ def _bounded(table: DataFrame) -> list:
     rows = table.limit(MAX_CATEGORIES + 1).collect()
     if len(rows) > MAX_CATEGORIES:
         raise ValueError(
-            f"more than {MAX_CATEGORIES} categories; one-hot columns are meant for category labels"
+            f"more than {MAX_CATEGORIES} categories; prepare such columns with churnflow.operators.sparse"
         )
     return rows
 
@@ -153,15 +156,22 @@ def numeric_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, NumericSta
         gaps = 1.0 - filled
         mean = filled * moments[f"mean{i}"] + gaps * median
         spread = filled * (moments[f"var{i}"] + (moments[f"mean{i}"] - mean) ** 2)
-        stats[c] = NumericStats(median, mean, math.sqrt(spread + gaps * (median - mean) ** 2))
+        variance = spread + gaps * (median - mean) ** 2
+        if _constant(variance, mean, moments["rows"]):
+            mean, variance = median, 0.0
+        stats[c] = NumericStats(median, mean, math.sqrt(variance))
     return stats
 
 
-def category_counts(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """(column, category, rows) for every non-null category of every categorical column."""
-    cells = [
-        F.struct(F.lit(c).alias("column"), _category(spec, c).alias("category")) for c in spec.categoricals
-    ]
+def _constant(variance: float, mean: float, rows: int) -> bool:
+    """Whether a variance is no more than what rounding leaves of a column with one value."""
+    noise = rows * sys.float_info.epsilon
+    return variance <= noise * variance + (noise * mean) ** 2
+
+
+def counted_categories(df: DataFrame, categories: Mapping[str, Column]) -> DataFrame:
+    """(column, category, rows) for every non-null value of the given category expressions."""
+    cells = [F.struct(F.lit(c).alias("column"), value.alias("category")) for c, value in categories.items()]
     return (
         df.select(F.inline(F.array(*cells)))
         .where("category is not null")
@@ -170,18 +180,42 @@ def category_counts(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     )
 
 
+def category_counts(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """(column, category, rows) for every non-null category of every categorical column."""
+    return counted_categories(df, {c: _category(spec, c) for c in spec.categoricals})
+
+
+def modes_of(counts: DataFrame) -> DataFrame:
+    """(column, category): the most frequent category of each column; of equals, the smallest."""
+    first = F.min(F.struct((-F.col("rows")).alias("n"), "category"))
+    return counts.groupBy("column").agg(first.alias("m")).select("column", F.col("m.category").alias("category"))
+
+
+def vocabulary_of(counts: DataFrame) -> DataFrame:
+    """(column, category, ordinal): the sorted categories of each column, numbered from 1."""
+    numbered = running_totals(counts.select("column", "category", F.lit(1).alias("one")), "column", "category", ["one"])
+    return numbered.select("column", "category", (F.col("before_one") + 1).alias("ordinal"))
+
+
 def fit_state(df: DataFrame, spec: DatasetSpec) -> PrepState:
     """Fits medians, scaling, most frequent categories (ties: the smallest) and vocabularies."""
     numericals = numeric_stats(df, spec.numericals)
-    counts = _bounded(category_counts(df, spec))
-    modes, vocabulary = {}, {}
+    mine = Window.partitionBy("column")
+    # Few rows, as checked: one per category of the wide form.
+    ranked = category_counts(df, spec).select(
+        "column", "category",
+        F.row_number().over(mine.orderBy("category")).alias("ordinal"),
+        (F.row_number().over(mine.orderBy(F.desc("rows"), "category")) == 1).alias("is_mode"),
+    )
+    found = sorted(_bounded(ranked), key=lambda r: (r["column"], r["ordinal"]))
+    vocabulary: dict[str, list[str]] = {c: [] for c in spec.categoricals}
+    for r in found:
+        vocabulary[r["column"]].append(r["category"])
+    modes = {r["column"]: r["category"] for r in found if r["is_mode"]}
     for c in spec.categoricals:
-        mine = {r["category"]: r["rows"] for r in counts if r["column"] == c}
-        if not mine:
+        if c not in modes:
             raise ValueError(f"Categorical column '{c}' has no values to fit on.")
-        vocabulary[c] = tuple(sorted(mine))
-        modes[c] = min(mine, key=lambda v: (-mine[v], v))
-    return PrepState(numericals, modes, vocabulary)
+    return PrepState(numericals, {c: modes[c] for c in spec.categoricals}, {c: tuple(v) for c, v in vocabulary.items()})
 
 
 def transform(df: DataFrame, state: PrepState, spec: DatasetSpec) -> DataFrame:
@@ -218,9 +252,9 @@ def filled_categories(df: DataFrame, state: PrepState, spec: DatasetSpec) -> Dat
 
     The rows that are 1 in the one-hot block; useful where the wide form has too many columns.
     """
-    known = F.create_map(*[
-        x for c, words in state.vocabulary.items() for x in (F.lit(c), F.array(*map(F.lit, words)))
-    ])
+    known = df.sparkSession.createDataFrame(
+        [(c, word) for c, words in state.vocabulary.items() for word in words], "column string, category string"
+    )
     cells = [
         F.struct(
             F.lit(c).alias("column"),
@@ -228,6 +262,7 @@ def filled_categories(df: DataFrame, state: PrepState, spec: DatasetSpec) -> Dat
         )
         for c in state.vocabulary
     ]
-    return df.select(cell(spec.id_column), F.inline(F.array(*cells))).where(
-        F.array_contains(known[F.col("column")], F.col("category"))
+    # At most MAX_CATEGORIES rows.
+    return df.select(cell(spec.id_column), F.inline(F.array(*cells))).join(
+        F.broadcast(known), ["column", "category"], "left_semi"
     )

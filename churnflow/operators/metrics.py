@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnflow.functions.cells import cell, literal, stacked
+from churnflow.functions.running import running_totals
+from churnflow.sources.tables import stored
 
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
 
@@ -19,14 +19,26 @@ def predicted_class(score: Column) -> Column:
     return (score > 0.5).cast("int")
 
 
+def _known(label: Column, score: Column) -> Column:
+    """The score as a double; a missing label or score fails the job, whatever is computed from it."""
+    value = score.cast("double")
+    missing = label.isNull() | value.isNull() | F.isnan(value)
+    # Adding 0.0 makes -0.0 and 0.0 the same score.
+    return F.when(missing, F.raise_error(F.lit("label or score is missing")).cast("double")).otherwise(value + F.lit(0.0))
+
+
 def confusion_counts(df: DataFrame, label: str, score: str, *by: str) -> DataFrame:
-    """tp, fp, fn and tn, per group of ``by`` if given."""
-    positive, hit = cell(label) == 1, predicted_class(cell(score)) == 1
-    return df.groupBy(*[cell(c) for c in by]).agg(
-        F.count_if(positive & hit).alias("tp"),
-        F.count_if(~positive & hit).alias("fp"),
-        F.count_if(positive & ~hit).alias("fn"),
-        F.count_if(~positive & ~hit).alias("tn"),
+    """tp, fp, fn and tn, per group of ``by`` if given. Labels and scores must not be missing."""
+    outcome = F.struct(
+        (predicted_class(_known(cell(label), cell(score))) == 1).alias("hit"), (cell(label) == 1).alias("positive")
+    )
+    judged = df.select(*[cell(c) for c in by], outcome.alias("__outcome"))
+    hit, positive = F.col("__outcome.hit"), F.col("__outcome.positive")
+    return judged.groupBy(*[cell(c) for c in by]).agg(
+        F.count_if(hit & positive).alias("tp"),
+        F.count_if(hit & ~positive).alias("fp"),
+        F.count_if(~hit & positive).alias("fn"),
+        F.count_if(~hit & ~positive).alias("tn"),
     )
 
 
@@ -46,97 +58,43 @@ def threshold_metrics() -> dict[str, Column]:
     }
 
 
-def _interval_splits(df: DataFrame, columns: Sequence[str], intervals: int) -> list[list[float]]:
-    """Per score column, ascending cuts that put about equally many rows into each interval.
-
-    The cuts only balance the work: any cuts give the same metrics.
-    """
-    shares = [i / intervals for i in range(1, intervals)]
-    cuts = df.agg(*[F.percentile_approx(c, shares, 10 * intervals) for c in columns]).first()
-    return [[-math.inf, *sorted({*(found or [0.0])} - {-math.inf, math.inf}), math.inf] for found in cuts]
-
-
-def score_histogram(
-    df: DataFrame, label: str, scores: Mapping[str, str], intervals: int = 256
-) -> DataFrame:
-    """(model, range_id, score, pos, neg): labels counted per distinct score of every model.
+def score_counts(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
+    """(model, score, pos, neg): labels counted per distinct score of every model.
 
-    ``scores`` maps a model name to its score column; ``range_id`` numbers intervals of scores in
-    ascending order. Labels and scores must not be missing.
+    ``scores`` maps a model name to its score column. Labels and scores must not be missing.
     """
-
-    def usable(score: Column) -> Column:
-        missing = F.col("label").isNull() | score.isNull() | F.isnan(score)
-        # Adding 0.0 makes -0.0 and 0.0 the same score.
-        return F.when(missing, F.raise_error(F.lit("label or score is missing")).cast("double")).otherwise(
-            score + F.lit(0.0)
-        )
-
     names = [f"s{i}" for i in range(len(scores))]
-    given = df.select(
-        cell(label).cast("int").alias("label"),
-        *[cell(c).cast("double").alias(n) for n, c in zip(names, scores.values())],
+    checked = df.select(
+        cell(label).cast("int").alias("label"), *[_known(cell(label), cell(c)).alias(n) for n, c in zip(names, scores.values())]
     )
-    checked = given.select("label", *[usable(F.col(n)).alias(n) for n in names])
-    ranges = [f"r{i}" for i in range(len(scores))]
-    bucketizer = Bucketizer(
-        splitsArray=_interval_splits(checked, names, intervals),
-        inputCols=names,
-        outputCols=ranges,
-        handleInvalid="error",
-    )
-    lines = [(literal(model), f"CAST({r} AS INT)", n) for model, r, n in zip(scores, ranges, names)]
+    lines = [(literal(model), n) for model, n in zip(scores, names)]
     return (
-        bucketizer.transform(checked)
-        .select("label", stacked(("model", "range_id", "score"), lines))
-        .groupBy("model", "range_id", "score")
+        checked.select("label", stacked(("model", "score"), lines))
+        .groupBy("model", "score")
         .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
     )
 
 
-def classification_metrics(
-    df: DataFrame, label: str, scores: Mapping[str, str], intervals: int = 256
-) -> DataFrame:
+def classification_metrics(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
     """One row per model: n, tp, fp, fn, tn, accuracy, precision, recall, f1_score, roc_auc.
 
-    ROC AUC is the exact rank statistic (ties count half; null if a class is absent). The ranks
-    are running totals over distinct scores. They are taken inside intervals of scores, so no
-    task sorts a whole model, and what lies below an interval is added once per interval.
+    ROC AUC is the exact rank statistic (ties count half; null if a class is absent). Labels are counted per distinct
+    score first, and the ranks are running totals over ranges of scores, whose number grows with the cluster. Twice
+    the pairs won is a whole number, so that sums are exact in any order.
     """
-    inside = Window.partitionBy("model", "range_id").orderBy("score").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    earlier = Window.partitionBy("model").orderBy("range_id").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-
-    def before(measure: str, window) -> Column:
-        return F.coalesce(F.sum(measure).over(window), F.lit(0)).cast("double")
+    counted = running_totals(stored(score_counts(df, label, scores), "scores"), "model", "score", ["neg"])
 
     def hits(measure: str) -> Column:
         return F.sum(F.when(predicted_class(F.col("score")) == 1, F.col(measure)).otherwise(0))
 
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    by_interval = (
-        score_histogram(df, label, scores, intervals)
-        .withColumn("won", pos * (before("neg", inside) + neg / 2.0))
-        .groupBy("model", "range_id")
-        .agg(
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.sum("won").alias("won"),
-            hits("pos").alias("tp"),
-            hits("neg").alias("fp"),
-        )
-        .withColumn("won", F.col("won") + pos * before("neg", earlier))
-    )
+    won = F.col("pos").cast("decimal(18,0)") * (2 * F.col("before_neg") + F.col("neg")).cast("decimal(19,0)")
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    counts = by_interval.groupBy("model").agg(
-        F.sum("tp").alias("tp"),
-        F.sum("fp").alias("fp"),
-        (F.sum("pos") - F.sum("tp")).alias("fn"),
-        (F.sum("neg") - F.sum("fp")).alias("tn"),
-        F.when(pairs > 0, F.sum("won") / pairs).alias("roc_auc"),
+    counts = counted.groupBy("model").agg(
+        hits("pos").alias("tp"),
+        hits("neg").alias("fp"),
+        (F.sum("pos") - hits("pos")).alias("fn"),
+        (F.sum("neg") - hits("neg")).alias("tn"),
+        F.when(pairs > 0, F.sum(won).cast("double") / (2.0 * pairs)).alias("roc_auc"),
     )
     return counts.select(
         "model",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from churnflow.functions.cells import literal, quoted, stacked
 from churnflow.operators.scoring import FAILED, INVALID, OK
+from churnflow.sources.tables import stored
 
 # Upper bounds of the latency (seconds) and probability buckets.
 LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
@@ -162,8 +163,8 @@ def with_dashboard(windows: DataFrame, seconds: int) -> DataFrame:
 def window_measures(log: DataFrame, seconds: int = 300, slide: int = 60, grid: bool = True) -> DataFrame:
     """All measures per window [start, start + seconds), a window every ``slide`` seconds.
 
-    With ``grid``, every window between the first and the last is there, idle ones with zeros;
-    the grid grows with the time covered, not with the log.
+    With ``grid``, every window between the first and the last is there, idle ones with zeros; the grid is a
+    distributed range that grows with the time covered. The log is read once; the counts per slide are stored.
     """
     if seconds % slide:
         raise ValueError("the window length has to be a multiple of the slide")
@@ -172,16 +173,13 @@ def window_measures(log: DataFrame, seconds: int = 300, slide: int = 60, grid: b
         *[c.alias(n) for n, c in measures().items()]
     )
     if grid:
-        step = F.make_dt_interval(secs=F.lit(slide))
-        span = log.agg(*[
-            F.timestamp_seconds(F.floor(F.unix_seconds(f("ts")) / slide) * slide).alias(name)
-            for name, f in (("first", F.min), ("last", F.max))
-        ]).where("first is not null")
-        empty = span.select(F.explode(F.sequence("first", "last", step)).alias("slide_start")).select(
-            "slide_start",
-            *[F.lit(0.0 if n == "latency_sum" else 0).alias(n) for n in MEASURES],
-        )
-        slides = slides.unionByName(empty)
+        slides = stored(slides, "slides")
+        first, last = slides.agg(*[F.unix_seconds(f("slide_start")) for f in (F.min, F.max)]).first()
+        if first is not None:
+            empty = log.sparkSession.range(first, last + 1, slide).select(
+                F.timestamp_seconds("id").alias("slide_start"), *[F.lit(0.0 if n == "latency_sum" else 0).alias(n) for n in MEASURES]
+            )
+            slides = slides.unionByName(empty)
     covering = F.sequence(
         F.col("slide_start") - F.make_dt_interval(secs=F.lit(seconds - slide)),
         F.col("slide_start"),

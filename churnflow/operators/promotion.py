@@ -67,18 +67,25 @@ class Registry:
         newest = (
             self.entries()
             .where(F.col("status") == "promoted")
-            .agg(F.max_by("model_path", "version").alias("model_path"))
-            .first()["model_path"]
+            .agg(F.max(F.struct("version", "decided_at", "model_path")).alias("newest"))
+            .first()["newest"]
         )
         if newest is None:
             raise FileNotFoundError(f"Production model not found: {self.path}")
-        return newest
+        return newest["model_path"]
 
     def record(self, model_path: str, status: str) -> int:
-        version = (self.entries().agg(F.max("version")).first()[0] or 0) + 1
-        row = (version, model_path, status, datetime.now(timezone.utc))
-        append_table(self.spark.createDataFrame([row], REGISTRY_SCHEMA).coalesce(1), self.path)
-        return version
+        """Appends the next version. Of entries written at once under one version, only the first by time and path
+        keeps it; a later one is recorded again under the next."""
+        while True:
+            version = (self.entries().agg(F.max("version")).first()[0] or 0) + 1
+            decided_at = datetime.now(timezone.utc)
+            row = (version, model_path, status, decided_at)
+            append_table(self.spark.createDataFrame([row], REGISTRY_SCHEMA).coalesce(1), self.path)
+            same = self.entries().where(F.col("version") == version)
+            first = same.agg(F.min(F.struct("decided_at", "model_path")).alias("first")).first()["first"]
+            if same.count() == 1 or first["model_path"] == model_path:
+                return version
 
     def promote(self, model_path: str) -> int:
         return self.record(require_path(self.spark, model_path, "Candidate model"), "promoted")

@@ -197,4 +197,5 @@ def _failure_text(df: DataFrame, spec: DatasetSpec, failed: list[Row]) -> str:
 def _named(values: DataFrame) -> str:
     first = [r[0] for r in values.orderBy("value").limit(_NAMED_VALUES + 1).collect()]
     text = ", ".join(repr(v) for v in first[:_NAMED_VALUES])
-    return "{" + text + (", ..." if len(first) > _NAMED_VALUES else "") + "}"
+    more = values.count() - _NAMED_VALUES if len(first) > _NAMED_VALUES else 0
+    return "{" + text + (f", ... and {more} more" if more else "") + "}"

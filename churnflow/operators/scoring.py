@@ -64,10 +64,20 @@ def with_request_errors(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     return judged.withColumn("errors", errors).select(*[cell(c) for c in df.columns], "errors")
 
 
+def with_part(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """All requests with their errors and ``part``, valid or rejected: one pass serves both parts, as when
+    a table is written partitioned by it."""
+    part = F.when(F.size("errors") == 0, "valid").otherwise("rejected")
+    return with_request_errors(df, spec).withColumn("part", part)
+
+
 def quarantine(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
-    """(valid requests, refused requests with their errors)."""
-    checked = with_request_errors(df, spec)
-    return checked.where(F.size("errors") == 0).drop("errors"), checked.where(F.size("errors") > 0)
+    """(valid requests, refused requests with their errors), each judged when it is read; see ``with_part``."""
+    checked = with_part(df, spec)
+    return (
+        checked.where(F.col("part") == "valid").drop("errors", "part"),
+        checked.where(F.col("part") == "rejected").drop("part"),
+    )
 
 
 def error_counts(df: DataFrame, spec: DatasetSpec) -> DataFrame:

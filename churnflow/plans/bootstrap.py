@@ -13,7 +13,7 @@ from churnflow.operators.training import TUNE_SPACE, SearchProfile
 from churnflow.plans.candidate import build_candidate
 from churnflow.plans.layout import Layout
 from churnflow.sources.models import save_state
-from churnflow.sources.tables import read_processed, read_table, require_rows, write_table
+from churnflow.sources.tables import read_processed, read_table, require_rows, stored, write_table
 from churnflow.spec import DatasetSpec
 
 PARTS = ("initial", "new", "held_out")
@@ -28,7 +28,9 @@ def run_bootstrap(
     With ``install`` the first candidate becomes production, which nothing else would do.
     """
     layout = Layout(root)
-    write_table(three_way_split(require_rows(raw, "Raw data"), spec.target, spec.id_column),
+    # The split reads its input several times; the raw rows are parsed once.
+    rows = stored(require_rows(raw, "Raw data"), "raw")
+    write_table(three_way_split(rows, spec.target, spec.id_column),
                 layout.splits, ["split"])
     initial = read_table(spark, layout.data("initial"), "Initial data")
     validate(initial, spec)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from churnflow.functions.cells import cell
 from churnflow.operators import metrics as metric_ops
 from churnflow.operators.promotion import EVALUATION_SCHEMA, Registry, evaluation_entries
-from churnflow.operators.training import Candidate, Range, SearchProfile, scored, train_candidate, trials_table
+from churnflow.operators.training import NOT_APPLIED, Candidate, Range, SearchProfile, scored, train_candidate, trials_table
 from churnflow.plans.layout import Layout
 from churnflow.sources import records
 from churnflow.sources.models import load_model, save_model
@@ -64,12 +64,21 @@ def _record_runs(spark, layout, candidate, run, profile, counts, path) -> None:
         tags={"model_type": "GBTClassifier", "model_status": "candidate",
               "class_imbalance_handling": "scale_pos_weight"},
     )
+    entries = entries.unionByName(records.run_entries(
+        spark, f"{run}_search", f"{run}_search",
+        params={
+            "n_trials": profile.trials, "optimization_metric": "f1_score", "random_state": profile.seed,
+            "best_trial": candidate.best.number, **{f"best_{k}": v for k, v in candidate.best.params.items()},
+        },
+        metrics={"best_f1_score": candidate.best.objective},
+        tags={"sampler": "random", "not_applied": ",".join(NOT_APPLIED)},
+    ))
     for trial in candidate.trials:
         entries = entries.unionByName(records.run_entries(
             spark, f"{run}_trial_{trial.number:02d}", f"{run}_trial",
             params=trial.params, metrics=trial.metrics,
             tags={"trial_number": trial.number, "optimization_metric": "f1_score",
-                  "not_applied": "reg_alpha,reg_lambda"},
+                  "not_applied": ",".join(NOT_APPLIED)},
         ))
     records.append_run(entries, layout.ledger)
 
@@ -87,7 +96,7 @@ def evaluate_candidate(spark: SparkSession, layout: Layout, spec: DatasetSpec, c
     both = scored(production, scored(candidate, held_out, "candidate_score"), "production_score")
     scores_path = write_table(
         both.select(cell(spec.target).alias("label"), "candidate_score", "production_score"),
-        layout.processed("held_out_scores"),
+        layout.processed(f"held_out_scores-{uuid.uuid4().hex[:12]}"),
     )
     result = metric_ops.evaluation_record(
         metric_ops.classification_metrics(

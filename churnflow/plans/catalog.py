@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnflow.operators import assembly, features, metrics, monitoring, profile, promotion, quality, scoring
+from churnflow.operators import assembly, features, metrics, monitoring, profile, promotion, quality, scoring, sparse
 from churnflow.operators import split as splits
 from churnflow.operators import training
+from churnflow.operators.promotion import Registry
 from churnflow.plans.bootstrap import run_bootstrap
 from churnflow.plans.layout import Layout
 from churnflow.plans.retraining import run_retraining
@@ -60,10 +63,7 @@ def _minute(column: str) -> Column:
 @registered
 def csv_scan(spark, folder):
     """Delimited text written and read back: blanks stay, empty cells and NA tokens become null."""
-    path = tables.write_csv(_dirty(spark, folder), work_folder(spark, "csv"))
-    return tables.read_csv(spark, path).select(
-        "customerID", "gender", "SeniorCitizen", "Partner", "tenure", "Contract", "TotalCharges", "Churn"
-    )
+    return tables.read_csv(spark, tables.write_csv(_dirty(spark, folder), work_folder(spark, "csv")))
 
 
 @registered
@@ -83,9 +83,7 @@ def profile_missing(spark, folder):
 
 @registered
 def profile_head(spark, folder):
-    return profile.head(_subscribers(spark, folder), "customerID").select(
-        "customerID", "gender", "tenure", "Contract", "TotalCharges", "Churn"
-    )
+    return profile.head(_subscribers(spark, folder), "customerID")
 
 
 @registered
@@ -116,6 +114,13 @@ def validation_report_dirty(spark, folder):
     return quality.validation_report(_dirty(spark, folder), SPEC)
 
 
+@registered
+def schema_faults(spark, folder):
+    """The checks of a whole table where one column is missing and one is unknown."""
+    df = _subscribers(spark, folder).drop("gender").withColumn("loyalty", F.lit(1))
+    return quality.validation_report(df, SPEC).where(F.col("check").isin("V1", "V2", "V3", "V4"))
+
+
 @registered
 def duplicate_ids(spark, folder):
     return quality.duplicate_ids(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
@@ -206,6 +211,17 @@ def _state_table(spark, stats) -> DataFrame:
     return _rounded(state.select("kind", "column", "value_double"), 7, "value_double")
 
 
+@registered
+def constant_columns(spark, folder):
+    """Two columns of one value, the first with gaps: every cell scales to zero."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, 0.1).alias("tenth"), F.lit(70.35).alias("price")
+    )
+    state = features.PrepState(features.numeric_stats(orders, ("tenth", "price")), {}, {})
+    scaled = orders.select("o_orderkey", *state.features(orders, SPEC))
+    return _rounded(scaled, 9, *state.feature_names)
+
+
 @registered
 def category_counts(spark, folder):
     return features.category_counts(_dirty(spark, folder), SPEC)
@@ -213,16 +229,21 @@ def category_counts(spark, folder):
 
 @registered
 def fit_mode_state(spark, folder):
-    state = features.fit_state(_subscribers(spark, folder), SPEC).to_table(spark)
-    return state.where("kind = 'mode'").select("column", "value_string")
+    counts = features.category_counts(_subscribers(spark, folder), SPEC)
+    return features.modes_of(counts).withColumnRenamed("category", "value_string")
 
 
 @registered
 def fit_vocabulary(spark, folder):
-    state = features.fit_state(_subscribers(spark, folder), SPEC).to_table(spark)
-    return state.where("kind = 'category'").select(
-        "column", "category", F.col("ordinal").cast("bigint").alias("ordinal")
-    )
+    return features.vocabulary_of(tables.stored(features.category_counts(_subscribers(spark, folder), SPEC), "categories"))
+
+
+@registered
+def sparse_categories(spark, folder):
+    """The one-hot block of columns with many categories as a sparse matrix; flag N is unseen in fitting."""
+    lineitem = table(spark, folder, "lineitem")
+    state = sparse.fit_sparse(lineitem.where("l_returnflag <> 'N'"), ("l_partkey", "l_returnflag"))
+    return sparse.sparse_cells(lineitem, state, "l_orderkey", "l_linenumber")
 
 
 @registered
@@ -394,10 +415,41 @@ def promotion_record(spark, folder):
 
 @registered
 def run_ledger(spark, folder):
-    """The ledger rows of an evaluation, metrics rounded."""
+    """The ledger rows of an evaluation: metrics, parameters and tags."""
     entries = promotion.evaluation_entries(metrics.evaluation_record(_metrics(spark, folder)))
-    return entries.where("kind = 'metric'").select(
-        "run_name", "run_type", "key", F.round(F.col("value").cast("double"), 9).alias("value")
+    is_metric = F.col("kind") == "metric"
+    return entries.select(
+        "run_name", "run_type", "kind", "key",
+        F.when(is_metric, F.round(F.col("value").try_cast("double"), 9)).alias("number"),
+        F.when(~is_metric, F.col("value")).alias("text"),
+    )
+
+
+@registered
+def registry_history(spark, folder):
+    """The registry after a first model and three decisions: as measured, roles swapped, equal models."""
+    root = work_folder(spark, "registry")
+    registry = promotion.Registry(spark, f"{root}/registry")
+    measured = tables.stored(metrics.evaluation_record(_metrics(spark, folder)), "evaluation")
+
+    def roles(candidate: str, production: str) -> DataFrame:
+        return measured.select(
+            F.col(f"{candidate}_metrics").alias("candidate_metrics"), F.col(f"{production}_metrics").alias("production_metrics")
+        )
+
+    decisions = {
+        "as_measured": roles("candidate", "production"), "swapped": roles("production", "candidate"),
+        "equal": roles("candidate", "candidate"),
+    }
+    for name in ("first", *decisions):
+        tables.write_table(measured, f"{root}/{name}")
+    registry.promote(f"{root}/first")
+    for name, evaluation in decisions.items():
+        promotion.compare_and_promote(evaluation, f"{root}/{name}", registry, f"{root}/records")
+    production = registry.production_path()
+    return registry.entries().select(
+        "version", F.substring_index("model_path", "/", -1).alias("model"), "status",
+        (F.col("model_path") == production).alias("production"),
     )
 
 
@@ -423,28 +475,61 @@ def train_and_score(spark, folder):
     trees = training.fit_trees(train, params)
     test = parts.where("split = 'test'")
     assembled = assembly.assembler(state.feature_names).transform(test)
+    probability = F.col("probability")
     return training.scored(trees, assembled, "probability").select(
-        "customerID", "Churn", "probability", metrics.predicted_class(F.col("probability")).alias("prediction")
+        "customerID", "Churn", probability.between(0, 1).alias("in_range"),
+        (metrics.predicted_class(probability) == F.when(probability > 0.5, 1).otherwise(0)).alias("class_follows"),
     )
 
 
 @registered
 def search_trials(spark, folder):
+    """Every trial's drawn parameters, and whether its metrics are in range and its objective is its own F1."""
     prepared, state = _prepared(spark, folder)
     candidate = training.train_candidate(
         prepared, state.feature_names, SPEC, training.RETRAIN_SPACE, training.SearchProfile.smoke()
     )
-    return training.trials_table(spark, candidate.trials)
+    trials = training.trials_table(spark, candidate.trials)
+    in_range = reduce(and_, [F.col(f"metrics.{m}").between(0, 1) for m in metrics.METRICS])
+    return trials.select(
+        "trial", "state", *[F.round(F.col("params")[name], 9).alias(name) for name in training.RETRAIN_SPACE],
+        in_range.alias("in_range"), (F.col("objective") == F.col("metrics.f1_score")).alias("objective_is_f1"),
+    )
 
 
 @registered
 def retraining_flow(spark, folder):
-    """Both flows end to end with tiny models: the decision and the F1 scores it rests on."""
+    """Both flows end to end with tiny models: rows of all parts, and whether decision and registry agree."""
     layout, profile_ = Layout(work_folder(spark, "project")), training.SearchProfile.smoke()
     run_bootstrap(spark, _subscribers(spark, folder), layout.root, SPEC, profile_)
     decision = run_retraining(spark, layout.data("new"), layout.root, SPEC, profile_)
-    ledger = records.read_runs(spark, layout.ledger).where("run_type = 'model_promotion' AND kind = 'metric'")
-    return ledger.select(F.lit(decision).alias("decision"), "key", F.col("value").cast("double").alias("value"))
+    ledger = records.read_runs(spark, layout.ledger)
+    sizes = ledger.where("run_type = 'retraining_candidate' AND kind = 'param' AND key LIKE '%\\_rows'").select(
+        F.col("key").alias("name"), F.col("value").cast("bigint").alias("value")
+    )
+    promoted = Registry(spark, layout.registry).entries().where("status = 'promoted'").count()
+    f1 = {
+        r["key"]: float(r["value"])
+        for r in ledger.where("run_type = 'model_promotion' AND key LIKE '%f1\\_score' AND kind = 'metric'").collect()
+    }
+    better = f1["candidate_f1_score"] > f1["production_f1_score"]
+    more = {
+        "held_out_rows": tables.read_table(spark, layout.processed("held_out")).count(),
+        "registry_entries": Registry(spark, layout.registry).entries().count(),
+        "decision_follows_f1": int(decision == ("PROMOTE" if better else "REJECT")),
+        "registry_follows_decision": int(promoted == (2 if decision == "PROMOTE" else 1)),
+    }
+    return sizes.unionByName(spark.createDataFrame(list(more.items()), "name string, value bigint"))
+
+
+@registered
+def model_saved(spark, folder):
+    """Every subscriber scored by a model and by the same model after being saved and loaded."""
+    prepared, state = _prepared(spark, folder)
+    _, model = _fitted(spark, folder)
+    loaded = models.load_model(spark, models.save_model(model, work_folder(spark, "model")))
+    both = training.scored(loaded, training.scored(model, prepared, "before"), "after")
+    return both.select("customerID", (F.col("before") == F.col("after")).alias("same"), F.col("after").between(0, 1).alias("in_range"))
 
 
 # Scoring
@@ -463,10 +548,7 @@ def request_error_counts(spark, folder):
 
 @registered
 def quarantine(spark, folder):
-    valid, rejected = scoring.quarantine(_dirty(spark, folder), SPEC)
-    return valid.select("customerID", F.lit("valid").alias("part")).unionByName(
-        rejected.select("customerID", F.lit("rejected").alias("part"))
-    )
+    return scoring.with_part(_dirty(spark, folder), SPEC).select("customerID", "part")
 
 
 @registered
@@ -494,19 +576,24 @@ def score_requests(spark, folder):
     """Dirty requests scored with a fitted model: refused ones keep their errors."""
     state, model = _fitted(spark, folder)
     return scoring.score_requests(_dirty(spark, folder), state, SPEC, model).select(
-        "customerID", "status", F.size("errors").alias("broken_rules"), "probability"
+        "customerID", "status", F.size("errors").alias("broken_rules"),
+        F.coalesce(F.col("probability").between(0, 1), F.lit(False)).alias("has_probability"),
     )
 
 
 @registered
 def stream_scoring(spark, folder):
-    """The same requests through a stream; the log it leaves, counted per status."""
+    """The same requests through two streams into one folder, as if sent twice; the log they leave, counted per
+    status and by the requests of each customer."""
     state, model = _fitted(spark, folder)
     source = tables.write_table(_dirty(spark, folder), work_folder(spark, "requests"))
-    requests = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
     out = work_folder(spark, "scored")
-    score_stream(requests, state, SPEC, model, out, work_folder(spark, "progress")).awaitTermination()
-    return spark.read.parquet(f"{out}/log").groupBy("status").agg(F.count(F.lit(1)).alias("requests"))
+    for _ in range(2):
+        requests = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        request_id = F.expr("uuid()")
+        score_stream(requests, state, SPEC, model, out, work_folder(spark, "progress"), request_id).awaitTermination()
+    log = spark.read.parquet(f"{out}/log")
+    return log.groupBy("customerID", "status").agg(F.count(F.lit(1)).alias("requests"))
 
 
 # Monitoring
@@ -596,13 +683,17 @@ def last_values(spark, folder):
 
 @registered
 def stream_rates(spark, folder):
-    """The dashboard over the log as a stream; windows closed an hour before the last row."""
+    """The dashboard over the log as a stream. Rows of later days close all windows of the log."""
     static = table(spark, folder, "events")
-    # A pattern, because a file stream takes a folder or a pattern but not one file.
-    events = spark.readStream.schema(static.schema).parquet(f"{folder}/events*.parquet")
-    log = view_over(spark, "prediction_log", events=events)
-    out = run_to_table(stream_dashboard(log), work_folder(spark, "rates"), work_folder(spark, "progress"))
-    last = static.agg(F.max(F.col("ts").cast("timestamp"))).scalar()
-    values = ["request_rate", "error_rate", "avg_latency", "p95_latency"]
-    closed = spark.read.parquet(out).where(F.col("window_end") <= last - F.expr("INTERVAL 1 HOUR"))
-    return _rounded(closed.select(_minute("window_start"), *values), 9, *values)
+    source, out, progress = (work_folder(spark, p) for p in ("events", "rates", "progress"))
+    tables.write_table(static, source)
+    newest = tables.stored(static.orderBy(F.desc("ts")).limit(1), "newest")
+    for days in (1, 2, 3):
+        # Chained aggregations lag behind by a batch, so one closing row is not enough.
+        tables.append_table(newest.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {days} DAY")), source)
+        events = spark.readStream.schema(static.schema).parquet(source)
+        run_to_table(stream_dashboard(view_over(spark, "prediction_log", events=events)), out, progress)
+    last = newest.select(F.col("ts").cast("timestamp")).scalar()
+    values = list(monitoring.dashboard_columns(300))
+    of_log = spark.read.parquet(out).where(F.col("window_start") <= last)
+    return _rounded(of_log.select(_minute("window_start"), *values), 9, *values)

@@ -8,13 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from churnflow.functions.cells import NA_TOKENS
-from churnflow.operators.metrics import METRICS
-from churnflow.operators.monitoring import LATENCY_BOUNDS, PROBABILITY_BOUNDS
 from churnflow.sources.views import view_sql
 from churnflow.spec import telecom_spec
 
 SPEC = telecom_spec()
+# Fixed values, stated here once more so that a wrong constant of the engine shows.
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
+LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
+PROBABILITY_BOUNDS = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 LINEITEM_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 ORACLE: dict[str, str] = {}
 
@@ -68,10 +73,9 @@ def _number(column: str) -> str:
 
 @answer
 def csv_scan():
-    columns = ("customerID", "gender", "SeniorCitizen", "Partner", "tenure", "Contract", "TotalCharges", "Churn")
     cells = ", ".join(
         f"CASE WHEN CAST({c} AS VARCHAR) NOT IN {_list(NA_TOKENS)} THEN CAST({c} AS VARCHAR) END AS {c}"
-        for c in columns
+        for c in SPEC.columns
     )
     return _dirty(f"SELECT {cells} FROM subscribers_dirty")
 
@@ -105,9 +109,7 @@ def profile_missing():
 
 @answer
 def profile_head():
-    return _subscribers(
-        "SELECT customerID, gender, tenure, Contract, TotalCharges, Churn FROM subscribers ORDER BY customerID LIMIT 5"
-    )
+    return _subscribers("SELECT * FROM subscribers ORDER BY customerID LIMIT 5")
 
 
 @answer
@@ -179,6 +181,16 @@ def validation_report_dirty():
     return _dirty(_report("subscribers_dirty", _TEXTS | {"tenure"}))
 
 
+@answer
+def schema_faults():
+    return _subscribers("""
+    SELECT CAST(1 AS BIGINT) AS position, 'V1' AS "check", '' AS "column",
+      (SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM subscribers)::BIGINT AS violations, 'passed' AS status
+    UNION ALL SELECT 2, 'V2', 'gender', 1, 'failed'
+    UNION ALL SELECT 3, 'V3', 'loyalty', 1, 'failed'
+    UNION ALL SELECT 4, 'V4', 'customerID', (SELECT count(*) - count(DISTINCT customerID) FROM subscribers), 'passed'""")
+
+
 @answer
 def duplicate_ids():
     return (
@@ -345,6 +357,11 @@ def fit_numeric_state_lineitem():
     return _with([], _numeric_rows(LINEITEM_NUMBERS), **_fit_ctes("lineitem", {c: c for c in LINEITEM_NUMBERS}))
 
 
+@answer
+def constant_columns():
+    return 'SELECT o_orderkey, 0.0::DOUBLE AS "numerical__tenth", 0.0::DOUBLE AS "numerical__price" FROM orders'
+
+
 @answer
 def category_counts():
     return _dirty(" UNION ALL ".join(
@@ -378,6 +395,22 @@ def fit_vocabulary():
     return _subscribers(_vocabulary_rows())
 
 
+@answer
+def sparse_categories():
+    return _with(
+        [],
+        """
+        SELECT l_orderkey, l_linenumber, 'l_partkey' AS "column", position
+        FROM lineitem JOIN p ON o = 1 AND w = CAST(l_partkey AS VARCHAR)
+        UNION ALL SELECT l_orderkey, l_linenumber, 'l_returnflag', position
+        FROM lineitem JOIN p ON o = 2 AND w = l_returnflag
+        """,
+        fitted="SELECT * FROM lineitem WHERE l_returnflag <> 'N'",
+        v="SELECT 1 AS o, CAST(l_partkey AS VARCHAR) AS w FROM fitted UNION SELECT 2, l_returnflag FROM fitted",
+        p="SELECT o, w, row_number() OVER (ORDER BY o, w) - 1 AS position FROM v",
+    )
+
+
 @answer
 def prep_state_saved():
     return _subscribers(
@@ -612,10 +645,13 @@ def run_ledger():
     lines = [
         (f"{side}_{m}", f"{alias}.{m}") for side, alias in (("candidate", "cand"), ("production", "prod")) for m in METRICS
     ] + [("f1_improvement", "cand.f1_score - prod.f1_score")]
+    rows = [("metric", key, f"round({value}, 9)", "CAST(NULL AS VARCHAR)") for key, value in lines]
+    rows.append(("param", "candidate_better", "NULL", "CAST(cand.f1_score > prod.f1_score AS VARCHAR)"))
+    rows.append(("tag", "comparison_metric", "NULL", "'f1_score'"))
     body = " UNION ALL ".join(
         f"SELECT 'candidate_held_out_evaluation' AS run_name, 'held_out_evaluation' AS run_type, "
-        f"'{key}' AS key, round({value}, 9) AS value FROM cand CROSS JOIN prod"
-        for key, value in lines
+        f"'{kind}' AS kind, '{key}' AS key, {number} AS number, {text} AS text FROM cand CROSS JOIN prod"
+        for kind, key, number, text in rows
     )
     return _with(["model_scores"], body, **_METRIC_CTES, **_PAIR)
 
@@ -629,6 +665,75 @@ def best_trial():
     )
 
 
+@answer
+def registry_history():
+    return _with(
+        ["model_scores"],
+        "SELECT version, model, status, version = (SELECT max(version) FROM h WHERE status = 'promoted') AS production FROM h",
+        **_METRIC_CTES, **_PAIR,
+        h="SELECT CAST(1 AS BIGINT) AS version, 'first' AS model, 'promoted' AS status "
+          "UNION ALL SELECT 2, 'as_measured', CASE WHEN cand.f1_score > prod.f1_score THEN 'promoted' ELSE 'rejected' END "
+          "FROM cand CROSS JOIN prod "
+          "UNION ALL SELECT 3, 'swapped', CASE WHEN prod.f1_score > cand.f1_score THEN 'promoted' ELSE 'rejected' END "
+          "FROM cand CROSS JOIN prod "
+          "UNION ALL SELECT 4, 'equal', 'rejected'",
+    )
+
+
+# Training: what can be said without fitting the trees again
+
+
+@answer
+def train_and_score():
+    return _subscribers(
+        "SELECT customerID, CASE Churn WHEN 'Yes' THEN 1 ELSE 0 END AS Churn, true AS in_range, true AS class_follows "
+        "FROM asplit WHERE ain",
+        **_quota_ctes("a", "subscribers", "Churn", "customerID", 0.2, "42:1:"),
+    )
+
+
+@answer
+def search_trials():
+    # The parameters that the seed draws, trial by trial.
+    names = ("n_estimators", "max_depth", "learning_rate", "min_child_weight", "subsample", "colsample_bytree", "gamma",
+             "reg_alpha", "reg_lambda", "scale_pos_weight")
+    trials = (
+        (3, 4, 0.010981591, 5, 0.867663207, 0.966984161, 2.270011543, 1.252454207, 4.298728466, 2.793624692),
+        (3, 4, 0.099152724, 10, 0.801270425, 0.828473328, 3.212488538, 1.344633199, 0.453351884, 1.974897805),
+        (4, 3, 0.236759045, 4, 0.936608134, 0.650510859, 0.621153882, 1.728928132, 0.121799721, 2.224339617),
+    )
+    return " UNION ALL ".join(
+        f"SELECT {i} AS trial, 'complete' AS state, "
+        + ", ".join(f"CAST({v} AS DOUBLE) AS {n}" for n, v in zip(names, values)) + ", true AS in_range, true AS objective_is_f1"
+        for i, values in enumerate(trials)
+    )
+
+
+@answer
+def retraining_flow():
+    return _subscribers(
+        """
+        SELECT 'initial_rows' AS name, CAST(initial AS BIGINT) AS value FROM s
+        UNION ALL SELECT 'new_rows', fresh FROM s
+        UNION ALL SELECT 'combined_rows', initial + fresh FROM s
+        UNION ALL SELECT 'validation_rows', CAST(ceil((initial + fresh) * 0.2) AS BIGINT) FROM s
+        UNION ALL SELECT 'training_rows', initial + fresh - CAST(ceil((initial + fresh) * 0.2) AS BIGINT) FROM s
+        UNION ALL SELECT 'held_out_rows', held_out FROM s
+        UNION ALL SELECT 'registry_entries', 2
+        UNION ALL SELECT 'decision_follows_f1', 1
+        UNION ALL SELECT 'registry_follows_decision', 1
+        """,
+        **_three_way(),
+        s="SELECT count(*) FILTER (WHERE split = 'initial') AS initial, count(*) FILTER (WHERE split = 'new') AS fresh, "
+          "count(*) FILTER (WHERE split = 'held_out') AS held_out FROM parts",
+    )
+
+
+@answer
+def model_saved():
+    return _subscribers("SELECT customerID, true AS same, true AS in_range FROM subscribers")
+
+
 # Scoring
 
 
@@ -678,7 +783,17 @@ def quarantine():
 def stream_scoring():
     valid = " AND ".join(f"({rule}) IS NULL" for _, rule in _field_rules())
     return _dirty(
-        f"SELECT CASE WHEN {valid} THEN 200 ELSE 422 END AS status, count(*) AS requests FROM subscribers_dirty GROUP BY 1"
+        f"SELECT customerID, CASE WHEN {valid} THEN 200 ELSE 422 END AS status, 2 * count(*) AS requests "
+        "FROM subscribers_dirty GROUP BY 1, 2"
+    )
+
+
+@answer
+def score_requests():
+    broken = " + ".join(f"CASE WHEN ({rule}) IS NULL THEN 0 ELSE 1 END" for _, rule in _field_rules())
+    return _dirty(
+        "SELECT customerID, CASE WHEN broken = 0 THEN 200 ELSE 422 END AS status, broken AS broken_rules, "
+        f"broken = 0 AS has_probability FROM (SELECT customerID, {broken} AS broken FROM subscribers_dirty)"
     )
 
 
@@ -815,10 +930,8 @@ def hourly_dashboard():
 
 @answer
 def stream_rates():
-    values = ("request_rate", "error_rate", "avg_latency", "p95_latency")
     return _log(
-        f"SELECT {_START}, " + ", ".join(f"round({v}, 9) AS {v}" for v in values) + " FROM dash "
-        "WHERE ws + INTERVAL 300 second <= (SELECT max(ts) FROM prediction_log) - INTERVAL 1 hour",
+        f"SELECT {_START}, " + ", ".join(f"round({v}, 9) AS {v}" for v in _VALUES) + " FROM dash",
         **_window_ctes(300, 60, grid=False),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from churnflow.operators.assembly import combine, row_accounting
@@ -16,16 +18,21 @@ from churnflow.sources.tables import read_csv, read_processed, read_table, requi
 from churnflow.spec import DatasetSpec
 
 
-def ingest(spark: SparkSession, path: str) -> DataFrame:
-    """The new rows, from a Parquet table or, by its name, a delimited text file."""
-    read = read_csv if path.endswith((".csv", ".csv.gz")) else read_table
-    return require_rows(read(spark, path, "New data"), "New data")
+def ingest(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """The new rows, from a Parquet table or delimited text files: ``fmt`` is parquet, csv, or, by the name's ending, None."""
+    kind = fmt or ("csv" if path.lower().endswith((".csv", ".csv.gz")) else "parquet")
+    if kind not in _READERS:
+        raise ValueError(f"unknown format: {kind}")
+    return require_rows(_READERS[kind](spark, path, "New data"), "New data")
+
+
+_READERS = {"csv": read_csv, "parquet": read_table}
 
 
 def transform_new(spark: SparkSession, layout: Layout, rows: DataFrame, spec: DatasetSpec) -> str:
-    """Prepares validated rows with the saved state and checks what came out."""
+    """Prepares validated rows with the saved state, in a folder of this run, and checks what came out."""
     state = load_state(spark, layout.state, spec)
-    path = write_table(transform(rows, state, spec), layout.processed("new"))
+    path = write_table(transform(rows, state, spec), layout.processed(f"new-{uuid.uuid4().hex[:12]}"))
     require_prepared(read_table(spark, path), state, spec)
     return path
 
@@ -48,11 +55,12 @@ def retrain(
 
 
 def run_retraining(
-    spark: SparkSession, new_data: str, root: str, spec: DatasetSpec, profile: SearchProfile | None = None
+    spark: SparkSession, new_data: str, root: str, spec: DatasetSpec, profile: SearchProfile | None = None,
+    fmt: str | None = None,
 ) -> str:
     """Ingest, validate, transform, retrain, evaluate, decide; each step gates the next."""
     layout = Layout(root)
-    rows = ingest(spark, new_data)
+    rows = ingest(spark, new_data, fmt)
     validate(rows, spec)
     new_path = transform_new(spark, layout, rows, spec)
     candidate_path = retrain(spark, layout, new_path, spec, profile or SearchProfile.full())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,21 +30,14 @@ def build_session(app_name: str = "churnflow", master: str | None = None, **conf
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder of this machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir`` or set on the context."""
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="churnflow-"))
-    return context.getCheckpointDir()
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnflow.functions.cells import NA_TOKENS, cell
+from churnflow.functions.cells import NA_TOKENS, cell, quoted
+from churnflow.session import work_folder
 
 
 def _reading(what: str, path: str, load: Callable[[], DataFrame]) -> DataFrame:
@@ -36,18 +37,31 @@ def read_csv(
 ) -> DataFrame:
     """A delimited file with a header, every column as text and NA tokens as null.
 
-    Types are never guessed: validation sees the cells as written. Cells with line breaks need
-    ``multiline``, which makes each file one task; leave it off for large files.
+    Types are never guessed: validation sees the cells as written. A row with more cells than the header fails the
+    job; missing cells at its end are null. Cells with line breaks need ``multiline``, which makes each file one task;
+    without it a file that has such cells is refused, after a look at its quotes.
     """
-    raw = _reading(
-        what,
-        path,
-        lambda: spark.read.options(
-            header=True, inferSchema=False, enforceSchema=False, escape='"', multiLine=multiline
-        ).csv(path),
-    )
+    options = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multiline}
+    names = _reading(what, path, lambda: spark.read.options(**options, enforceSchema=False).csv(path)).columns
+    if not multiline:
+        _require_whole_lines(spark, path, what)
+    schema = ", ".join(f"{quoted(c)} string" for c in (*names, _SURPLUS))
+    # No text stands for null, so that an empty surplus cell shows.
+    raw = spark.read.schema(schema).options(**options, enforceSchema=True, nullValue="\x00", emptyValue="").csv(path)
+    surplus = F.raise_error(F.concat(F.lit(f"{what} has more cells than its header: "), F.coalesce(cell(names[0]), F.lit("")))).cast("boolean")
+    kept = raw.where(F.when(cell(_SURPLUS).isNull(), True).otherwise(surplus))
     tokens = list(na_tokens)
-    return raw.select(*[F.when(~cell(c).isin(tokens), cell(c)).alias(c) for c in raw.columns])
+    return kept.select(*[F.when(~cell(c).isin(tokens), cell(c)).alias(c) for c in names])
+
+
+_SURPLUS = "__surplus"
+
+
+def _require_whole_lines(spark: SparkSession, path: str, what: str) -> None:
+    """Fails if a line of the files has an odd number of quotes: its record goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    if not spark.read.text(path).where(quotes % 2 == 1).isEmpty():
+        raise ValueError(f"{what} has cells with line breaks; read it with multiline=True")
 
 
 def read_table(spark: SparkSession, path: str, what: str = "Data") -> DataFrame:
@@ -76,6 +90,13 @@ def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> s
     return path
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows after being written to the shared work folder: later steps don't compute them again."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_table(df: DataFrame, path: str) -> str:
     df.write.mode("append").parquet(path)
     return path

@@ -8,12 +8,13 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "churnflow-tests",
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("work")),
         spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnflow.functions.ordered import exact_medians
-from churnflow.operators import features
+from churnflow.functions.running import running_totals
+from churnflow.operators import features, sparse
 from churnflow.sources.models import load_state, save_state
 from churnflow.sources.views import view
 from tests.rows import FIRST, SECOND, SPEC, changed, frame
@@ -51,8 +52,41 @@ def test_statistics_are_of_the_filled_column(spark):
     assert stats.std == pytest.approx(filled.std(), abs=1e-12)
 
 
+@pytest.mark.parametrize("value", [0.1, 70.35, -1e9, 1e-300, 0.0])
+def test_constant_columns_with_gaps_scale_to_zero(spark, value):
+    df = spark.range(3000).select(F.when(F.col("id") % 7 != 0, F.lit(value)).alias("x"), F.lit(value).alias("y")).repartition(8)
+    stats = features.numeric_stats(df, ["x", "y"])
+    assert all((s.median, s.mean, s.std) == (value, value, 0.0) for s in stats.values())
+
+
+def test_small_spreads_are_no_noise(spark):
+    df = spark.range(1000).select((1.0 + (F.col("id") % 2) * 1e-9).alias("x"))
+    assert features.numeric_stats(df, ["x"])["x"].std == pytest.approx(5e-10, rel=1e-3)
+
+
+def test_sparse_form_has_no_limit(spark):
+    df = spark.range(30_000).select("id", F.concat(F.lit("k"), "id").alias("a"), F.when(F.col("id") % 3 > 0, "x").alias("b"))
+    state = sparse.fit_sparse(df.where("id < 25000"), ("a", "b"))
+    assert state.width == 25_001
+    cells = sparse.sparse_cells(df, state, "id")
+    assert cells.where("column = 'a'").count() == 25_000 and cells.where("column = 'b'").count() == 30_000
+    order = {w: i for i, w in enumerate(sorted(f"k{i}" for i in range(25_000)))}
+    assert all(order[f"k{r['id']}"] == r["position"] for r in cells.where("column = 'a' AND id % 1000 = 7").collect())
+    vectors = {r["id"]: r["features"] for r in sparse.sparse_features(df, state, "id").where("id % 5000 = 0").collect()}
+    assert all(v.size == 25_001 and v.numNonzeros() == (2 if i < 25_000 else 1) for i, v in vectors.items())
+    with pytest.raises(ValueError, match="without values"):
+        sparse.fit_sparse(df.select("id", F.lit(None).cast("string").alias("a")), ("a",))
+
+
+def test_running_totals(spark):
+    df = spark.range(500).selectExpr("if(id % 3 = 0, 'a', 'b') AS g", "id * 7 % 500 AS k", "id AS v")
+    rows = running_totals(df, "g", "k", ["v"]).collect()
+    for r in rows[::17]:
+        assert r["before_v"] == sum(x["v"] for x in rows if x["g"] == r["g"] and x["k"] < r["k"])
+
+
 def test_equal_values_scale_to_zero(spark):
-    df = frame(spark, FIRST, SECOND | {"tenure": 1})
+    df = frame(spark, FIRST, SECOND | {"tenure": FIRST["tenure"]})
     prepared, _ = features.fit_and_transform(df, SPEC)
     assert [r[0] for r in prepared.select("numerical__tenure").collect()] == [0.0, 0.0]
 

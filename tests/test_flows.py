@@ -8,7 +8,7 @@ from churnflow.operators import assembly, training
 from churnflow.operators.promotion import Registry
 from churnflow.plans.bootstrap import run_bootstrap, trials_of
 from churnflow.plans.layout import Layout
-from churnflow.plans.retraining import run_retraining
+from churnflow.plans.retraining import ingest, run_retraining
 from churnflow.sources.records import read_runs
 from churnflow.sources.tables import read_processed, read_table, require_path, write_csv, write_table
 from churnflow.sources.views import view
@@ -52,12 +52,27 @@ def test_retraining_decides_and_records(spark, project):
     assert decision == ("PROMOTE" if better else "REJECT")
     assert (Registry(spark, layout.registry).production_path() != first) == better
     kinds = {r["run_type"] for r in read_runs(spark, layout.ledger).select("run_type").distinct().collect()}
-    assert kinds == {"tuning_trial", "tuning_candidate", "retraining_trial", "retraining_candidate",
+    assert kinds == {"tuning_trial", "tuning_candidate", "tuning_search", "retraining_search", "retraining_trial", "retraining_candidate",
                      "held_out_evaluation", "model_promotion"}
     summary = spark.read.json(layout.record("retraining_summary")).first()["row_counts"]
     assert (summary["initial_rows"], summary["new_rows"], summary["combined_rows"]) == (900, 300, 1200)
 
 
+def test_training_takes_repeated_ids(spark):
+    rows = [(f"c{i % 60}", i % 2, float(i % 7), float(i)) for i in range(240)]
+    df = spark.createDataFrame([r[:3] + (0.0,) for r in rows] + rows, "customerID string, Churn int, x double, y double")
+    candidate = training.train_candidate(df, ["x", "y"], SPEC, training.RETRAIN_SPACE, SMOKE)
+    assert (candidate.train_rows, candidate.valid_rows) == (384, 96)
+
+
+def test_formats_by_name_or_argument(spark, tmp_path):
+    path = write_csv(frame(spark), str(tmp_path / "folder"))
+    assert ingest(spark, path, "csv").count() == 2
+    assert ingest(spark, write_csv(frame(spark), str(tmp_path / "T.CSV"))).count() == 2
+    with pytest.raises(ValueError, match="unknown format"):
+        ingest(spark, path, "xml")
+
+
 def test_bad_new_data_stops_the_flow(spark, project, tmp_path):
     layout, _ = project
     with pytest.raises(FileNotFoundError, match="New data not found"):

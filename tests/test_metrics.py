@@ -8,8 +8,8 @@ def labelled(spark, pairs):
     return spark.createDataFrame([(int(l), float(s)) for l, s in pairs], "label int, score double")
 
 
-def measured(spark, pairs, **options):
-    return metrics.classification_metrics(labelled(spark, pairs), "label", {"m": "score"}, **options).first()
+def measured(spark, pairs):
+    return metrics.classification_metrics(labelled(spark, pairs), "label", {"m": "score"}).first()
 
 
 def brute_auc(pairs):
@@ -28,8 +28,19 @@ def test_golden_confusion(spark):
     assert row["f1_score"] == 0.6350282485875707
 
 
-@pytest.mark.parametrize("intervals", [2, 7, 256])
-def test_auc_matches_all_pairs(spark, intervals):
+@pytest.mark.parametrize("ranges", [1, 2, 7])
+def test_auc_matches_all_pairs(spark, ranges):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _check_auc(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def _check_auc(spark):
     generator = np.random.default_rng(3)
     samples = {
         "continuous": generator.random(600),
@@ -42,9 +53,9 @@ def test_auc_matches_all_pairs(spark, intervals):
     for name, scores in samples.items():
         labels = (generator.random(600) < 0.3 + 0.4 * (scores > np.median(scores))).astype(int)
         pairs = list(zip(labels, scores))
-        row = measured(spark, pairs, intervals=intervals)
+        row = measured(spark, pairs)
         assert row["roc_auc"] == pytest.approx(brute_auc(pairs), abs=1e-12), name
-        flipped = measured(spark, [(l, -s) for l, s in pairs], intervals=intervals)
+        flipped = measured(spark, [(l, -s) for l, s in pairs])
         assert row["roc_auc"] + flipped["roc_auc"] == pytest.approx(1.0, abs=1e-12), name
 
 
@@ -66,6 +77,15 @@ def test_missing_scores_fail(spark, score):
     df = spark.createDataFrame([(1, 0.5), (0, score)], "label int, score double")
     with pytest.raises(Exception, match="label or score is missing"):
         metrics.classification_metrics(df, "label", {"m": "score"}).collect()
+    with pytest.raises(Exception, match="label or score is missing"):
+        metrics.confusion_counts(df, "label", "score").collect()
+
+
+def test_missing_labels_fail(spark):
+    df = spark.createDataFrame([(1, 0.5), (None, 0.7)], "label int, score double")
+    for counted in (lambda: metrics.confusion_counts(df, "label", "score"), lambda: metrics.classification_metrics(df, "label", {"m": "score"})):
+        with pytest.raises(Exception, match="label or score is missing"):
+            counted().collect()
 
 
 def test_models_are_independent(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from churnflow.operators import monitoring
 from churnflow.sources.tables import append_table
 from churnflow.sources.views import view
-from churnflow.streaming.monitoring import run_to_table, stream_dashboard
+from churnflow.streaming.monitoring import run_to_table, start_to_table, stream_dashboard
 
 START = datetime(2024, 1, 1)
 SCHEMA = "request_id bigint, ts timestamp, status int, latency_seconds double, probability double"
@@ -111,8 +111,31 @@ def test_stream_drops_repeats_and_late_rows(spark, tmp_path):
     for batch in batches:
         append_table(batch, source)
     stream = spark.readStream.schema(batches[0].schema).option("maxFilesPerTrigger", 1).parquet(source)
-    path = run_to_table(stream_dashboard(stream), str(tmp_path / "out"), str(tmp_path / "progress"))
+    path = run_to_table(stream_dashboard(stream, distinct=True), str(tmp_path / "out"), str(tmp_path / "progress"))
     rates = {r["window_start"]: r["request_rate"] * 300 for r in spark.read.parquet(path).collect()}
     # The repeated first request counts once, and request 4 arrives an hour late.
     assert rates[START] == pytest.approx(2.0)
     assert rates[START + timedelta(minutes=60)] == pytest.approx(2.0)
+    # Unless asked, nothing is taken for a repeat.
+    path = run_to_table(stream_dashboard(stream), str(tmp_path / "all"), str(tmp_path / "progress_all"))
+    rates = {r["window_start"]: r["request_rate"] * 300 for r in spark.read.parquet(path).collect()}
+    assert rates[START] == pytest.approx(3.0)
+
+
+def test_a_stream_can_keep_running(spark, tmp_path):
+    source = str(tmp_path / "log")
+    append_table(log(spark, (0, 200, 0.1, 0.6)), source)
+    stream = spark.readStream.schema(SCHEMA).parquet(source)
+    query = start_to_table(stream_dashboard(stream), str(tmp_path / "out"), str(tmp_path / "p"), {"processingTime": "1 second"})
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+
+
+def test_the_log_is_read_once(spark, tmp_path):
+    append_table(log(spark, (0, 200, 0.1, 0.6), (4000, 200, 0.1, 0.6)), str(tmp_path / "log"))
+    windows = monitoring.window_measures(spark.read.parquet(str(tmp_path / "log")))
+    plan = windows._jdf.queryExecution().optimizedPlan().toString()
+    assert f"{tmp_path}" not in plan and "Range (" in plan and windows.count() == 71

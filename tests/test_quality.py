@@ -29,7 +29,7 @@ def test_unexpected_column_comes_before_duplicate_id(spark):
 
 def test_duplicate_id(spark):
     with pytest.raises(ValueError, match="Found 1 duplicate customer IDs"):
-        quality.validate(frame(spark, FIRST, SECOND | {"customerID": "001"}), SPEC)
+        quality.validate(frame(spark, FIRST, SECOND | {"customerID": "c-07"}), SPEC)
 
 
 def test_null_ids_are_equal(spark):
@@ -99,7 +99,7 @@ def test_report_lists_schema_faults_and_allowed_blanks(spark):
 def test_long_lists_of_values_are_shortened_in_the_text_only(spark):
     rows = [FIRST | {"customerID": str(i), "gender": f"g{i:03}"} for i in range(50)]
     df = frame(spark, *rows)
-    with pytest.raises(ValueError, match=r"'g019', \.\.\.\}"):
+    with pytest.raises(ValueError, match=r"'g019', \.\.\. and 30 more\}"):
         quality.validate(df, SPEC)
     assert quality.unexpected_categories(df, SPEC.categories).count() == 50
 
@@ -109,9 +109,31 @@ def test_csv_cells(spark, tmp_path):
     rows = FIRST | {"TotalCharges": " ", "gender": "NA", "Contract": '"quoted", text'}, SECOND | {"TotalCharges": ""}
     write_csv(frame(spark, *rows), folder)
     found = {r["customerID"]: r for r in read_csv(spark, folder).collect()}
-    assert found["001"]["TotalCharges"] == " "  # an allowed blank
-    assert found["001"]["gender"] is None  # a missing value
-    assert found["001"]["Contract"] == '"quoted", text'
-    assert found["002"]["TotalCharges"] is None
+    assert found["c-07"]["TotalCharges"] == " "  # an allowed blank
+    assert found["c-07"]["gender"] is None  # a missing value
+    assert found["c-07"]["Contract"] == '"quoted", text'
+    assert found["c-31"]["TotalCharges"] is None
     with pytest.raises(FileNotFoundError, match="New data not found"):
         read_csv(spark, str(tmp_path / "nowhere.csv"), "New data")
+
+
+def test_csv_rows_of_other_lengths(spark, tmp_path):
+    def lines(name, *text):
+        (tmp_path / name).write_text("\n".join(text) + "\n")
+        return str(tmp_path / name)
+
+    short = read_csv(spark, lines("short.csv", "a,b", "1,2", "3"))
+    assert [tuple(r) for r in short.collect()] == [("1", "2"), ("3", None)]
+    for surplus in ("3,4,5", "3,4,"):
+        df = read_csv(spark, lines("long.csv", "a,b", "1,2", surplus))
+        for selected in (df, df.select("a"), df.select("b")):
+            with pytest.raises(Exception, match="more cells than its header"):
+                selected.collect()
+
+
+def test_csv_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2,"say ""hi"""\n')
+    with pytest.raises(ValueError, match="multiline=True"):
+        read_csv(spark, str(tmp_path / "t.csv"))
+    whole = read_csv(spark, str(tmp_path / "t.csv"), multiline=True)
+    assert [tuple(r) for r in whole.collect()] == [("1", "x\ny"), ("2", 'say "hi"')]

@@ -58,8 +58,8 @@ def test_valid_requests(spark):
 
 def test_quarantine_keeps_every_row_once(spark):
     valid, refused = scoring.quarantine(changed(spark, "gender", "x"), SPEC)
-    assert [r["customerID"] for r in valid.collect()] == ["002"]
-    assert [r["customerID"] for r in refused.collect()] == ["001"]
+    assert [r["customerID"] for r in valid.collect()] == ["c-31"]
+    assert [r["customerID"] for r in refused.collect()] == ["c-07"]
     assert refused.first()["errors"][0]["field"] == "gender"
 
 
@@ -67,21 +67,21 @@ def test_status_and_response(spark):
     state = fit_state(frame(spark), SPEC)
     rows = (
         FIRST, SECOND,
-        FIRST | {"customerID": "003", "gender": "x"},
-        FIRST | {"customerID": "004", "TotalCharges": "inf"},
-        FIRST | {"customerID": "005", "TotalCharges": None},
+        FIRST | {"customerID": "c-52", "gender": "x"},
+        FIRST | {"customerID": "c-64", "TotalCharges": "inf"},
+        FIRST | {"customerID": "c-88", "TotalCharges": None},
     )
     scored = scoring.score_requests(frame(spark, *rows), state, SPEC, HalfTenure())
     found = {r["customerID"]: (r["status"], r["probability"]) for r in scored.collect()}
     assert found == {
-        "001": (200, 0.5), "002": (200, 0.87654), "003": (422, None), "004": (500, None), "005": (200, 0.5),
+        "c-07": (200, 0.5), "c-31": (200, 0.87654), "c-52": (422, None), "c-64": (500, None), "c-88": (200, 0.5),
     }
     answers = {r["customerID"]: tuple(r)[1:] for r in scoring.responses(scored, SPEC).collect()}
-    assert answers == {"001": (0, "No", 0.5), "002": (1, "Yes", 0.8765), "005": (0, "No", 0.5)}
+    assert answers == {"c-07": (0, "No", 0.5), "c-31": (1, "Yes", 0.8765), "c-88": (0, "No", 0.5)}
     log = scoring.prediction_log(scored, SPEC, F.col("customerID"), F.current_timestamp(), F.lit(0.25))
     assert {r["request_id"]: (r["latency_seconds"], r["label"], r["probability"]) for r in log.collect()} == {
-        "001": (0.25, "No", 0.5), "002": (0.25, "Yes", 0.87654), "003": (None, None, None),
-        "004": (0.25, None, None), "005": (0.25, "No", 0.5),
+        "c-07": (0.25, "No", 0.5), "c-31": (0.25, "Yes", 0.87654), "c-52": (None, None, None),
+        "c-64": (0.25, None, None), "c-88": (0.25, "No", 0.5),
     }
 
 
@@ -94,16 +94,23 @@ def test_requests_without_optional_column(spark):
 
 def test_stream_gives_the_same_rows_as_a_batch(spark, tmp_path):
     state = fit_state(frame(spark), SPEC)
-    rows = frame(spark, FIRST, SECOND, FIRST | {"customerID": "003", "gender": "x"})
+    rows = frame(spark, FIRST, SECOND, FIRST | {"customerID": "c-52", "gender": "x"})
     source = write_table(rows.repartition(3, "customerID"), str(tmp_path / "requests"))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
     out = str(tmp_path / "out")
-    score_stream(stream, state, SPEC, HalfTenure(), out, str(tmp_path / "progress")).awaitTermination()
+    start = lambda progress: score_stream(stream, state, SPEC, HalfTenure(), out, str(tmp_path / progress), F.expr("uuid()"))
+    start("progress").awaitTermination()
     batch = scoring.score_requests(rows, state, SPEC, HalfTenure())
     expected = {tuple(r) for r in scoring.responses(batch, SPEC).collect()}
-    got = spark.read.parquet(f"{out}/responses").drop("batch_id")
+    got = spark.read.parquet(f"{out}/responses").drop("batch_id", "run_id")
     assert {tuple(r) for r in got.collect()} == expected and got.count() == 2
-    assert [r["customerID"] for r in spark.read.parquet(f"{out}/rejected").collect()] == ["003"]
+    assert [r["customerID"] for r in spark.read.parquet(f"{out}/rejected").collect()] == ["c-52"]
     log = spark.read.parquet(f"{out}/log")
-    assert {r["customerID"]: r["status"] for r in log.collect()} == {"001": 200, "002": 200, "003": 422}
+    assert {r["customerID"]: r["status"] for r in log.collect()} == {"c-07": 200, "c-31": 200, "c-52": 422}
     assert log.where("latency_seconds is null").count() == 1
+    # With its checkpoint the query goes on where it stopped; with a new one it scores all again, beside the old rows.
+    start("progress").awaitTermination()
+    assert spark.read.parquet(f"{out}/log").count() == 3
+    start("other").awaitTermination()
+    again = spark.read.parquet(f"{out}/log")
+    assert again.count() == 6 and again.select("request_id").distinct().count() == 6
