@@ -107,8 +107,8 @@ def histogram(log: DataFrame, value: str, bounds: Sequence[float], *by: str) ->
 
 
 def merge_histograms(histograms: DataFrame) -> DataFrame:
-    """Buckets summed over all series, per upper bound."""
-    return histograms.groupBy("le").agg(F.sum("cumulative").alias("cumulative"))
+    """Buckets, sums and counts of all series added up, per upper bound."""
+    return histograms.groupBy("le").agg(*[F.sum(c).alias(c) for c in ("cumulative", "sum", "count")])
 
 
 def histogram_quantile(q: float, bounds: Sequence[float], cumulative: Sequence[Column], total: Column) -> Column:

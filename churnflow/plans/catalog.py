@@ -248,12 +248,12 @@ def sparse_categories(spark, folder):
 
 @registered
 def prep_state_saved(spark, folder):
-    """The state after being saved and loaded, counted per kind and column."""
+    """Every entry of the state after being saved and loaded."""
     path = models.save_state(spark, features.fit_state(_subscribers(spark, folder), SPEC), work_folder(spark, "state"))
     state = models.load_state(spark, path, SPEC).to_table(spark)
-    return state.groupBy("kind", "column").agg(
-        F.count(F.lit(1)).alias("entries"), F.round(F.max("value_double"), 7).alias("value_double"),
-        F.max("value_string").alias("value_string"),
+    return state.select(
+        "kind", "column", "category", F.col("ordinal").cast("bigint").alias("ordinal"),
+        F.round("value_double", 7).alias("value_double"), "value_string",
     )
 
 
@@ -301,14 +301,13 @@ def filled_categories(spark, folder):
 
 @registered
 def processed_scan(spark, folder):
-    """Prepared rows after being written and read back as a table: rows and features per class."""
-    prepared, _ = _prepared(spark, folder)
+    """Prepared rows after being written and read back as a table: rows, and every category counted, per class."""
+    prepared, state = _prepared(spark, folder)
     path = tables.write_table(prepared, work_folder(spark, "processed"))
     processed = tables.read_processed(spark, path, SPEC.target)
     return processed.groupBy("Churn").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum("categorical__gender_Male").cast("bigint").alias("male"),
-        F.sum(F.col("`categorical__PaymentMethod_Bank transfer (automatic)`")).cast("bigint").alias("bank_transfer"),
+        *[F.sum(f"`{n}`").cast("bigint").alias(n) for n in state.feature_names[len(SPEC.numericals):]],
     )
 
 
@@ -670,7 +669,7 @@ def merged_histogram(spark, folder):
     per_status = monitoring.histogram(
         _log(spark, folder), "latency_seconds", monitoring.LATENCY_BOUNDS, "status"
     )
-    return monitoring.merge_histograms(per_status)
+    return _rounded(monitoring.merge_histograms(per_status), 6, "sum")
 
 
 @registered

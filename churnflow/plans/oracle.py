@@ -415,10 +415,10 @@ def sparse_categories():
 def prep_state_saved():
     return _subscribers(
         f"""
-        SELECT kind, "column", CAST(1 AS BIGINT) AS entries, value_double, CAST(NULL AS VARCHAR) AS value_string
-        FROM ({_numeric_rows(SPEC.numericals)})
-        UNION ALL SELECT 'mode', "column", 1, NULL, value_string FROM ({_mode_rows()})
-        UNION ALL SELECT 'category', "column", count(*), NULL, NULL FROM ({_vocabulary_rows()}) GROUP BY "column"
+        SELECT kind, "column", CAST(NULL AS VARCHAR) AS category, CAST(NULL AS BIGINT) AS ordinal, value_double,
+          CAST(NULL AS VARCHAR) AS value_string FROM ({_numeric_rows(SPEC.numericals)})
+        UNION ALL SELECT 'mode', "column", NULL, NULL, NULL, value_string FROM ({_mode_rows()})
+        UNION ALL SELECT 'category', "column", category, ordinal, NULL, NULL FROM ({_vocabulary_rows()})
         """,
         **_fit_ctes("subscribers", _NUMBERS),
     )
@@ -498,11 +498,12 @@ def filled_categories():
 
 @answer
 def processed_scan():
-    return _subscribers("""
-    SELECT CASE Churn WHEN 'Yes' THEN 1 ELSE 0 END AS Churn, count(*) AS rows,
-      count(*) FILTER (WHERE gender = 'Male') AS male,
-      count(*) FILTER (WHERE PaymentMethod = 'Bank transfer (automatic)') AS bank_transfer
-    FROM subscribers GROUP BY 1""")
+    counted = ", ".join(
+        f'count(*) FILTER (WHERE {c} = {_text(v)}) AS "categorical__{c}_{v}"' for c, words in _ALL_WORDS.items() for v in words
+    )
+    return _subscribers(
+        f"SELECT CASE Churn WHEN 'Yes' THEN 1 ELSE 0 END AS Churn, count(*) AS rows, {counted} FROM subscribers GROUP BY 1"
+    )
 
 
 # Training sets
@@ -957,7 +958,7 @@ def probability_histogram():
 
 @answer
 def merged_histogram():
-    return _log(f"SELECT le, cumulative FROM ({_histogram('latency_seconds', LATENCY_BOUNDS, '')})")
+    return _log(_histogram("latency_seconds", LATENCY_BOUNDS, ""))
 
 
 @answer

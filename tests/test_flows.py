@@ -36,6 +36,7 @@ def test_bootstrap_installs_the_first_model(spark, project):
         json.loads(f.read_text()) for f in Path(layout.record("tuning_summary")).glob("part-*")
     ]
     assert summary["best_trial"] == best["trial"]
+    assert spark.read.json(layout.record("best_params")).first().asDict() == pytest.approx(best["params"])
     # The final fit repeats the best trial on the same rows.
     assert summary["metrics"]["f1_score"] == pytest.approx(best["objective"])
 
