@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +25,12 @@ from churnflow.llm.packing import Rolling, mixed
 #: Bytes that the rolling hash sees; a cut is made after about every 2**CUT_BITS bytes.
 SEEN, CUT_BITS = 12, 7
 #: What a Python worker remembers at most.
-WORDS_KEPT, CHUNK_BYTES_KEPT = 600_000, 40 << 20
+WORDS_KEPT, CHUNK_BYTES_KEPT = 1_200_000, 32 << 20
 #: Rows whose unknown words are encoded in one call, and words to a line of that call.
-ROWS_AT_ONCE, WORDS_IN_LINE = 256, 64
+ROWS_AT_ONCE, WORDS_IN_LINE = 512, 64
 _OF_BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
+#: What often stands behind a word.
+_MARKS = (b".", b",", b"!", b"?", b";", b":")
 #: White space that ends a token whatever stands beside it.
 _SPACE = re.compile(rb"[ \t\n\r]+")
 
@@ -54,6 +56,7 @@ class Encoder:
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.tokens = pa.array(tokens, pa.string())
         self.ends_word = np.array([t.endswith("</w>") for t in tokens])
+        self.marks = {m: np.array(self.tokenizer.encode(m.decode(), add_special_tokens=False).ids, "<i4").tobytes() for m in (b"", *_MARKS)}
         #: Words used lately, and those used before them.
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -61,18 +64,34 @@ class Encoder:
         self.chunks: dict[bytes, tuple[bytes, bytes, bytes]] = {}
         self.held = 0
 
+    def _recall(self, words: Iterable[bytes]) -> set[bytes]:
+        """The words not known; those used before lately are used lately again."""
+        missing = set(words).difference(self.words)
+        for word in [w for w in missing if w in self.older]:
+            self.words[word] = self.older[word]
+            missing.remove(word)
+        return missing
+
     def _learn(self, words: set[bytes]) -> None:
         if len(self.words) > WORDS_KEPT // 2:
             self.words, self.older = {}, self.words
-        plain, others = [], []
-        for word in words:
-            if word not in self.words:
-                if (ids := self.older.get(word)) is not None:
-                    self.words[word] = ids
-                else:
-                    (plain if (text := word.decode("utf-8")).isalpha() else others).append((word, text))
+        plain, others, variants = {}, [], []
+        for word in self._recall(words):
+            # Case is dropped, and a mark behind a word of letters is a token of its own.
+            mark = word[-1:] if word[-1:] in _MARKS else b""
+            stem = (word[:-1] if mark else word).lower()
+            text = stem.decode("utf-8")
+            if not text.lower().isalpha():
+                others.append((word, word.decode("utf-8")))
+                continue
+            plain[stem] = text
+            if stem != word:
+                variants.append((word, stem, mark))
+        unknown = self._recall(plain)
+        plain = {stem: text for stem, text in plain.items() if stem in unknown}
         # A word of letters only ends with its one token that ends a word, so that many can share a line.
-        lines = [plain[i : i + WORDS_IN_LINE] for i in range(0, len(plain), WORDS_IN_LINE)]
+        todo = list(plain.items())
+        lines = [todo[i : i + WORDS_IN_LINE] for i in range(0, len(todo), WORDS_IN_LINE)]
         for line, e in zip(lines, self._encode([" ".join(t for _, t in line) for line in lines])):
             ids = np.array(e, "<i4")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
@@ -85,6 +104,8 @@ class Encoder:
                 at = end
         for (word, _), e in zip(others, self._encode([t for _, t in others])):
             self.words[word] = np.array(e, "<i4").tobytes()
+        for word, stem, mark in variants:
+            self.words[word] = self.words[stem] + self.marks[mark]
 
     def _encode(self, texts: list[str]) -> Iterator[list[int]]:
         return (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
