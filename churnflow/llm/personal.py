@@ -29,6 +29,11 @@ PATTERNS = {
 FIRST_DAY, DAYS_HIGH, DAYS_LOW = "1800-01-01", 189, 773
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of the value, which is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _hash(secret: str, purpose: Column | str, turn: Column, value: Column) -> Column:
     """A keyed hash as a number below 16**13."""
     text = F.concat_ws("|", F.lit(secret), F.lit(purpose) if isinstance(purpose, str) else purpose, turn.cast("string"), value.cast("string"))
@@ -49,12 +54,17 @@ def feistel(secret: str, purpose: Column | str, high: Column, low: Column, highs
 
 def permuted_digits(secret: str, purpose: str, digits: Column) -> Column:
     """Permutes the strings of 2 to 19 digits of each length."""
-    n = F.length(digits)
-    half = F.floor(n / 2).cast("int")
     ten = lambda k: F.pow(F.lit(10), k).cast("long")
-    high, low = F.substring(digits, F.lit(1), half), F.substring(digits, half + 1, n)
-    pair = feistel(secret, F.concat(F.lit(purpose), n.cast("string")), high, low, ten(half), ten(n - half))
-    return F.concat(F.lpad(pair.high.cast("string"), half, F.lit("0")), F.lpad(pair.low.cast("string"), n - half, F.lit("0")))
+
+    def permuted(s: Column) -> Column:
+        n = F.length(s)
+        half = F.floor(n / 2).cast("int")
+        high, low = F.substring(s, F.lit(1), half), F.substring(s, half + 1, n)
+        pair = feistel(secret, F.concat(F.lit(purpose), n.cast("string")), high, low, ten(half), ten(n - half))
+        padded = lambda x, size: F.lpad(x.cast("string"), size, F.lit("0"))
+        return let(pair, lambda p: F.concat(padded(p.high, half), padded(p.low, n - half)))
+
+    return let(digits, permuted)
 
 
 def permuted_name(secret: str, purpose: str, name: Column) -> Column:
@@ -62,53 +72,55 @@ def permuted_name(secret: str, purpose: str, name: Column) -> Column:
 
     Each half's letters and digits are shifted by a stream of keyed hashes of the other half.
     """
-    n = F.length(name)
-    half = F.floor(n / 2).cast("int")
     codes = lambda s: F.transform(F.filter(F.split(s, ""), lambda c: c != ""), F.ascii)
 
     def shifted(part: Column, other: Column, i: Column) -> Column:
         # Sixty-four hash bytes, used again from the start beyond that.
-        stream = F.sha2(F.concat_ws("|", F.lit(secret), F.lit(purpose), i.cast("string"), F.array_join(F.transform(other, lambda c: c.cast("string")), ",")), 512)
+        keyed = F.sha2(F.concat_ws("|", F.lit(secret), F.lit(purpose), i.cast("string"), F.array_join(F.transform(other, lambda c: c.cast("string")), ",")), 512)
+
+        def shifted_by(stream: Column) -> Column:
+            def shift(c: Column, at: Column) -> Column:
+                by = F.conv(F.substring(stream, 2 * (at % 64) + 1, F.lit(2)), 16, 10).cast("int")
+                within = lambda first, size: (c - first + by) % size + first
+                return (F.when(c.between(48, 57), within(48, 10)).when(c.between(65, 90), within(65, 26))
+                        .when(c.between(97, 122), within(97, 26)).otherwise(c)).cast("int")
 
-        def shift(c: Column, at: Column) -> Column:
-            by = F.conv(F.substring(stream, 2 * (at % 64) + 1, F.lit(2)), 16, 10).cast("int")
-            within = lambda first, size: (c - first + by) % size + first
-            return (F.when(c.between(48, 57), within(48, 10)).when(c.between(65, 90), within(65, 26))
-                    .when(c.between(97, 122), within(97, 26)).otherwise(c)).cast("int")
+            return F.transform(part, shift)
 
-        return F.transform(part, shift)
+        return let(keyed, shifted_by)
 
-    start = F.struct(codes(F.substring(name, F.lit(1), half)).alias("a"), codes(F.substring(name, half + 1, n)).alias("b"))
-    done = F.aggregate(
-        F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start,
+    def halves(s: Column) -> Column:
+        half = F.floor(F.length(s) / 2).cast("int")
+        return F.struct(codes(F.substring(s, F.lit(1), half)).alias("a"), codes(F.substring(s, half + 1, F.length(s))).alias("b"))
+
+    return F.aggregate(
+        F.sequence(F.lit(0), F.lit(ROUNDS - 1)), let(name, halves),
         lambda p, i: F.when(i % 2 == 0, F.struct(shifted(p.a, p.b, i).alias("a"), p.b.alias("b"))).otherwise(
             F.struct(p.a.alias("a"), shifted(p.b, p.a, i).alias("b"))),
         lambda p: F.array_join(F.transform(F.concat(p.a, p.b), lambda c: F.char(c)), ""),
     )
-    return done
 
 
 def refilled(shape: Column, characters: Column) -> Column:
     """The shape with its letters and digits replaced, one by one, by given characters; what else it has stays."""
-    return F.aggregate(
+    return let(characters, lambda new: F.aggregate(
         F.filter(F.split(shape, ""), lambda c: c != ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("i")),
         lambda a, c: F.when(
             c.rlike("[A-Za-z0-9]"),
-            F.struct(F.concat(a.out, F.substring(characters, a.i + 1, F.lit(1))).alias("out"), (a.i + 1).alias("i")),
+            F.struct(F.concat(a.out, F.substring(new, a.i + 1, F.lit(1))).alias("out"), (a.i + 1).alias("i")),
         ).otherwise(F.struct(F.concat(a.out, c).alias("out"), a.i.alias("i"))),
         lambda a: a.out,
-    )
+    ))
 
 
 def luhn_sum(digits: Column) -> Column:
     """The sum of digits in which every second from the right is doubled; valid numbers' sums end with 0."""
-    n = F.length(digits)
 
-    def add(total: Column, i: Column) -> Column:
-        d = F.substring(digits, n - i, F.lit(1)).try_cast("int")
+    def add(total: Column, d: Column, i: Column) -> Column:
         return total + F.when(i % 2 == 0, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0))
 
-    return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add)
+    numbers = F.transform(F.filter(F.split(F.reverse(digits), ""), lambda c: c != ""), lambda c, i: F.struct(c.try_cast("int").alias("d"), i.alias("i")))
+    return F.aggregate(numbers, F.lit(0), lambda total, x: add(total, x.d, x.i))
 
 
 def iban_rest(compact: Column) -> Column:
@@ -151,25 +163,26 @@ def pseudonym(kind: str, hit: Column, secret: str) -> Column:
     """A valid value of the same kind and format."""
     compact = _compact(hit)
     if kind == "card":
-        body = permuted_digits(secret, kind, F.substring(compact, F.lit(1), F.length(compact) - 1))
-        check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
-        return refilled(hit, F.concat(body, check.cast("string")))
+        body = let(compact, lambda s: permuted_digits(secret, kind, F.substring(s, F.lit(1), F.length(s) - 1)))
+        check = lambda b: (10 - luhn_sum(F.concat(b, F.lit("0"))) % 10) % 10
+        return refilled(hit, let(body, lambda b: F.concat(b, check(b).cast("string"))))
     if kind == "iban":
         country, body = F.substring(compact, 1, 2), permuted_name(secret, kind, F.substring(compact, F.lit(5), F.length(compact)))
-        check = F.lpad((98 - iban_rest(F.concat(country, F.lit("00"), body))).cast("string"), 2, "0")
-        return refilled(hit, F.concat(country, check, body))
+        check = lambda b: F.lpad((98 - iban_rest(F.concat(country, F.lit("00"), b))).cast("string"), 2, "0")
+        return refilled(hit, let(body, lambda b: F.concat(country, check(b), b)))
     if kind == "ip":
         octets = F.transform(F.split(hit, r"\."), lambda x: x.try_cast("long"))
         o = [F.get(octets, F.lit(i)) for i in range(4)]
         pair = feistel(secret, kind, o[0] * 256 + o[1], o[2] * 256 + o[3], F.lit(65536), F.lit(65536))
-        return F.concat_ws(".", *((F.floor(x / 256) if upper else x % 256).cast("string") for x in (pair.high, pair.low) for upper in (True, False)))
+        return let(pair, lambda p: F.concat_ws(
+            ".", *((F.floor(x / 256) if upper else x % 256).cast("string") for x in (p.high, p.low) for upper in (True, False))))
     if kind == "date":
         first = F.lit(FIRST_DAY).cast("date")
-        n = F.datediff(_day(hit), first)
-        pair = feistel(secret, kind, F.floor(n / DAYS_LOW), n % DAYS_LOW, F.lit(DAYS_HIGH), F.lit(DAYS_LOW))
-        day = F.date_add(first, (pair.high * DAYS_LOW + pair.low).cast("int"))
-        day_first = F.concat_ws(".", F.date_format(day, "dd"), F.date_format(day, "MM"), F.date_format(day, "yyyy"))
-        return F.when(hit.contains("-"), F.date_format(day, "yyyy-MM-dd")).when(hit.contains("/"), F.translate(day_first, ".", "/")).otherwise(day_first)
+        pair = let(F.datediff(_day(hit), first), lambda n: feistel(
+            secret, kind, F.floor(n / DAYS_LOW), n % DAYS_LOW, F.lit(DAYS_HIGH), F.lit(DAYS_LOW)))
+        moved = let(pair, lambda p: F.date_add(first, (p.high * DAYS_LOW + p.low).cast("int")))
+        return let(moved, lambda day: F.when(hit.contains("-"), F.date_format(day, "yyyy-MM-dd"))
+                   .when(hit.contains("/"), F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "dd.MM.yyyy")))
     if kind == "phone":
         # The country's number stays; the ten digits behind it move.
         code = F.regexp_extract(hit, r"^\+[0-9]{1,3}(?=[\x20.-]?(\(|[0-9]{3}[\x20.-]))", 0)
@@ -182,7 +195,8 @@ def pseudonym(kind: str, hit: Column, secret: str) -> Column:
         low = (F.substring(compact, 4, 2).try_cast("long") - 1) * 9999 + F.substring(compact, 6, 4).try_cast("long") - 1
         pair = feistel(secret, kind, high, low, F.lit(898), F.lit(99 * 9999))
         number = lambda x, width: F.lpad(x.cast("string"), width, "0")
-        return F.concat_ws("-", number(pair.high + F.when(pair.high > 664, 2).otherwise(1), 3), number(F.floor(pair.low / 9999) + 1, 2), number(pair.low % 9999 + 1, 4))
+        return let(pair, lambda p: F.concat_ws(
+            "-", number(p.high + F.when(p.high > 664, 2).otherwise(1), 3), number(F.floor(p.low / 9999) + 1, 2), number(p.low % 9999 + 1, 4)))
     return F.concat(permuted_name(secret, kind, F.substring_index(hit, "@", 1)), F.lit("@"), permuted_name(secret, "domain", F.substring_index(hit, "@", -1)))
 
 
@@ -202,7 +216,9 @@ def pseudonymized(documents: DataFrame, secret: str) -> DataFrame:
     """
     any_kind = "|".join(f"(?:{p})" for p in PATTERNS.values())
     text = F.translate(F.col("text"), MARK, INSTEAD)
-    pieces = F.when(F.col("text").rlike(any_kind), F.split(F.regexp_replace(text, f"({any_kind})", f"{MARK}$1{MARK}"), MARK))
+    # Every kind has a digit or an at sign; most texts have neither.
+    likely = F.when(F.col("text").rlike("[@0-9]"), F.col("text").rlike(any_kind))
+    pieces = F.when(likely, F.split(F.regexp_replace(text, f"({any_kind})", f"{MARK}$1{MARK}"), MARK))
     hits = F.filter("pieces", lambda p, i: i % 2 == 1)
 
     def replaced(h: Column) -> Column:
