@@ -69,10 +69,11 @@ def linked(different: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     half = -(-radius // 2)
     masks = F.array([F.lit(m) for m in ball(64, half)])
-    # Each row becomes many: a few small partitions would be as many long tasks.
+    # Each row becomes many: a few small partitions would be as many long tasks. Fingerprints come dealt by their value,
+    # so only another expression deals them anew.
     parts = int(different.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = (
-        different.repartition(parts, "fp").select("fp", F.explode(masks).alias("mask"))
+        different.repartition(parts, F.xxhash64("fp")).select("fp", F.explode(masks).alias("mask"))
         .select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
         .groupBy("variant").agg(F.sort_array(F.collect_list("fp")).alias("fps")).where("size(fps) > 1")
     )
