@@ -66,6 +66,8 @@ def narrow(x: np.ndarray) -> bytes:
 
 
 def wide(b: bytes) -> np.ndarray:
+    if len(b) == 1:
+        return np.zeros(0, np.int64)
     return np.frombuffer(b, "<i8", 1, 1) + np.cumsum(np.frombuffer(b, f"<u{b[0]}", -1, 9).astype(np.int64))
 
 

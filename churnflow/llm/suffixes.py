@@ -105,11 +105,12 @@ def maximal_repeats(contexts: list[tuple[tuple[int, int], bytes, bytes]], length
         before = [_shared(a[1], b[1]) for a, b in zip(by_left, by_left[1:])]
         if right + max(before) < length:
             continue
-        for left, a, b in intervals(before):
-            if left + right >= length:
+        whole = [] if min(before) else [(0, 0, len(by_left))]
+        for left, a, b in (*intervals(before), *whole):
+            # Members that all go on with the same byte are a longer repeat, which an inner interval yields.
+            following = {c[2][right : right + 1] for c in by_left[a:b]}
+            if left + right >= length and (len(following) > 1 or following == {b""}):
                 yield left, right, [c[0] for c in by_left[a:b]]
-        if right >= length and not min(before):
-            yield 0, right, [c[0] for c in by_left]
 
 
 def _rows(kind: int, at: np.ndarray, docs: np.ndarray, **cells: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -139,6 +140,9 @@ class _Repeats:
     def stretches(self, docs: np.ndarray, start: np.ndarray, width: np.ndarray) -> Iterator[pa.RecordBatch]:
         return _rows(REPEAT, group_of(docs, self.n_groups), docs, pos=start.astype("<u4"), width=width.astype("<u2"))
 
+    def asked(self, kind: int, some: np.ndarray, h: np.ndarray, docs: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+        return _rows(kind, group_of(docs[some], self.n_groups), docs[some], pos=pos[some].astype("<u4"), c=h[some].astype("<u8"))
+
     def around(self, pos: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Where the contexts of places in ``n`` bytes begin and end."""
         return np.maximum(pos - self.reach, 0), np.minimum(pos + self.length, n)
@@ -164,6 +168,11 @@ class _Repeats:
             held.clear()
             yield from word
             h, c, docs, pos, left, right = found
+            # An anchor with too many contexts here alone needs no count: its bucket gets just enough of them to see that.
+            starts = runs(h)
+            beyond = np.arange(len(h)) - np.repeat(starts, np.diff(np.append(starts, len(h)))) > self.dense
+            yield from self.asked(DENSE_, beyond, h, docs, pos)
+            h, c, docs, pos, left, right = (x[~beyond] for x in found)
             yield from _rows(ANCHOR, bucket_of(h, self.bits), docs, h=h, c=c.astype("<u8"), pos=pos.astype("<u4"),
                              width=(left.astype("<u2") << 8) | right.astype("<u2"))
 
@@ -198,7 +207,7 @@ class _Repeats:
             size = np.diff(np.append(starts, len(h)))
             each = np.repeat(size, size)
             for kind, some in ((SPARSE, (each > 1) & (each <= self.dense)), (DENSE_, each > self.dense)):
-                yield from _rows(kind, group_of(docs[some], self.n_groups), docs[some], pos=pos[some].astype("<u4"), c=h[some].astype("<u8"))
+                yield from self.asked(kind, some, h, docs, pos)
 
     def contexts(self, texts: pa.Table, asked: pa.Table) -> pa.Table:
         """The contexts asked for: bytes for suffix arrays, or hashes of all strings around an anchor."""
