@@ -38,7 +38,7 @@ def read_csv(
     """A delimited file with a header, every column as text and NA tokens as null.
 
     Types are never guessed: validation sees the cells as written. A row with more cells than the header fails the
-    job; missing cells at its end are null. Cells with line breaks need ``multiline``, which makes each file one task;
+    job, unless what is too much is empty; missing cells at its end are null. Cells with line breaks need ``multiline``, which makes each file one task;
     without it a file that has such cells is refused, after a look at its quotes.
     """
     options = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multiline}
@@ -46,8 +46,7 @@ def read_csv(
     if not multiline:
         _require_whole_lines(spark, path, what)
     schema = ", ".join(f"{quoted(c)} string" for c in (*names, _SURPLUS))
-    # No text stands for null, so that an empty surplus cell shows.
-    raw = spark.read.schema(schema).options(**options, enforceSchema=True, nullValue="\x00", emptyValue="").csv(path)
+    raw = spark.read.schema(schema).options(**options, enforceSchema=True).csv(path)
     surplus = F.raise_error(F.concat(F.lit(f"{what} has more cells than its header: "), F.coalesce(cell(names[0]), F.lit("")))).cast("boolean")
     kept = raw.where(F.when(cell(_SURPLUS).isNull(), True).otherwise(surplus))
     tokens = list(na_tokens)

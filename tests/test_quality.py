@@ -124,11 +124,11 @@ def test_csv_rows_of_other_lengths(spark, tmp_path):
 
     short = read_csv(spark, lines("short.csv", "a,b", "1,2", "3"))
     assert [tuple(r) for r in short.collect()] == [("1", "2"), ("3", None)]
-    for surplus in ("3,4,5", "3,4,"):
-        df = read_csv(spark, lines("long.csv", "a,b", "1,2", surplus))
-        for selected in (df, df.select("a"), df.select("b")):
-            with pytest.raises(Exception, match="more cells than its header"):
-                selected.collect()
+    df = read_csv(spark, lines("long.csv", "a,b", "1,2", "3,4,5"))
+    for selected in (df, df.select("a"), df.select("b")):
+        with pytest.raises(Exception, match="more cells than its header"):
+            selected.collect()
+    assert read_csv(spark, lines("comma.csv", "a,b", "1,2,")).collect()[0]["b"] == "2"
 
 
 def test_csv_line_breaks(spark, tmp_path):
