@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +82,8 @@ class Encoder:
             mark = word[-1:] if word[-1:] in _MARKS else b""
             stem = (word[:-1] if mark else word).lower()
             text = stem.decode("utf-8")
-            if not text.lower().isalpha():
+            # The tokenizer normalizes first; a letter that NFC takes apart leaves a combining mark, which a mark behind it joins.
+            if not (text.lower().isalpha() and is_normalized("NFC", text)):
                 others.append((word, word.decode("utf-8")))
                 continue
             plain[stem] = text

@@ -43,6 +43,15 @@ def test_cuts_inside_words_are_repaired(library, monkeypatch, bits):
             assert list(memoryview(ids).cast("i")) == expected(library, text)[0]
 
 
+def test_letters_that_normalization_takes_apart(library):
+    # Letters of Hindi, Bengali, Gurmukhi, Oriya, Tibetan and Hebrew that NFC writes as a letter and a combining mark.
+    letters = [chr(c) for c in (0x95D, 0x9DF, 0xA5E, 0xB5C, 0xF43, 0xFB1D, 0xFB2A, 0xFB2C)]
+    texts = [f"{word}{mark}" for c in letters for word in (c, f"ab{c}", f"{c}ab", f"AB{c}") for mark in ("", *".,!?;:")]
+    texts += ["한,", "한글.", "É! é?", " ".join(texts)]
+    for text, ids in zip(texts, bpe.Encoder(PATH).encode([t.encode() for t in texts])):
+        assert list(memoryview(ids).cast("i")) == expected(library, text)[0]
+
+
 def test_memory_is_bounded(library, monkeypatch):
     monkeypatch.setattr(bpe, "WORDS_KEPT", 20)
     monkeypatch.setattr(bpe, "CHUNK_BYTES_KEPT", 2000)
