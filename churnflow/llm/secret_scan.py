@@ -83,23 +83,27 @@ def parts_of(documents: DataFrame) -> DataFrame:
     return _matches(keyed(documents).where("text IS NOT NULL"), BASE | WEAK)
 
 
-def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
+def linked(parts: DataFrame, scope: int = SCOPE, gaps: bool = False) -> DataFrame:
     """Base findings, and the weak parts that have a complementary part within ``scope`` code points.
 
-    The distance of two parts is that of their starts. A weak part that overlaps a base finding is left to the base.
+    The distance of two parts is that of their starts or, with ``gaps``, what lies between one's end and the other's
+    start. A weak part that overlaps a base finding, the starts within the scope, is left to the base.
     """
     role = F.create_map(*(F.lit(x) for pair in ROLE.items() for x in pair))
     base = F.col("kind").isin(*BASE)
+    first, last = F.floor(F.col("start") / scope), F.floor(F.col("end" if gaps else "start") / scope)
     near = parts.select(
         "doc", "key", F.col("start").alias("at"), F.col("end").alias("until"), role[F.col("kind")].alias("role"), base.alias("base"),
-        F.explode(F.sequence(F.floor(F.col("start") / scope) - 1, F.floor(F.col("start") / scope) + 1)).alias("bucket"),
+        F.explode(F.sequence(first - 1, last + 1)).alias("bucket"),
     )
     wanted = reduce(lambda a, k: a.when(F.col("kind") == k, F.array(*map(F.lit, COMPLEMENT[k]))), COMPLEMENT, F)
-    weak = parts.where(~base).withColumns({"bucket": F.floor(F.col("start") / scope), "wanted": wanted})
-    met = weak.join(near, ["doc", "key", "bucket"]).where(F.abs(F.col("start") - F.col("at")) <= scope)
-    judged = met.groupBy("doc", "key", "kind", "start", "end", "hit").agg(
+    weak = parts.where(~base).withColumns({"bucket": F.explode(F.sequence(first, last)) if gaps else first, "wanted": wanted})
+    started = F.abs(F.col("start") - F.col("at")) <= scope
+    apart = F.greatest(F.col("start") - F.col("until"), F.col("at") - F.col("end")) <= scope
+    met = weak.join(near, ["doc", "key", "bucket"]).where(apart if gaps else started)
+    judged = met.groupBy(*parts.columns).agg(
         F.max(F.array_contains("wanted", F.col("role"))).alias("complete"),
-        F.max(F.col("base") & (F.col("at") < F.col("end")) & (F.col("until") > F.col("start"))).alias("known"),
+        F.max(F.col("base") & (F.col("at") < F.col("end")) & (F.col("until") > F.col("start")) & started).alias("known"),
     )
     return parts.where(base).unionByName(judged.where("complete AND NOT known").drop("complete", "known"))
 
@@ -115,9 +119,9 @@ def secrets(documents: DataFrame, scope: int = SCOPE) -> DataFrame:
     return keyed(documents).drop("text").join(found, ["doc", "key"], "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
 
 
-def _spans(parts: DataFrame, scope: int) -> DataFrame:
+def _spans(parts: DataFrame, scope: int, gaps: bool = False) -> DataFrame:
     order = F.create_map(*(F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)))
-    return linked(stored(parts, "secret-parts"), scope).groupBy("doc", "key").agg(
+    return linked(stored(parts, "secret-parts"), scope, gaps).groupBy("doc", "key").agg(
         F.sort_array(F.collect_set(F.struct("start", order[F.col("kind")].alias("order"), "kind", "end"))).alias("spans"))
 
 
@@ -129,9 +133,11 @@ def written(spans: Column) -> Column:
 def without_secrets(documents: DataFrame, scope: int = SCOPE, instead: str = "[SECRET]") -> DataFrame:
     """The documents, with all their columns, where every run of found secrets is replaced; ``n_chars`` follows the text.
 
-    A document without findings is unchanged.
+    A weak part counts here if the gap to a complementary part is within the scope, however long either is. A document
+    without findings is unchanged.
     """
-    found = stored(_spans(parts_of(documents), scope), "secrets").select(
+    # A long part is in many buckets, so the text of its match stays behind.
+    found = stored(_spans(parts_of(documents).drop("hit"), scope, gaps=True), "secrets").select(
         F.col("doc").alias("_doc"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
     text, spans = F.col("text").cast("string"), F.col("_spans")
     # Overlapping spans are one; what stands before each, and the rest behind the last, is kept.

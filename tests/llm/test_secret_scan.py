@@ -72,5 +72,21 @@ def test_secrets_are_replaced(docs_of, spark):
     assert got == sorted(map(repr, want))
 
 
+def test_long_parts_are_replaced_by_their_gap(docs_of):
+    key, far = "Ab1+" * 86, "x " * 90
+    path = "https://db.example.org/" + "p" * 260
+    texts = {
+        f'{{"private_key": "{key}", "client_id": "svc-4711"}}': '{"private_key": "[SECRET]", "[SECRET]"}',
+        f"{ACCESS} {key}": "[SECRET] [SECRET]", f"{key} {ACCESS}": "[SECRET] [SECRET]",
+        f"{path} password=hunter22": "[SECRET] [SECRET]", f"{path} {key}": "[SECRET] [SECRET]",
+        f"{key} {far}user: alice": f"[SECRET] {far}[SECRET]", f"user: alice {far}{key}": f"[SECRET] {far}[SECRET]",
+        # Gaps of 200 and of 201.
+        f"{key}{' ' * 200}{ACCESS}": f"[SECRET]{' ' * 200}[SECRET]", f"{key}{' ' * 201}{ACCESS}": f"{key}{' ' * 201}[SECRET]",
+        f"{ACCESS}{' ' * 200}{key}": f"[SECRET]{' ' * 200}[SECRET]", f"{ACCESS}{' ' * 201}{key}": f"[SECRET]{' ' * 201}{key}",
+    }
+    got = {r.doc_id: r.text for r in s.without_secrets(docs_of(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_empty_table(docs_of):
     assert s.secrets(docs_of([])).count() == 0 and s.without_secrets(docs_of([])).count() == 0
