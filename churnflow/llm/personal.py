@@ -15,7 +15,7 @@ from churnflow.llm.common import INSTEAD, MARK, documents_of
 
 ROUNDS = 8
 _L, _R = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
-#: Candidates by kind; the first pattern that matches at a place wins.
+#: Candidates by kind; the first pattern that matches at a place wins, and if that isn't valid the next place is tried.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+" + _R,
     "date": _L + r"(?:[12][0-9]{3}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][12][0-9]{3})" + _R,
@@ -25,6 +25,15 @@ PATTERNS = {
     "ssn": _L + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _R,
     "card": _L + r"(?:[0-9]{13,19}|(?:[0-9]{4}[\x20-]){3}[0-9]{4}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})" + _R,
 }
+# How many characters the IBANs of a country have.
+IBAN_LENGTHS = {
+    country: n for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items() for country in countries.split()
+}
 #: 400 years from this day on are 146,097 days, and 146,097 = 189 * 773.
 FIRST_DAY, DAYS_HIGH, DAYS_LOW = "1800-01-01", 189, 773
 
@@ -208,31 +217,69 @@ def kind_of(hit: Column) -> Column:
     return kind
 
 
+def readings(hit: Column) -> Column:
+    """What a match may mean: itself, and an IBAN also without the words behind it.
+
+    The country's length comes first; without a known country, every shorter cut is tried, the longest first.
+    """
+    words = F.split(hit, " ")
+    cuts = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda i: F.array_join(F.slice(words, 1, i), " "))
+    length = F.create_map(*(F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair))[F.substring(hit, 1, 2)]
+    known = F.concat(F.filter(cuts, lambda c: F.length(_compact(c)) == length), F.array(hit))
+    return F.when(hit.rlike(f"^(?:{PATTERNS['iban']})$"), F.when(length.isNull(), cuts).otherwise(known)).otherwise(F.array(hit))
+
+
+def meant(hit: Column) -> Column:
+    """Kind and value of the first reading that is valid; else null."""
+    judged = F.transform(readings(hit), lambda r: F.struct(kind_of(r).alias("kind"), r.alias("value")))
+    return F.get(F.filter(judged, lambda r: r.kind.isNotNull()), F.lit(0))
+
+
 def pseudonymized(documents: DataFrame, secret: str) -> DataFrame:
     """Per row: ``doc_id``, ``found`` (an array of kind and value, in the text's order) and ``text`` with pseudonyms.
 
     A null text stays null with nothing found; empty texts and texts without valid values stay as they are. Rows
-    that repeat are kept, and so is a null ``doc_id``. Invalid look-alikes are left alone.
+    that repeat are kept, and so is a null ``doc_id``. Invalid look-alikes are left alone, but not the valid values that
+    begin inside them.
     """
     any_kind = "|".join(f"(?:{p})" for p in PATTERNS.values())
     text = F.translate(F.col("text"), MARK, INSTEAD)
     # Every kind has a digit or an at sign; most texts have neither.
     likely = F.when(F.col("text").rlike("[@0-9]"), F.col("text").rlike(any_kind))
-    pieces = F.when(likely, F.split(F.regexp_replace(text, f"({any_kind})", f"{MARK}$1{MARK}"), MARK))
-    hits = F.filter("pieces", lambda p, i: i % 2 == 1)
+    # A candidate may begin inside another: the text is cut before each, and their values are listed beside.
+    pieces = F.when(likely, F.split(F.regexp_replace(text, f"(?={any_kind})", MARK), MARK))
+    values = F.when(likely, F.regexp_extract_all(text, F.lit(f"(?=({any_kind}))"), F.lit(1)))
 
     def replaced(h: Column) -> Column:
         out = F
         for k in PATTERNS:
             out = out.when(h.kind == k, pseudonym(k, h.value, secret))
-        return out.otherwise(h.value)
-
-    found = F.transform(hits, lambda v: F.struct(kind_of(v).alias("kind"), v.alias("value")))
-    marked = documents_of(documents).select("doc_id", "text", pieces.alias("pieces")).withColumn("hits", found)
-    new = F.transform("hits", replaced)
-    gaps = F.filter("pieces", lambda p, i: i % 2 == 0)
-    joined = F.array_join(F.flatten(F.zip_with(gaps, new, lambda g, n: F.array(g, F.coalesce(n, F.lit(""))))), "")
+        return F.concat(out.otherwise(F.lit("")), h.rest)
+
+    def taken(a: Column, x: Column) -> Column:
+        # ``reach`` is how far the value taken last reaches behind this place. Whether this one is taken, and how much of
+        # the piece is covered, is noted in a string: an array would be copied cell by cell with every candidate.
+        takes = (a.reach == 0) & x.width.isNotNull()
+        covered = F.when(takes, x.width).otherwise(a.reach)
+        note = F.concat(a.notes, F.when(takes, F.lit("+")).otherwise(F.lit("-")), covered.cast("string"), F.lit(","))
+        return F.struct(note.alias("notes"), F.greatest(covered - x.gap, F.lit(0)).alias("reach"))
+
+    def hit(x: Column, note: Column) -> Column:
+        value = F.when(note.startswith("+"), x.meant)
+        rest = F.substring(x.piece, F.substring(note, F.lit(2), F.length(note)).cast("int") + 1, F.length(x.piece))
+        return F.struct(value.kind.alias("kind"), value.value.alias("value"), rest.alias("rest"))
+
+    behind = F.slice("pieces", F.lit(2), F.size("pieces"))
+    candidates = F.zip_with(behind, F.transform("values", meant), lambda p, m: F.struct(
+        p.alias("piece"), F.length(p).alias("gap"), m.alias("meant"), F.length(m.value).alias("width")))
+    notes = F.aggregate("candidates", F.struct(F.lit("").alias("notes"), F.lit(0).alias("reach")), taken, lambda a: F.split(F.rtrim(a.notes, F.lit(",")), ","))
+    marked = (
+        documents_of(documents).select("doc_id", "text", pieces.alias("pieces"), values.alias("values"))
+        .withColumn("candidates", candidates).withColumn("notes", notes).withColumn("hits", F.zip_with("candidates", "notes", hit))
+    )
+    joined = F.concat(F.get("pieces", F.lit(0)), F.array_join(F.transform("hits", replaced), ""))
+    found = F.transform(F.filter("hits", lambda h: h.kind.isNotNull()), lambda h: F.struct(h.kind.alias("kind"), h.value.alias("value")))
     return marked.select(
-        "doc_id", F.coalesce(F.filter("hits", lambda h: h.kind.isNotNull()), F.array().cast("array<struct<kind: string, value: string>>")).alias("found"),
+        "doc_id", F.coalesce(found, F.array().cast("array<struct<kind: string, value: string>>")).alias("found"),
         F.when(F.exists("hits", lambda h: h.kind.isNotNull()), joined).otherwise(F.col("text")).alias("text"),
     )

@@ -119,6 +119,20 @@ def test_invalid_and_odd_rows_stay(docs_of, messy):
     assert p.pseudonymized(docs_of([]), SECRET).count() == 0
 
 
+def test_valid_values_are_found_beside_and_inside_look_alikes(docs_of):
+    card = "4111 1111 1111 1111"
+    ibans = ["NO9386011117947", "BE68539007547034", "BE68 5390 0754 7034", "AT611904300234573201", "GB29NWBK60161331926819", "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332"]
+    texts = [(f"{iban} {word}", ("iban", iban)) for iban in ibans for word in ("BIC", "EUR", "AND", "BANK", "A", "BIC CODE")]
+    texts += [("ref AB12 " + card, ("card", card)), ("1234 " + card + " end", ("card", card)), ("DE88 3704 0044 " + card, ("card", card))]
+    got = {r.doc_id: r for r in p.pseudonymized(docs_of([(i, f"👍 {t}, end") for i, (t, _) in enumerate(texts)]), SECRET).collect()}
+    for i, (text, (kind, value)) in enumerate(texts):
+        assert [(x.kind, x.value) for x in got[i].found] == [(kind, value)], text
+        before, behind = f"👍 {text}, end".split(value)
+        new = got[i].text[len(before):len(got[i].text) - len(behind)]
+        assert got[i].text == before + new + behind and new != value and len(new) == len(value)
+        assert iban_ok(new) if kind == "iban" else luhn(new.replace(" ", ""))
+
+
 def test_key_matters(docs_of):
     one, other = (p.pseudonymized(docs_of([(1, "4111111111111111")]), k).first().text for k in ("a", "b"))
     assert one != other
