@@ -187,6 +187,6 @@ def item_digest(items: Column) -> Column:
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents, with all their columns, that hold no phrase of an item."""
-    dirty = small(stored(_judged(documents, build_index(documents, benchmark, window)).where("n_hit > 0").select("doc", "key"), "dirty"))
+    dirty = stored(_judged(documents, build_index(documents, benchmark, window)).where("n_hit > 0").select("doc", "key"), "dirty")
     marked = documents.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "_key": document_key()})
     return marked.join(dirty, (F.col("_doc") == dirty.doc) & (F.col("_key") == dirty.key), "left_anti").drop("_doc", "_key")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnflow.llm.common import INSTEAD, MARK, document_key, keyed, small, stored
+from churnflow.llm.common import INSTEAD, MARK, document_key, keyed, stored
 
 SCOPE = 200
 
@@ -149,7 +149,7 @@ def without_secrets(documents: DataFrame, scope: int = SCOPE, instead: str = "[S
         lambda a: F.array_join(F.array_append(a.kept, F.substring(text, (a.at + 1).cast("int"), F.lit(2147483647))), instead),
     )
     marked = documents.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "_key": document_key()})
-    cleaned = marked.join(small(found), ["_doc", "_key"], "left").withColumn("text", F.when(spans.isNull(), text).otherwise(rest))
+    cleaned = marked.join(found, ["_doc", "_key"], "left").withColumn("text", F.when(spans.isNull(), text).otherwise(rest))
     if "n_chars" in documents.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(spans.isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(documents.schema["n_chars"].dataType))
     return cleaned.select(*documents.columns)

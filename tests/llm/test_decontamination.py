@@ -87,3 +87,16 @@ def test_digest(spark):
 
     row = spark.range(1).select(d.item_digest(F.array(F.lit("10"), F.lit("9"))).alias("h")).first()
     assert row.h == hashlib.sha256(b"10,9").hexdigest()
+
+
+def test_dirty_documents_are_not_broadcast_by_hint(docs_of, spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = spark.createDataFrame([("i", "some words of an item")], "item_id string, text string")
+        clean = d.without_contaminated(docs_of([(1, "here are some words of an item"), (2, "clean")]), items)
+        plan = clean._jdf.queryExecution().executedPlan().toString()
+        assert [r.doc_id for r in clean.collect()] == [2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" in plan and "Broadcast" not in plan

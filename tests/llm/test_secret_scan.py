@@ -88,5 +88,15 @@ def test_long_parts_are_replaced_by_their_gap(docs_of):
     assert [got[i] for i in range(len(texts))] == list(texts.values())
 
 
+def test_found_spans_are_not_broadcast_by_hint(docs_of, spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = s.without_secrets(docs_of([(1, f"{ACCESS} {KEY}"), (2, "clean")]))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" in plan and "Broadcast" not in plan
+
+
 def test_empty_table(docs_of):
     assert s.secrets(docs_of([])).count() == 0 and s.without_secrets(docs_of([])).count() == 0
