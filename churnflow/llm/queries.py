@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnflow.llm import bpe, decontamination, language, personal, quality, secret_scan, simhash, substrings, suffixes, topk
+from churnflow.llm import (
+    binslack, bpe, decontamination, infilling, language, personal, quality, ranked, secret_scan, simhash, substrings, suffixes, topk,
+)
 from churnflow.llm.common import read_table
 
 #: The key of the pseudonyms; a real run names its own.
@@ -81,7 +83,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", *bpe.digests())
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binslack.packed(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op12_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = infilling.transformed(read_table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infilling.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_decontamination, op2_substring_dedup, op3_topk_search, op4_simhash, op5_quality, op6_pii, op7_suffix_dedup, op8_secrets,
-    op9_language, op10_bpe,
+    op9_language, op10_bpe, op11_packing, op12_infilling, op13_ranked_search,
 )}

@@ -109,7 +109,43 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN j USING (doc_id)"""
 
 
-#: Not in SQL: XXH64 (op4), trained models (op5, op9), keyed pseudonyms (op6) and a tokenizer (op10); tests check these.
+# Three marks, four 32-bit numbers of a digest, and lines with their line feeds.
+_OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS x FROM documents),
+h AS (
+  SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS l, CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1,
+         CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS a, greatest(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT *, array_to_string(list_slice(l, 1, a), '') AS prefix, array_to_string(list_slice(l, a + 1, b), '') AS middle,
+         array_to_string(list_slice(l, b + 1, len(l)), '') AS suffix FROM c)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
+_TERMS = rf"list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+_OP13 = f"""
+WITH d AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n FROM (SELECT doc_id, {_TERMS} AS w FROM documents) WHERE len(w) > 0),
+g AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS l FROM d),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+      FROM (SELECT term, count(*) AS df FROM p GROUP BY term), g),
+i AS (SELECT item_id, term, count(*) AS many FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(many * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // l))))) AS BIGINT) AS score
+  FROM i JOIN f USING (term) JOIN p USING (term) JOIN d USING (doc_id), g GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20"""
+
+
+#: Not in SQL: XXH64 (op4), trained models (op5, op9), keyed pseudonyms (op6) and a tokenizer (op10, op11); tests check these.
 ORACLE: dict[str, str] = {
     "op1_decontamination": _OP1, "op2_substring_dedup": _OP2, "op3_topk_search": _OP3, "op7_suffix_dedup": _OP7, "op8_secrets": _op8(),
+    "op12_infilling": _OP12, "op13_ranked_search": _OP13,
 }

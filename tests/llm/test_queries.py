@@ -21,6 +21,9 @@ SCHEMAS = {
     "op8_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op9_language": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op10_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op11_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+    "op12_infilling": "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, restored_sha256 string",
+    "op13_ranked_search": "item_id bigint, rank int, doc_id bigint, score bigint",
 }
 
 
