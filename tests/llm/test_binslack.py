@@ -94,7 +94,8 @@ def test_fullest_combination():
 def test_combinations_do_not_grow_with_the_table():
     counts = {n: 10**9 + 7 * n for n in range(1, 2049)}
     todo = binslack.plan(counts)
-    assert todo.sequences * 2048 - sum(n * c for n, c in counts.items()) < 2048 * 2048
+    # No two pieces of over half share a sequence, and no three of half.
+    assert todo.sequences == sum(c for n, c in counts.items() if n > 1024) + -(-counts[1024] // 2)
     assert len(todo.length) < 2048 * 12
     sequence, offset = todo.place(np.array([2048, 1]), np.array([5, 10**9]))
     assert offset[0] == 0 and 0 <= sequence.max() < todo.sequences
