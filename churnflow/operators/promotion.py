@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from churnflow.functions.cells import literal, stacked
 from churnflow.operators.metrics import METRICS
 from churnflow.sources import records
-from churnflow.sources.tables import append_table, read_table, require_path
+from churnflow.sources.commits import CommitLog
+from churnflow.sources.tables import require_path
 
 REGISTRY_SCHEMA = "version bigint, model_path string, status string, decided_at timestamp"
-_METRIC_STRUCT = "struct<" + ", ".join(f"{m}: double" for m in METRICS) + ">"
+METRIC_STRUCT = "struct<" + ", ".join(f"{m}: double" for m in METRICS) + ">"
 EVALUATION_SCHEMA = (
-    f"candidate_metrics {_METRIC_STRUCT}, production_metrics {_METRIC_STRUCT}, "
+    f"candidate_metrics {METRIC_STRUCT}, production_metrics {METRIC_STRUCT}, "
     "f1_improvement double, candidate_better boolean"
 )
 
@@ -46,28 +47,29 @@ def evaluation_frame(
     def values(metrics):
         return None if metrics is None else tuple(metrics[m] for m in METRICS)
 
-    schema = f"candidate_metrics {_METRIC_STRUCT}, production_metrics {_METRIC_STRUCT}"
+    schema = f"candidate_metrics {METRIC_STRUCT}, production_metrics {METRIC_STRUCT}"
     return spark.createDataFrame([(values(candidate), values(production))], schema)
 
 
 @dataclass(frozen=True)
 class Registry:
-    """Model versions in an append-only table; production is the latest promoted version."""
+    """Model versions in a log where each number is claimed once; production is the latest promoted version."""
 
     spark: SparkSession
     path: str
 
     def entries(self) -> DataFrame:
         try:
-            return read_table(self.spark, self.path, "Model registry")
+            require_path(self.spark, self.path, "Model registry")
         except FileNotFoundError:
             return self.spark.createDataFrame([], REGISTRY_SCHEMA)
+        return self.spark.read.schema(REGISTRY_SCHEMA).json(self.path)
 
     def production_path(self) -> str:
         newest = (
             self.entries()
             .where(F.col("status") == "promoted")
-            .agg(F.max(F.struct("version", "decided_at", "model_path")).alias("newest"))
+            .agg(F.max(F.struct("version", "model_path")).alias("newest"))
             .first()["newest"]
         )
         if newest is None:
@@ -75,17 +77,10 @@ class Registry:
         return newest["model_path"]
 
     def record(self, model_path: str, status: str) -> int:
-        """Appends the next version. Of entries written at once under one version, only the first by time and path
-        keeps it; a later one is recorded again under the next."""
-        while True:
-            version = (self.entries().agg(F.max("version")).first()[0] or 0) + 1
-            decided_at = datetime.now(timezone.utc)
-            row = (version, model_path, status, decided_at)
-            append_table(self.spark.createDataFrame([row], REGISTRY_SCHEMA).coalesce(1), self.path)
-            same = self.entries().where(F.col("version") == version)
-            first = same.agg(F.min(F.struct("decided_at", "model_path")).alias("first")).first()["first"]
-            if same.count() == 1 or first["model_path"] == model_path:
-                return version
+        """Appends the next version. Of writers that want the same one, one gets it and the others the next ones."""
+        decided_at = datetime.now(timezone.utc).isoformat()
+        return CommitLog(self.spark, self.path).append(
+            lambda version: {"version": version, "model_path": model_path, "status": status, "decided_at": decided_at})
 
     def promote(self, model_path: str) -> int:
         return self.record(require_path(self.spark, model_path, "Candidate model"), "promoted")

@@ -1,10 +1,12 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
 
 from churnflow.operators import promotion
 from churnflow.sources import records
+from churnflow.sources.commits import CommitLog
 
 BETTER = {"accuracy": 0.913, "precision": 0.551, "recall": 0.437, "f1_score": 0.487, "roc_auc": 0.771}
 PRODUCTION = {"accuracy": 0.902, "precision": 0.529, "recall": 0.413, "f1_score": 0.464, "roc_auc": 0.748}
@@ -83,18 +85,46 @@ def test_decision_needs_both_sides(spark, world):
         decide(spark, world, BETTER, production=None)
 
 
-def test_one_version_written_twice(spark, world):
-    """Two runs that read the same newest version: the later one gets a version of its own."""
-    folder, registry = world
-    other = promotion.Registry(spark, registry.path)
-    stale = registry.entries().persist()
-    assert stale.count() == 1
-    registry.record("late/b", "promoted")
-    newer = registry.entries().where("version = 2").first()
-    row = spark.createDataFrame([(2, "early/a", "promoted", newer["decided_at"].replace(year=2020))], promotion.REGISTRY_SCHEMA)
-    row.write.mode("append").parquet(registry.path)
-    assert other.production_path() == "late/b"
-    assert other.record("next/c", "promoted") == 3 and registry.production_path() == "next/c"
+def test_many_writers_at_once(spark, tmp_path):
+    """Versions are consecutive, each once, and each names its own writer."""
+    registry = promotion.Registry(spark, str(tmp_path / "registry"))
+    with ThreadPoolExecutor(16) as pool:
+        versions = list(pool.map(lambda i: registry.record(f"m{i}", "promoted" if i % 2 else "rejected"), range(60)))
+    assert sorted(versions) == list(range(1, 61))
+    entries = {r["version"]: r["model_path"] for r in registry.entries().collect()}
+    assert entries == {v: f"m{i}" for i, v in enumerate(versions)}
+    newest = max(v for i, v in enumerate(versions) if i % 2)
+    assert registry.production_path() == entries[newest]
+    # Nothing but entries is left behind.
+    assert {p.name for p in (tmp_path / "registry").iterdir() if not p.name.endswith(".crc")} == {f"{v:012d}.json" for v in range(1, 61)}
+
+
+@pytest.mark.parametrize("link", [True, False])
+def test_a_number_is_claimed_once(spark, tmp_path, monkeypatch, link):
+    """By a link, and by the rename that other file systems use."""
+    log = CommitLog(spark, str(tmp_path / "log"))
+    if not link:
+        monkeypatch.setattr(log, "_fs", Elsewhere(log._fs))
+    assert log.newest() == 0
+    assert log.claim(1, {"by": "first"}) and not log.claim(1, {"by": "second"})
+    assert log.append(lambda n: {"by": n}) == 2 and log.newest() == 2
+    assert (tmp_path / "log" / "000000000001.json").read_text() == '{"by": "first"}\n'
+
+
+class Elsewhere:
+    """A local file system that says it is another one."""
+
+    def __init__(self, fs):
+        self.fs = fs
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+    def getUri(self):
+        return self
+
+    def getScheme(self):
+        return "other"
 
 
 def test_empty_registry_has_no_production(spark, tmp_path):
