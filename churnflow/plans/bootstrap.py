@@ -21,11 +21,11 @@ PARTS = ("initial", "new", "held_out")
 
 def run_bootstrap(
     spark: SparkSession, raw: DataFrame, root: str, spec: DatasetSpec,
-    profile: SearchProfile | None = None, install: bool = True,
+    profile: SearchProfile | None = None, install: bool = True, search: str | None = None,
 ) -> str:
     """Split, validate, fit on the initial part, prepare all parts, tune; returns the model path.
 
-    With ``install`` the first candidate becomes production, which nothing else would do.
+    A run that was lost is started again with the same ``search``: trials that it finished are not fitted again. With ``install`` the first candidate becomes production, which nothing else would do.
     """
     layout = Layout(root)
     # The split reads its input several times; the raw rows are parsed once.
@@ -43,7 +43,7 @@ def run_bootstrap(
     require_prepared(prepared, state, spec, len(state.feature_names))
     path, _ = build_candidate(
         spark, layout, prepared, state.feature_names, spec, TUNE_SPACE, profile or SearchProfile.full(),
-        "tuning", {"initial_rows": prepared.count()},
+        "tuning", {"initial_rows": prepared.count()}, search,
     )
     if install:
         Registry(spark, layout.registry).promote(path)
@@ -51,4 +51,6 @@ def run_bootstrap(
 
 
 def trials_of(spark: SparkSession, root: str, run: str) -> DataFrame:
-    return read_table(spark, Layout(root).record("trials")).where(F.col("run") == run)
+    """The trials of all searches of a kind, tuning or retraining, or of one search."""
+    trials = read_table(spark, Layout(root).record("trials"))
+    return trials.where((F.col("run") == run) | F.col("run").startswith(f"{run}-"))

@@ -7,16 +7,15 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from churnflow.functions.cells import cell
 from churnflow.operators import metrics as metric_ops
 from churnflow.operators.promotion import EVALUATION_SCHEMA, Registry, evaluation_entries
-from churnflow.operators.training import NOT_APPLIED, Candidate, Range, SearchProfile, scored, train_candidate, trials_table
+from churnflow.operators.training import NOT_APPLIED, Candidate, Range, SearchProfile, TrialStore, scored, train_candidate
 from churnflow.plans.layout import Layout
 from churnflow.sources import records
 from churnflow.sources.models import load_model, save_model
-from churnflow.sources.tables import append_table, read_processed, read_table, write_table
+from churnflow.sources.tables import read_processed, read_table, write_table
 from churnflow.spec import DatasetSpec
 
 
@@ -30,12 +29,16 @@ def build_candidate(
     profile: SearchProfile,
     run: str,
     row_counts: Mapping[str, int] | None = None,
+    search: str | None = None,
 ) -> tuple[str, Candidate]:
-    """Searches, saves the final model under a name of its own, and writes records and ledger."""
-    candidate = train_candidate(prepared, feature_names, spec, space, profile)
+    """Searches, saves the final model under a name of its own, and writes records and ledger.
+
+    ``search`` names the search in the table of trials. A flow that is started again under the same name goes on after the
+    trials that are finished; without a name, every call is a search of its own.
+    """
+    store = TrialStore(spark, layout.record("trials"), search or f"{run}-{uuid.uuid4().hex[:12]}")
+    candidate = train_candidate(prepared, feature_names, spec, space, profile, store)
     path = save_model(candidate.model, layout.model(f"candidate-{uuid.uuid4().hex[:12]}"))
-    append_table(trials_table(spark, candidate.trials).withColumn("run", F.lit(run)).coalesce(1),
-                 layout.record("trials"))
     best = spark.createDataFrame([{k: float(v) for k, v in candidate.best.params.items()}])
     records.write_record(best, layout.record("best_params"))
     counts = dict(row_counts or {})
@@ -49,8 +52,7 @@ def build_candidate(
 
 
 def _record_runs(spark, layout, candidate, run, profile, counts, path) -> None:
-    entries = records.run_entries(
-        spark,
+    entries = records.entry_rows(
         f"{run}_candidate_model",
         f"{run}_candidate",
         params={
@@ -64,23 +66,24 @@ def _record_runs(spark, layout, candidate, run, profile, counts, path) -> None:
         tags={"model_type": "GBTClassifier", "model_status": "candidate",
               "class_imbalance_handling": "scale_pos_weight"},
     )
-    entries = entries.unionByName(records.run_entries(
-        spark, f"{run}_search", f"{run}_search",
+    entries += records.entry_rows(
+        f"{run}_search", f"{run}_search",
         params={
             "n_trials": profile.trials, "optimization_metric": "f1_score", "random_state": profile.seed,
             "best_trial": candidate.best.number, **{f"best_{k}": v for k, v in candidate.best.params.items()},
         },
         metrics={"best_f1_score": candidate.best.objective},
         tags={"sampler": "random", "not_applied": ",".join(NOT_APPLIED)},
-    ))
+    )
     for trial in candidate.trials:
-        entries = entries.unionByName(records.run_entries(
-            spark, f"{run}_trial_{trial.number:02d}", f"{run}_trial",
+        entries += records.entry_rows(
+            f"{run}_trial_{trial.number:02d}", f"{run}_trial",
             params=trial.params, metrics=trial.metrics,
             tags={"trial_number": trial.number, "optimization_metric": "f1_score",
                   "not_applied": ",".join(NOT_APPLIED)},
-        ))
-    records.append_run(entries, layout.ledger)
+        )
+    # All rows of a run in one write.
+    records.append_run(spark.createDataFrame(entries, records.LEDGER_SCHEMA), layout.ledger)
 
 
 def evaluate_candidate(spark: SparkSession, layout: Layout, spec: DatasetSpec, candidate_path: str) -> DataFrame:

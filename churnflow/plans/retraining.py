@@ -29,16 +29,16 @@ def ingest(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
 _READERS = {"csv": read_csv, "parquet": read_table}
 
 
-def transform_new(spark: SparkSession, layout: Layout, rows: DataFrame, spec: DatasetSpec) -> str:
+def transform_new(spark: SparkSession, layout: Layout, rows: DataFrame, spec: DatasetSpec, search: str | None = None) -> str:
     """Prepares validated rows with the saved state, in a folder of this run, and checks what came out."""
     state = load_state(spark, layout.state, spec)
-    path = write_table(transform(rows, state, spec), layout.processed(f"new-{uuid.uuid4().hex[:12]}"))
+    path = write_table(transform(rows, state, spec), layout.processed(f"new-{search or uuid.uuid4().hex[:12]}"))
     require_prepared(read_table(spark, path), state, spec)
     return path
 
 
 def retrain(
-    spark: SparkSession, layout: Layout, new_path: str, spec: DatasetSpec, profile: SearchProfile
+    spark: SparkSession, layout: Layout, new_path: str, spec: DatasetSpec, profile: SearchProfile, search: str | None = None
 ) -> str:
     """Trains a candidate on initial and new prepared rows; production is not touched."""
     state = load_state(spark, layout.state, spec)
@@ -49,21 +49,24 @@ def retrain(
     counts = {f"{r['source']}_rows": r["rows"] for r in row_accounting(combined).collect()}
     path, _ = build_candidate(
         spark, layout, combined.drop("source"), state.feature_names, spec, RETRAIN_SPACE, profile,
-        "retraining", counts,
+        "retraining", counts, search,
     )
     return require_path(spark, path, "Candidate model")
 
 
 def run_retraining(
     spark: SparkSession, new_data: str, root: str, spec: DatasetSpec, profile: SearchProfile | None = None,
-    fmt: str | None = None,
+    fmt: str | None = None, search: str | None = None,
 ) -> str:
-    """Ingest, validate, transform, retrain, evaluate, decide; each step gates the next."""
+    """Ingest, validate, transform, retrain, evaluate, decide; each step gates the next.
+
+    A run that was lost is started again with the same ``search``: trials that it finished are not fitted again.
+    """
     layout = Layout(root)
     rows = ingest(spark, new_data, fmt)
     validate(rows, spec)
-    new_path = transform_new(spark, layout, rows, spec)
-    candidate_path = retrain(spark, layout, new_path, spec, profile or SearchProfile.full())
+    new_path = transform_new(spark, layout, rows, spec, search)
+    candidate_path = retrain(spark, layout, new_path, spec, profile or SearchProfile.full(), search)
     evaluation = evaluate_candidate(spark, layout, spec, candidate_path)
     return compare_and_promote(
         evaluation, candidate_path, Registry(spark, layout.registry), layout.record("promotion"), layout.ledger

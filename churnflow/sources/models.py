@@ -6,12 +6,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from churnflow.operators.features import PrepState
+from churnflow.operators.forest import save_nodes
 from churnflow.sources.tables import read_table, require_path, write_table
 from churnflow.spec import DatasetSpec
 
 
 def save_model(model: PipelineModel, path: str) -> str:
+    """Saves the model and, beside it, its nodes as a table."""
     model.write().overwrite().save(path)
+    save_nodes(SparkSession.active(), path)
     return path
 
 

@@ -21,22 +21,25 @@ def read_record(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def run_entries(
-    spark: SparkSession,
+def entry_rows(
     run_name: str,
     run_type: str,
     params: Mapping[str, object] | None = None,
     metrics: Mapping[str, float] | None = None,
     tags: Mapping[str, object] | None = None,
-) -> DataFrame:
+) -> list[tuple]:
     """The ledger rows of one run: one row per parameter, metric and tag."""
     kinds = {"param": params or {}, "metric": metrics or {}, "tag": tags or {}}
-    rows = [
+    return [
         (run_name, run_type, kind, key, None if value is None else str(value))
         for kind, values in kinds.items()
         for key, value in values.items()
     ]
-    return spark.createDataFrame(rows, LEDGER_SCHEMA)
+
+
+def run_entries(spark: SparkSession, run_name: str, run_type: str, **values: Mapping[str, object] | None) -> DataFrame:
+    """The same as a frame."""
+    return spark.createDataFrame(entry_rows(run_name, run_type, **values), LEDGER_SCHEMA)
 
 
 def append_run(entries: DataFrame, path: str) -> str:
