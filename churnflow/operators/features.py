@@ -152,17 +152,21 @@ def numeric_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, NumericSta
             raise ValueError(f"Numerical column '{c}' has no values to fit on.")
         if moments[f"inf{i}"]:
             raise ValueError(f"Numerical column '{c}' contains infinity.")
-        filled = moments[f"n{i}"] / moments["rows"]
-        gaps = 1.0 - filled
-        mean = filled * moments[f"mean{i}"] + gaps * median
-        spread = filled * (moments[f"var{i}"] + (moments[f"mean{i}"] - mean) ** 2)
-        variance = spread + gaps * (median - mean) ** 2
-        if _constant(variance, mean, moments["rows"]):
-            mean, variance = median, 0.0
-        stats[c] = NumericStats(median, mean, math.sqrt(variance))
+        stats[c] = filled_stats(median, moments["rows"], moments[f"n{i}"], moments[f"mean{i}"], moments[f"var{i}"])
     return stats
 
 
+def filled_stats(median: float, rows: int, values: int, mean: float, variance: float) -> NumericStats:
+    """Mean and deviation of a column of so many rows whose gaps are set to the median, from those of its values."""
+    filled = values / rows
+    gaps = 1.0 - filled
+    whole = filled * mean + gaps * median
+    spread = filled * (variance + (mean - whole) ** 2) + gaps * (median - whole) ** 2
+    if _constant(spread, whole, rows):
+        whole, spread = median, 0.0
+    return NumericStats(median, whole, math.sqrt(spread))
+
+
 def _constant(variance: float, mean: float, rows: int) -> bool:
     """Whether a variance is no more than what rounding leaves of a column with one value."""
     noise = rows * sys.float_info.epsilon
@@ -199,10 +203,14 @@ def vocabulary_of(counts: DataFrame) -> DataFrame:
 
 def fit_state(df: DataFrame, spec: DatasetSpec) -> PrepState:
     """Fits medians, scaling, most frequent categories (ties: the smallest) and vocabularies."""
-    numericals = numeric_stats(df, spec.numericals)
+    return state_of(numeric_stats(df, spec.numericals), category_counts(df, spec), spec)
+
+
+def state_of(numericals: Mapping[str, NumericStats], counts: DataFrame, spec: DatasetSpec) -> PrepState:
+    """The state of fitted numericals and counted categories (column, category, rows)."""
     mine = Window.partitionBy("column")
     # Few rows, as checked: one per category of the wide form.
-    ranked = category_counts(df, spec).select(
+    ranked = counts.select(
         "column", "category",
         F.row_number().over(mine.orderBy("category")).alias("ordinal"),
         (F.row_number().over(mine.orderBy(F.desc("rows"), "category")) == 1).alias("is_mode"),
@@ -215,7 +223,7 @@ def fit_state(df: DataFrame, spec: DatasetSpec) -> PrepState:
     for c in spec.categoricals:
         if c not in modes:
             raise ValueError(f"Categorical column '{c}' has no values to fit on.")
-    return PrepState(numericals, {c: modes[c] for c in spec.categoricals}, {c: tuple(v) for c, v in vocabulary.items()})
+    return PrepState(dict(numericals), {c: modes[c] for c in spec.categoricals}, {c: tuple(v) for c, v in vocabulary.items()})
 
 
 def transform(df: DataFrame, state: PrepState, spec: DatasetSpec) -> DataFrame:

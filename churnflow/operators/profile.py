@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnflow.functions.cells import cell, is_missing, literal, stacked
 
@@ -52,3 +53,26 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     counts = value_counts(df, column)
     total = counts.agg(F.sum("count").cast("double")).scalar()
     return counts.select("value", (F.col("count") * 100.0 / total).alias("percent"))
+
+
+def stored_missing_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(column, missing) and, under the name of no column, the rows, of a Parquet table, told by what its files say of themselves.
+
+    Counts of rows and values are pushed down to the files' footers, so no column is read but those of floating point
+    numbers, in which not-a-number counts as missing too.
+    """
+    # A session of its own: the settings are for this look alone.
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    table = session.read.parquet(path)
+    counted = footer_counts(table).first()
+    floats = [f.name for f in table.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    nans = table.agg(*[F.count_if(F.isnan(cell(c))).alias(c) for c in floats]).first() if floats else {}
+    rows = [(c, counted["rows"] - counted[i + 1] + (nans[c] if c in floats else 0)) for i, c in enumerate(table.columns)]
+    return spark.createDataFrame([*rows, (None, counted["rows"])], "column string, missing bigint")
+
+
+def footer_counts(table: DataFrame) -> DataFrame:
+    """Rows, and the values of each column."""
+    return table.agg(F.count(F.lit(1)).alias("rows"), *[F.count(cell(c)).alias(f"n{i}") for i, c in enumerate(table.columns)])
