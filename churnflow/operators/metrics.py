@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnflow.functions.cells import cell, literal, stacked
-from churnflow.functions.running import running_totals
-from churnflow.sources.tables import stored
+from churnflow.functions.ordered import place_among
 
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
 
@@ -58,43 +57,59 @@ def threshold_metrics() -> dict[str, Column]:
     }
 
 
-def score_counts(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
-    """(model, score, pos, neg): labels counted per distinct score of every model.
-
-    ``scores`` maps a model name to its score column. Labels and scores must not be missing.
-    """
-    names = [f"s{i}" for i in range(len(scores))]
-    checked = df.select(
-        cell(label).cast("int").alias("label"), *[_known(cell(label), cell(c)).alias(n) for n, c in zip(names, scores.values())]
-    )
-    lines = [(literal(model), n) for model, n in zip(scores, names)]
-    return (
-        checked.select("label", stacked(("model", "score"), lines))
-        .groupBy("model", "score")
-        .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
+def _checked(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
+    """``label`` and a column s0, s1, ... for each score; a missing one fails the job."""
+    return df.select(
+        cell(label).cast("int").alias("label"), *[_known(cell(label), cell(c)).alias(f"s{i}") for i, c in enumerate(scores.values())]
     )
 
 
+def _label_counts(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
+
+
+def _ranges(df: DataFrame, names: Sequence[str]) -> dict[str, list[float]]:
+    """Per score column, what cuts its values into about as many ranges of equal weight as the session has shuffle partitions."""
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shares = [i / parts for i in range(1, parts)]
+    found = df.agg(*[F.percentile_approx(n, shares, 50 * parts).alias(n) for n in names]).first()
+    return {n: found[n] or [] for n in names}
+
+
 def classification_metrics(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
     """One row per model: n, tp, fp, fn, tn, accuracy, precision, recall, f1_score, roc_auc.
 
     ROC AUC is the exact rank statistic (ties count half; null if a class is absent). Labels are counted per distinct
-    score first, and the ranks are running totals over ranges of scores, whose number grows with the cluster. Twice
-    the pairs won is a whole number, so that sums are exact in any order.
+    score, map-side first; ranks are running totals inside ranges of scores, whose edges are sketched, and each range adds
+    what the ones before it hold, from one row each. Twice the pairs won is a whole number, so that sums are exact in any order.
     """
-    counted = running_totals(stored(score_counts(df, label, scores), "scores"), "model", "score", ["neg"])
+    checked = _checked(df, label, scores)
+    names = list(scores)
+    edges = _ranges(checked, [f"s{i}" for i in range(len(names))])
+    lines = [(literal(model), f"s{i}", f"r{i}") for i, model in enumerate(names)]
+    ranged = checked.withColumns({f"r{i}": place_among(F.col(f"s{i}"), edges[f"s{i}"]) for i in range(len(names))})
+    counted = _label_counts(ranged.select("label", stacked(("model", "score", "range"), lines)), "model", "range", "score")
 
     def hits(measure: str) -> Column:
         return F.sum(F.when(predicted_class(F.col("score")) == 1, F.col(measure)).otherwise(0))
 
-    won = F.col("pos").cast("decimal(18,0)") * (2 * F.col("before_neg") + F.col("neg")).cast("decimal(19,0)")
+    def whole(column: Column) -> Column:
+        return column.cast("decimal(18,0)")
+
+    inside = Window.partitionBy("model", "range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    won = whole(F.col("pos")) * (2 * F.coalesce(F.sum("neg").over(inside), F.lit(0)) + F.col("neg")).cast("decimal(19,0)")
+    per_range = counted.withColumn("won", won).groupBy("model", "range").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won"), hits("pos").alias("tp"), hits("neg").alias("fp"))
+    # A row per range.
+    earlier = Window.partitionBy("model").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    below = whole(F.col("pos")) * (2 * F.coalesce(F.sum("neg").over(earlier), F.lit(0))).cast("decimal(19,0)")
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    counts = counted.groupBy("model").agg(
-        hits("pos").alias("tp"),
-        hits("neg").alias("fp"),
-        (F.sum("pos") - hits("pos")).alias("fn"),
-        (F.sum("neg") - hits("neg")).alias("tn"),
-        F.when(pairs > 0, F.sum(won).cast("double") / (2.0 * pairs)).alias("roc_auc"),
+    counts = per_range.withColumn("won", F.col("won") + below).groupBy("model").agg(
+        F.sum("tp").alias("tp"),
+        F.sum("fp").alias("fp"),
+        (F.sum("pos") - F.sum("tp")).alias("fn"),
+        (F.sum("neg") - F.sum("fp")).alias("tn"),
+        F.when(pairs > 0, F.sum("won").cast("double") / (2.0 * pairs)).alias("roc_auc"),
     )
     return counts.select(
         "model",
