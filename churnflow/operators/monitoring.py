@@ -27,7 +27,7 @@ def _is(status: int) -> Column:
     return F.col("status") == status
 
 
-def _result() -> Column:
+def results_label() -> Column:
     """Label of a successful prediction, derived from its probability."""
     return F.when(_is(OK) & (F.col("probability") > 0.5), "Yes").when(
         _is(OK) & F.col("probability").isNotNull(), "No"
@@ -40,16 +40,16 @@ def log_totals(log: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("requests"),
         F.count_if(_is(OK)).alias("successful"),
         F.count_if(_is(INVALID) | _is(FAILED)).alias("failed"),
-        F.count_if(_result() == "Yes").alias("churn"),
-        F.count_if(_result() == "No").alias("non_churn"),
-        F.count(_result()).alias("results"),
+        F.count_if(results_label() == "Yes").alias("churn"),
+        F.count_if(results_label() == "No").alias("non_churn"),
+        F.count(results_label()).alias("results"),
     )
 
 
 def results_by_label(log: DataFrame) -> DataFrame:
     """Predictions per label, and their sum under the name ``total``."""
     return (
-        log.select(_result().alias("churn"))
+        log.select(results_label().alias("churn"))
         .where("churn is not null")
         .rollup("churn")
         .agg(F.count(F.lit(1)).alias("predictions"), F.grouping("churn").alias("whole"))
@@ -169,9 +169,7 @@ def window_measures(log: DataFrame, seconds: int = 300, slide: int = 60, grid: b
     if seconds % slide:
         raise ValueError("the window length has to be a multiple of the slide")
     log = log.withColumn("ts", F.col("ts").cast("timestamp"))
-    slides = log.groupBy(F.window("ts", f"{slide} seconds").start.alias("slide_start")).agg(
-        *[c.alias(n) for n, c in measures().items()]
-    )
+    slides = per_slide(log, slide)
     if grid:
         slides = stored(slides, "slides")
         first, last = slides.agg(*[F.unix_seconds(f("slide_start")) for f in (F.min, F.max)]).first()
@@ -180,6 +178,18 @@ def window_measures(log: DataFrame, seconds: int = 300, slide: int = 60, grid: b
                 F.timestamp_seconds("id").alias("slide_start"), *[F.lit(0.0 if n == "latency_sum" else 0).alias(n) for n in MEASURES]
             )
             slides = slides.unionByName(empty)
+    return sliding(slides, seconds, slide)
+
+
+def per_slide(log: DataFrame, slide: int) -> DataFrame:
+    """All measures per slide [slide_start, slide_start + slide)."""
+    return log.groupBy(F.window("ts", f"{slide} seconds").start.alias("slide_start")).agg(
+        *[c.alias(n) for n, c in measures().items()]
+    )
+
+
+def sliding(slides: DataFrame, seconds: int, slide: int) -> DataFrame:
+    """All measures per window, added up from rows per slide, of which a slide may have several."""
     covering = F.sequence(
         F.col("slide_start") - F.make_dt_interval(secs=F.lit(seconds - slide)),
         F.col("slide_start"),
