@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 from functools import reduce
 from operator import and_
@@ -10,18 +11,21 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnflow.operators import assembly, features, metrics, monitoring, profile, promotion, quality, scoring, sparse
+from churnflow.functions import ordered
+from churnflow.operators import assembly, features, forest, metrics, monitoring, partial, profile, promotion, quality, scoring, sparse
 from churnflow.operators import split as splits
 from churnflow.operators import training
 from churnflow.operators.promotion import Registry
-from churnflow.plans.bootstrap import run_bootstrap
+from churnflow.plans.bootstrap import run_bootstrap, trials_of
 from churnflow.plans.layout import Layout
 from churnflow.plans.retraining import run_retraining
 from churnflow.session import work_folder
 from churnflow.sources import models, records, tables
+from churnflow.sources.seen_ids import SeenIds
 from churnflow.sources.views import table, view, view_over
 from churnflow.spec import telecom_spec
 from churnflow.streaming.monitoring import run_to_table, stream_dashboard
+from churnflow.streaming.repair import count_to_table, counted_totals, repair_to_table, repaired_windows
 from churnflow.streaming.scoring import score_stream
 
 SPEC = telecom_spec()
@@ -66,6 +70,33 @@ def csv_scan(spark, folder):
     return tables.read_csv(spark, tables.write_csv(_dirty(spark, folder), work_folder(spark, "csv")))
 
 
+@registered
+def csv_columns_by_name(spark, folder):
+    """Files of one table whose columns come in different orders: cells follow the names above them."""
+    path, customers = work_folder(spark, "csv"), table(spark, folder, "customer").drop("c_phone", "c_comment", "c_address")
+    names = [f.name for f in customers.schema if f.dataType.typeName() in ("long", "integer", "string")]
+    for number, order in enumerate((names, names[::-1], names[1:] + names[:1])):
+        rows = customers.where(F.col("c_custkey") % 3 == number).select(*order)
+        rows.coalesce(1).write.mode("append").options(header=True, escape='"').csv(path)
+    return tables.read_csv(spark, path, "Customers", na_tokens=("",)).select(*names)
+
+
+@registered
+def csv_line_breaks(spark, folder):
+    """Cells with line breaks, quotes and commas, written to delimited files and read back record by record."""
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", F.concat("c_name", F.lit('\n"quoted", '), "c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, "\n\n,").otherwise("")).alias("note"),
+        F.when(F.col("c_custkey") % 3 > 0, F.col("c_mktsegment")).alias("segment"))
+    return tables.read_csv(spark, tables.write_csv(customers, work_folder(spark, "csv")), "Customers", multiline=True)
+
+
+@registered
+def profile_stored(spark, folder):
+    """Rows and missing cells of a stored table, from its files' footers; only floating point columns are read."""
+    path = tables.write_table(_dirty(spark, folder), work_folder(spark, "dirty"))
+    return profile.stored_missing_counts(spark, path)
+
+
 @registered
 def profile_shape(spark, folder):
     return profile.shape(_subscribers(spark, folder))
@@ -126,6 +157,18 @@ def duplicate_ids(spark, folder):
     return quality.duplicate_ids(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
 
 
+@registered
+def ids_across_deliveries(spark, folder):
+    """Line items delivered in three parts: orders that an earlier part had, told by an index that isn't moved."""
+    index = SeenIds(spark, work_folder(spark, "seen-ids"), 8)
+    found = []
+    for number in range(3):
+        delivery = table(spark, folder, "lineitem").where(F.col("l_linenumber") % 3 == number)
+        found.append(tables.stored(index.counts(delivery, "l_orderkey").withColumn("delivery", F.lit(number)), "seen-counts"))
+        index.add(delivery, "l_orderkey", str(number))
+    return reduce(DataFrame.unionByName, found)
+
+
 @registered
 def unexpected_categories(spark, folder):
     return quality.unexpected_categories(
@@ -159,6 +202,14 @@ def stratified_split_orders(spark, folder):
     return splits.stratified_split(orders, "o_orderstatus", "o_orderkey", 0.25).select("o_orderkey", "split")
 
 
+@registered
+def stratified_split_parts(spark, folder):
+    """A class for every part: thousands of classes, their quotas and thresholds never on the driver."""
+    items = table(spark, folder, "lineitem").select(
+        "l_partkey", F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("item"))
+    return splits.stratified_split(items, "l_partkey", "item", 0.25)
+
+
 @registered
 def three_way_split(spark, folder):
     return splits.three_way_split(_subscribers(spark, folder), "Churn", "customerID").select("customerID", "split")
@@ -206,6 +257,39 @@ def fit_numeric_state_lineitem(spark, folder):
     return _state_table(spark, features.numeric_stats(table(spark, folder, "lineitem"), LINEITEM_NUMBERS))
 
 
+@registered
+def skewed_medians(spark, folder):
+    """Medians of columns whose middle lies beside a gap, or among few far values: one far value on either side, two
+    distant groups, a long tail."""
+    price, key = F.col("l_extendedprice"), F.col("l_linenumber")
+    columns = {
+        "far_groups": price + F.when(key % 2 == 0, 1e12).otherwise(0.0),
+        "long_tail": F.pow(price, 4),
+        "mostly_one": F.when(key <= 4, 5.0).otherwise(price),
+        "gaps": F.when(key % 3 == 0, price),
+    }
+    values = table(spark, folder, "lineitem").select(*[c.cast("double").alias(name) for name, c in columns.items()])
+    medians, _ = ordered.exact_medians(values, list(columns))
+    return spark.createDataFrame([(c, round(m / 1e6, 6)) for c, m in medians.items()], "column string, median double")
+
+
+@registered
+def merged_state(spark, folder):
+    """The state of two deliveries from their parts, none of their rows read again: that of fitting on all rows of both."""
+    parts = splits.three_way_split(_subscribers(spark, folder), "Churn", "customerID")
+    state = partial.StateParts(spark, work_folder(spark, "state-parts"), SPEC)
+    for delivery in ("initial", "new"):
+        state.add(parts.where(F.col("split") == delivery).drop("split"), delivery)
+    return _state_entries(spark, state.merged())
+
+
+def _state_entries(spark, state: features.PrepState) -> DataFrame:
+    return state.to_table(spark).select(
+        "kind", "column", "category", F.col("ordinal").cast("bigint").alias("ordinal"),
+        F.round("value_double", 7).alias("value_double"), "value_string",
+    )
+
+
 def _state_table(spark, stats) -> DataFrame:
     state = features.PrepState(stats, {}, {}).to_table(spark)
     return _rounded(state.select("kind", "column", "value_double"), 7, "value_double")
@@ -250,11 +334,7 @@ def sparse_categories(spark, folder):
 def prep_state_saved(spark, folder):
     """Every entry of the state after being saved and loaded."""
     path = models.save_state(spark, features.fit_state(_subscribers(spark, folder), SPEC), work_folder(spark, "state"))
-    state = models.load_state(spark, path, SPEC).to_table(spark)
-    return state.select(
-        "kind", "column", "category", F.col("ordinal").cast("bigint").alias("ordinal"),
-        F.round("value_double", 7).alias("value_double"), "value_string",
-    )
+    return _state_entries(spark, models.load_state(spark, path, SPEC))
 
 
 def _prepared(spark, folder) -> tuple[DataFrame, features.PrepState]:
@@ -464,23 +544,54 @@ def best_trial(spark, folder):
 # Training
 
 
+_CLOSE = 1e-12
+
+
 @registered
 def train_and_score(spark, folder):
-    """Boosted trees fitted on 80 % of the subscribers and scored on the rest."""
+    """Boosted trees fitted on 80 % of the subscribers and scored on the rest, by the model and by walking its saved nodes."""
     prepared, state = _prepared(spark, folder)
     parts = splits.stratified_split(prepared, "Churn", "customerID", 0.2)
     train = assembly.features_and_label(parts.where("split = 'train'"), state.feature_names, "Churn")
     params = training.SearchProfile.smoke().draws(training.TUNE_SPACE)[0]
     trees = training.fit_trees(train, params)
+    model = PipelineModel([assembly.assembler(state.feature_names), trees])
+    walked = forest.Forest.load(spark, models.save_model(model, work_folder(spark, "model")))
     test = parts.where("split = 'test'")
-    assembled = assembly.assembler(state.feature_names).transform(test)
+    both = training.scored(walked, training.scored(model, test, "probability"), "walked")
     probability = F.col("probability")
-    return training.scored(trees, assembled, "probability").select(
+    return both.select(
         "customerID", "Churn", probability.between(0, 1).alias("in_range"),
-        (metrics.predicted_class(probability) == F.when(probability > 0.5, 1).otherwise(0)).alias("class_follows"),
+        (F.abs(F.col("walked") - probability) < _CLOSE).alias("follows_nodes"),
     )
 
 
+@registered
+def forest_scores(spark, folder):
+    """Every subscriber scored by a forest whose nodes are made from the table: three trees of two levels that split numbers
+    at their medians, and whose leaves hold how far the churn of the subscribers there is from a half."""
+    subscribers = tables.stored(_subscribers(spark, folder).select(
+        "customerID", "Churn", *[F.col(c).cast("double").alias(c) for c in ("tenure", "MonthlyCharges", "SeniorCitizen")]), "subscribers")
+    names = ("tenure", "MonthlyCharges", "SeniorCitizen")
+    medians, _ = ordered.exact_medians(subscribers, list(names))
+    lines, nodes = [], []
+    for tree, (first, then) in enumerate(zip(names, names[1:] + names[:1])):
+        below, left = F.col(first) <= medians[first], F.col(then) <= medians[then]
+        lines += [F.avg(F.when(c, F.when(F.col("Churn") == "Yes", 0.5).otherwise(-0.5))) for c in (below & left, below & ~left, ~below)]
+        nodes.append((tree, first, then))
+    shares = list(subscribers.agg(*[F.coalesce(c, F.lit(0.0)).alias(f"l{i}") for i, c in enumerate(lines)]).first())
+    rows = []
+    for tree, first, then in nodes:
+        a, b, c = shares[3 * tree : 3 * tree + 3]
+        weight = 1.0 / (tree + 1)
+        rows += [
+            (tree, weight, 0, first, medians[first], 1, 4, None), (tree, weight, 1, then, medians[then], 2, 3, None),
+            *((tree, weight, node, None, None, None, None, value) for node, value in ((2, a), (3, b), (4, c))),
+        ]
+    scored = forest.Forest.of(spark.createDataFrame(rows, forest.NODE_SCHEMA)).scored(subscribers, "probability")
+    return _rounded(scored.select("customerID", "probability"), 9, "probability")
+
+
 @registered
 def search_trials(spark, folder):
     """Every trial's drawn parameters, and whether its metrics are in range and its objective is its own F1."""
@@ -496,6 +607,33 @@ def search_trials(spark, folder):
     )
 
 
+@registered
+def resumed_search(spark, folder):
+    """A search that stopped after two trials and was started again: what was finished is not fitted twice, and the whole
+    search is the one that was never interrupted."""
+    prepared, state = _prepared(spark, folder)
+    path, profile_ = work_folder(spark, "trials"), training.SearchProfile.smoke()
+    first = training.TrialStore(spark, path, "search")
+
+    def search(trials: int, store: training.TrialStore) -> training.Candidate:
+        return training.train_candidate(
+            prepared, state.feature_names, SPEC, training.RETRAIN_SPACE, dataclasses.replace(profile_, trials=trials), store)
+
+    search(2, first)
+    before = tables.stored(first.table(), "trials-before").withColumn("written", F.lit("before"))
+    search(profile_.trials, first)
+    search(profile_.trials, training.TrialStore(spark, path, "uninterrupted"))
+    columns = ["trial", "params", "metrics", "objective"]
+    both = training.TrialStore(spark, path, "uninterrupted").table().select("trial", *[F.col(c).alias(f"other_{c}") for c in columns[1:]])
+    return (
+        first.table().join(both, "trial").join(before.select("trial", "written", F.col("objective").alias("kept")), "trial", "left")
+        .select(
+            "trial", F.coalesce("written", F.lit("after")).alias("written"),
+            (F.map_entries("params") == F.map_entries("other_params")).alias("same_parameters"),
+            ((F.col("metrics") == F.col("other_metrics")) & (F.col("objective") == F.coalesce("kept", "objective"))).alias("same_result"))
+    )
+
+
 @registered
 def retraining_flow(spark, folder):
     """Both flows end to end with tiny models: rows of all parts, and whether decision and registry agree."""
@@ -512,7 +650,23 @@ def retraining_flow(spark, folder):
         for r in ledger.where("run_type = 'model_promotion' AND key LIKE '%f1\\_score' AND kind = 'metric'").collect()
     }
     better = f1["candidate_f1_score"] > f1["production_f1_score"]
+    # What was written as records is read back: the best parameters of the last search, and production's metrics.
+    trials = trials_of(spark, layout.root, "retraining")
+    best = training.best_trial(trials).first()
+    best_params = records.read_record(spark, layout.record("best_params"), ", ".join(f"{n} double" for n in training.RETRAIN_SPACE)).first()
+    evaluated = records.read_record(spark, layout.record("candidate_evaluation"), promotion.EVALUATION_SCHEMA).first()
+    try:
+        production = records.read_record(
+            spark, tables.require_path(spark, layout.record("promotion/production_metrics"), "Production metrics"),
+            f"model_name string, metrics {promotion.METRIC_STRUCT}").first()
+    except FileNotFoundError:
+        production = None
+    promoted_metrics = (production["model_name"], production["metrics"]) if production else None
     more = {
+        "tuning_trials": trials_of(spark, layout.root, "tuning").count(),
+        "best_params_follow_trials": int(best_params.asDict() == best["params"]),
+        "production_metrics_follow_decision": int(
+            promoted_metrics == (("production_model", evaluated["candidate_metrics"]) if decision == "PROMOTE" else None)),
         "held_out_rows": tables.read_table(spark, layout.processed("held_out")).count(),
         "registry_entries": Registry(spark, layout.registry).entries().count(),
         "decision_follows_f1": int(decision == ("PROMOTE" if better else "REJECT")),
@@ -574,9 +728,15 @@ def _fitted(spark, folder):
 def score_requests(spark, folder):
     """Dirty requests scored with a fitted model: refused ones keep their errors."""
     state, model = _fitted(spark, folder)
-    return scoring.score_requests(_dirty(spark, folder), state, SPEC, model).select(
+    walked = forest.Forest.load(spark, models.save_model(model, work_folder(spark, "model")))
+    requests = _dirty(spark, folder).withColumn("request", F.monotonically_increasing_id())
+    requests = tables.stored(requests, "requests")
+    scored, by_nodes = (scoring.score_requests(requests, state, SPEC, m) for m in (model, walked))
+    both = scored.join(by_nodes.select("request", F.col("probability").alias("walked")), "request")
+    return both.select(
         "customerID", "status", F.size("errors").alias("broken_rules"),
         F.coalesce(F.col("probability").between(0, 1), F.lit(False)).alias("has_probability"),
+        F.coalesce(F.abs(F.col("probability") - F.col("walked")) < _CLOSE, F.col("probability").isNull() & F.col("walked").isNull()).alias("follows_nodes"),
     )
 
 
@@ -685,14 +845,56 @@ def stream_rates(spark, folder):
     """The dashboard over the log as a stream. Rows of later days close all windows of the log."""
     static = table(spark, folder, "events")
     source, out, progress = (work_folder(spark, p) for p in ("events", "rates", "progress"))
-    tables.write_table(static, source)
     newest = tables.stored(static.orderBy(F.desc("ts")).limit(1), "newest")
+    tables.write_table(static.coalesce(1), source)
     for days in (1, 2, 3):
         # Chained aggregations lag behind by a batch, so one closing row is not enough.
         tables.append_table(newest.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {days} DAY")), source)
-        events = spark.readStream.schema(static.schema).parquet(source)
-        run_to_table(stream_dashboard(view_over(spark, "prediction_log", events=events)), out, progress)
+    # A file is a batch, the oldest first.
+    events = spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    run_to_table(stream_dashboard(view_over(spark, "prediction_log", events=events)), out, progress)
     last = newest.select(F.col("ts").cast("timestamp")).scalar()
     values = list(monitoring.dashboard_columns(300))
     of_log = spark.read.parquet(out).where(F.col("window_start") <= last)
     return _rounded(of_log.select(_minute("window_start"), *values), 9, *values)
+
+
+def _shuffled_log(spark, folder, parts: int = 3) -> tuple[DataFrame, str]:
+    """The log as a stream whose rows come in no order of time, a part at a time, and the folder it reads."""
+    static, source = table(spark, folder, "events"), work_folder(spark, "events")
+    for number in range(parts):
+        tables.append_table(static.where(F.pmod(F.xxhash64("event_id"), F.lit(parts)) == number).coalesce(1), source)
+    events = spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    return view_over(spark, "prediction_log", events=events), source
+
+
+@registered
+def stream_repaired(spark, folder):
+    """The dashboard over a stream that delivers its rows in any order: late rows repair the windows they belong to."""
+    log, _ = _shuffled_log(spark, folder)
+    out = work_folder(spark, "repaired")
+    repair_to_table(log, out, work_folder(spark, "progress")).awaitTermination()
+    values = list(monitoring.dashboard_columns(300))
+    return _rounded(repaired_windows(spark, out).select(_minute("window_start"), *values), 9, *values)
+
+
+@registered
+def stream_last_values(spark, folder):
+    """The last value of each series of a dashboard kept by a stream, its rows in any order."""
+    log, _ = _shuffled_log(spark, folder, 2)
+    out = work_folder(spark, "repaired")
+    repair_to_table(log, out, work_folder(spark, "progress"), 3600, 3600).awaitTermination()
+    windows = repaired_windows(spark, out)
+    return _rounded(monitoring.last_values(windows, "window_start", list(monitoring.dashboard_columns(3600))), 9, "value")
+
+
+@registered
+def stream_totals(spark, folder):
+    """Running counters over a stream that stops and is started again, as the totals of the log."""
+    static, source = table(spark, folder, "events"), work_folder(spark, "events")
+    out, progress = work_folder(spark, "counters"), work_folder(spark, "progress")
+    for number in range(2):
+        tables.append_table(static.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == number), source)
+        events = spark.readStream.schema(static.schema).parquet(source)
+        count_to_table(view_over(spark, "prediction_log", events=events), out, progress).awaitTermination()
+    return counted_totals(spark, out)

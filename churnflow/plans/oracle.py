@@ -80,6 +80,28 @@ def csv_scan():
     return _dirty(f"SELECT {cells} FROM subscribers_dirty")
 
 
+@answer
+def csv_columns_by_name():
+    return (
+        "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer")
+
+
+@answer
+def csv_line_breaks():
+    return """
+    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+      c_name || chr(10) || '"quoted", ' || c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN chr(10) || chr(10) || ',' ELSE '' END AS note,
+      CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS segment
+    FROM customer"""
+
+
+@answer
+def profile_stored():
+    return _dirty(" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing FROM subscribers_dirty" for c in SPEC.columns
+    ) + " UNION ALL SELECT NULL, count(*) FROM subscribers_dirty")
+
+
 @answer
 def profile_shape():
     return _subscribers(f"SELECT count(*) AS n_rows, CAST({len(SPEC.columns)} AS BIGINT) AS n_columns FROM subscribers")
@@ -199,6 +221,18 @@ def duplicate_ids():
     )
 
 
+@answer
+def ids_across_deliveries():
+    return """
+    WITH l AS (SELECT l_orderkey AS id, l_linenumber % 3 AS d FROM lineitem),
+    f AS (SELECT id, min(d) AS first FROM l GROUP BY id),
+    p AS (SELECT d, id, count(*) AS n FROM l GROUP BY d, id)
+    SELECT CAST(d AS INTEGER) AS delivery, CAST(sum(n) AS BIGINT) AS rows,
+      CAST(sum(CASE WHEN first < d THEN n ELSE n - 1 END) AS BIGINT) AS duplicates,
+      CAST(sum(CASE WHEN first < d THEN n ELSE 0 END) AS BIGINT) AS seen_before
+    FROM p JOIN f USING (id) GROUP BY d"""
+
+
 @answer
 def unexpected_categories():
     return """
@@ -228,14 +262,14 @@ def negative_values():
 # Splits
 
 
-def _quota_ctes(prefix: str, source: str, label: str, key: str, fraction: float, seed: str) -> dict[str, str]:
-    """Ranks every class by md5 of seed and id and marks as many rows as its quota."""
+def _quota_ctes(prefix: str, source: str, label: str, key: str, fraction: float, seed: str, order: str = "c") -> dict[str, str]:
+    """Ranks every class by md5 of seed and id and marks as many rows as its quota; shares in whole numbers."""
     p = prefix
     return {
         f"{p}n": f"SELECT count(*) AS n, ceil(count(*) * {fraction}) AS t FROM {source}",
         f"{p}q": f"SELECT {label} AS c, count(*) AS k FROM {source} GROUP BY {label}",
-        f"{p}w": f"SELECT c, t, floor(t * k / n) AS b, t * k / n - floor(t * k / n) AS r FROM {p}q CROSS JOIN {p}n",
-        f"{p}z": f"SELECT c, b + CASE WHEN row_number() OVER (ORDER BY r DESC, c) <= t - sum(b) OVER () "
+        f"{p}w": f"SELECT c, CAST(t AS BIGINT) AS t, (CAST(t AS BIGINT) * k) // n AS b, (CAST(t AS BIGINT) * k) % n AS r FROM {p}q CROSS JOIN {p}n",
+        f"{p}z": f"SELECT c, b + CASE WHEN row_number() OVER (ORDER BY r DESC, {order}) <= t - sum(b) OVER () "
                  f"THEN 1 ELSE 0 END AS quota FROM {p}w",
         f"{p}k": f"SELECT *, row_number() OVER (PARTITION BY {label} "
                  f"ORDER BY md5(concat('{seed}', CAST({key} AS VARCHAR)))) AS {p}rn FROM {source}",
@@ -272,6 +306,16 @@ def stratified_split_orders():
     )
 
 
+@answer
+def stratified_split_parts():
+    return _with(
+        [],
+        "SELECT l_partkey, item, CASE WHEN ain THEN 'test' ELSE 'train' END AS split FROM asplit",
+        items="SELECT l_partkey, concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS item FROM lineitem",
+        **_quota_ctes("a", "items", "l_partkey", "item", 0.25, "42:1:", "CAST(c AS VARCHAR)"),
+    )
+
+
 @answer
 def three_way_split():
     return _subscribers("SELECT customerID, split FROM parts", **_three_way())
@@ -371,16 +415,16 @@ def category_counts():
     ))
 
 
-def _mode_rows() -> str:
+def _mode_rows(source: str = "subscribers") -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", {_mode(c, 'subscribers')} AS value_string" for c in SPEC.categoricals
+        f"SELECT '{c}' AS \"column\", {_mode(c, source)} AS value_string" for c in SPEC.categoricals
     )
 
 
-def _vocabulary_rows() -> str:
+def _vocabulary_rows(source: str = "subscribers") -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", {c} AS category, row_number() OVER (ORDER BY {c}) AS ordinal "
-        f"FROM (SELECT DISTINCT {c} FROM subscribers WHERE {c} IS NOT NULL)"
+        f"FROM (SELECT DISTINCT {c} FROM {source} WHERE {c} IS NOT NULL)"
         for c in SPEC.categoricals
     )
 
@@ -411,17 +455,36 @@ def sparse_categories():
     )
 
 
-@answer
-def prep_state_saved():
-    return _subscribers(
-        f"""
+def _state_rows(source: str) -> str:
+    return f"""
         SELECT kind, "column", CAST(NULL AS VARCHAR) AS category, CAST(NULL AS BIGINT) AS ordinal, value_double,
           CAST(NULL AS VARCHAR) AS value_string FROM ({_numeric_rows(SPEC.numericals)})
-        UNION ALL SELECT 'mode', "column", NULL, NULL, NULL, value_string FROM ({_mode_rows()})
-        UNION ALL SELECT 'category', "column", category, ordinal, NULL, NULL FROM ({_vocabulary_rows()})
-        """,
-        **_fit_ctes("subscribers", _NUMBERS),
-    )
+        UNION ALL SELECT 'mode', "column", NULL, NULL, NULL, value_string FROM ({_mode_rows(source)})
+        UNION ALL SELECT 'category', "column", category, ordinal, NULL, NULL FROM ({_vocabulary_rows(source)})
+        """
+
+
+@answer
+def prep_state_saved():
+    return _subscribers(_state_rows("subscribers"), **_fit_ctes("subscribers", _NUMBERS))
+
+
+@answer
+def merged_state():
+    delivered = "SELECT s.* FROM subscribers s JOIN parts USING (customerID) WHERE split <> 'held_out'"
+    return _subscribers(_state_rows("delivered"), **_three_way(), delivered=delivered, **_fit_ctes("delivered", _NUMBERS))
+
+
+@answer
+def skewed_medians():
+    columns = {
+        "far_groups": "l_extendedprice + CASE WHEN l_linenumber % 2 = 0 THEN 1e12 ELSE 0 END",
+        "long_tail": "pow(l_extendedprice, 4)",
+        "mostly_one": "CASE WHEN l_linenumber <= 4 THEN 5.0 ELSE l_extendedprice END",
+        "gaps": "CASE WHEN l_linenumber % 3 = 0 THEN l_extendedprice END",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", round(median(CAST({sql} AS DOUBLE)) / 1e6, 6) AS median FROM lineitem" for name, sql in columns.items())
 
 
 def _feature_sql(vocabulary: Mapping[str, Sequence[str]], fitted: str) -> tuple[list[str], list[str]]:
@@ -687,7 +750,7 @@ def registry_history():
 @answer
 def train_and_score():
     return _subscribers(
-        "SELECT customerID, CASE Churn WHEN 'Yes' THEN 1 ELSE 0 END AS Churn, true AS in_range, true AS class_follows "
+        "SELECT customerID, CASE Churn WHEN 'Yes' THEN 1 ELSE 0 END AS Churn, true AS in_range, true AS follows_nodes "
         "FROM asplit WHERE ain",
         **_quota_ctes("a", "subscribers", "Churn", "customerID", 0.2, "42:1:"),
     )
@@ -710,6 +773,44 @@ def search_trials():
     )
 
 
+@answer
+def forest_scores():
+    names = ("tenure", "MonthlyCharges", "SeniorCitizen")
+    pairs = list(zip(names, names[1:] + names[:1]))
+    churned = "coalesce(avg(CASE Churn WHEN 'Yes' THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END) FILTER (WHERE {}), 0)"
+    nodes, weights = [], {}
+    for tree, (first, then) in enumerate(pairs):
+        below, left = f"{first} <= m_{first}", f"{then} <= m_{then}"
+        leaves = (f"{below} AND {left}", f"{below} AND NOT {left}", f"NOT {below}")
+        nodes += [
+            f"SELECT {tree} AS tree, 0 AS node, '{first}' AS feature, m_{first} AS threshold, 1 AS l, 4 AS r, CAST(NULL AS DOUBLE) AS value FROM med",
+            f"SELECT {tree}, 1, '{then}', m_{then}, 2, 3, NULL FROM med",
+            *(f"SELECT {tree}, {node}, NULL, NULL, NULL, NULL, {churned.format(where)} FROM subscribers CROSS JOIN med"
+              for node, where in zip((2, 3, 4), leaves)),
+        ]
+        weights[tree] = tree + 1
+    sql = _subscribers(
+        """
+        SELECT customerID, round(1 / (1 + exp(-2 * sum(value / (tree + 1)))), 9) AS probability
+        FROM w JOIN nodes USING (tree, node) WHERE value IS NOT NULL GROUP BY customerID""",
+        med="SELECT " + ", ".join(f"median({c})::DOUBLE AS m_{c}" for c in names) + " FROM subscribers",
+        nodes=" UNION ALL ".join(nodes),
+        x=" UNION ALL ".join(f"SELECT customerID, '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM subscribers" for c in names),
+        w="""
+          SELECT customerID, tree, 0 AS node FROM subscribers CROSS JOIN (SELECT DISTINCT tree FROM nodes)
+          UNION ALL SELECT w.customerID, w.tree, CASE WHEN x.x <= n.threshold THEN n.l ELSE n.r END
+          FROM w JOIN nodes n USING (tree, node) JOIN x ON x.customerID = w.customerID AND x.feature = n.feature""",
+    )
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@answer
+def resumed_search():
+    return _subscribers(
+        "SELECT CAST(t AS INTEGER) AS trial, CASE WHEN t < 2 THEN 'before' ELSE 'after' END AS written, "
+        "count(*) > 0 AS same_parameters, count(*) > 0 AS same_result FROM subscribers CROSS JOIN range(3) r(t) GROUP BY t")
+
+
 @answer
 def retraining_flow():
     return _subscribers(
@@ -721,6 +822,9 @@ def retraining_flow():
         UNION ALL SELECT 'training_rows', initial + fresh - CAST(ceil((initial + fresh) * 0.2) AS BIGINT) FROM s
         UNION ALL SELECT 'held_out_rows', held_out FROM s
         UNION ALL SELECT 'registry_entries', 2
+        UNION ALL SELECT 'tuning_trials', 3
+        UNION ALL SELECT 'best_params_follow_trials', 1
+        UNION ALL SELECT 'production_metrics_follow_decision', 1
         UNION ALL SELECT 'decision_follows_f1', 1
         UNION ALL SELECT 'registry_follows_decision', 1
         """,
@@ -794,7 +898,7 @@ def score_requests():
     broken = " + ".join(f"CASE WHEN ({rule}) IS NULL THEN 0 ELSE 1 END" for _, rule in _field_rules())
     return _dirty(
         "SELECT customerID, CASE WHEN broken = 0 THEN 200 ELSE 422 END AS status, broken AS broken_rules, "
-        f"broken = 0 AS has_probability FROM (SELECT customerID, {broken} AS broken FROM subscribers_dirty)"
+        f"broken = 0 AS has_probability, true AS follows_nodes FROM (SELECT customerID, {broken} AS broken FROM subscribers_dirty)"
     )
 
 
@@ -937,6 +1041,14 @@ def stream_rates():
     )
 
 
+@answer
+def stream_repaired():
+    return _log(
+        f"SELECT {_START}, " + ", ".join(f"round({v}, 9) AS {v}" for v in _VALUES) + " FROM dash",
+        **_window_ctes(300, 60, grid=False),
+    )
+
+
 def _histogram(value: str, bounds: Sequence[float], where: str) -> str:
     lines = [(str(b), f"count(*) FILTER (WHERE {value} <= {b})") for b in bounds] + [("+Inf", f"count({value})")]
     return " UNION ALL ".join(
@@ -970,3 +1082,13 @@ def last_values():
         ),
         **_window_ctes(3600, 3600),
     )
+
+
+@answer
+def stream_last_values():
+    return ORACLE["last_values"]
+
+
+@answer
+def stream_totals():
+    return ORACLE["log_totals"]
