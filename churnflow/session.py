@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -41,5 +44,29 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the checkpoint root."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder name below the checkpoint root; inside ``work_scope`` the folder goes when the scope ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if (scope := _scope.get()) is not None:
+        scope.append(path)
+    return path
+
+
+_scope: ContextVar[list[str] | None] = ContextVar("work_scope", default=None)
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the work folders that are made inside, once they are no longer needed: results have to be written before.
+
+    Operators keep intermediate tables in work folders, and the frames they return read them. What is to stay is written
+    to a folder named outside of the scope.
+    """
+    folders: list[str] = []
+    token = _scope.set(folders)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
