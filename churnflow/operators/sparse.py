@@ -1,7 +1,8 @@
 """Preparation of categorical columns with any number of categories.
 
 The vocabulary is a table, never a list on the driver, and applying it is a join. The prepared block is a sparse
-matrix in long form, one row per cell that is 1, or one sparse vector per row.
+matrix in long form, one row per cell that is 1, or one sparse vector per row. A model over such columns is a pipeline of
+public stages behind these joins, which keep no state and so take streams like batches; vocabulary and pipeline are saved side by side.
 """
 
 from __future__ import annotations
@@ -9,14 +10,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnflow.functions.cells import cell
+from churnflow.functions.cells import cell, quoted
 from churnflow.functions.running import running_totals
+from churnflow.operators.assembly import class_weight
 from churnflow.operators.features import counted_categories, modes_of
-from churnflow.sources.tables import stored
+from churnflow.operators.training import scored
+from churnflow.session import checkpoint_root
+from churnflow.sources.tables import read_table, stored, write_table
+
+#: Categories of a column that are broadcast to its rows; more are joined by shuffling.
+BROADCAST = 200_000
+_INDEX = "__index_"
 
 
 @dataclass(frozen=True)
@@ -67,3 +78,90 @@ def sparse_features(df: DataFrame, state: SparseState, *ids: str) -> DataFrame:
     found = sparse_cells(df, state, *ids).groupBy(*map(cell, ids)).agg(F.sort_array(F.collect_set("position")).alias("p"))
     positions = F.coalesce("p", F.array().cast("array<bigint>")).cast("array<int>")
     return df.select(*map(cell, ids)).join(found, list(ids), "left").select(*map(cell, ids), vector(positions).alias("features"))
+
+
+def save_sparse(state: SparseState, folder: str) -> str:
+    """Writes the vocabulary and the modes as tables."""
+    write_table(state.positions, f"{folder}/positions")
+    order = F.array_position(F.array(*map(F.lit, state.columns)), F.col("column")).cast("int")
+    write_table(state.modes.withColumn("nth", order).coalesce(1), f"{folder}/modes")
+    return folder
+
+
+def load_sparse(spark: SparkSession, folder: str) -> SparseState:
+    positions, modes = (read_table(spark, f"{folder}/{name}", "Vocabulary") for name in ("positions", "modes"))
+    columns = tuple(r["column"] for r in modes.orderBy("nth").collect())
+    return SparseState(columns, positions, modes.select("column", "category"), positions.count())
+
+
+def widths(state: SparseState) -> dict[str, tuple[int, int]]:
+    """Per column, its first position and its number of categories."""
+    found = state.positions.groupBy("column").agg(F.min("position").alias("first"), F.count(F.lit(1)).alias("n")).collect()
+    return {r["column"]: (r["first"], r["n"]) for r in found}
+
+
+def indexed(df: DataFrame, state: SparseState) -> DataFrame:
+    """``df``, a batch or a stream, with the place of each column's category in its vocabulary, its size if unseen.
+
+    One join a column, none of which keeps state; a missing cell counts as the column's mode.
+    """
+    sizes = widths(state)
+    modes = {r["column"]: r["category"] for r in state.modes.collect()}
+    for c, value in _texts(state.columns).items():
+        first, size = sizes[c]
+        words = state.positions.where(F.col("column") == c).select(
+            F.col("category").alias("__category"), (F.col("position") - first).cast("double").alias(_INDEX + c))
+        side = F.broadcast(words) if size <= BROADCAST else words
+        joined = df.join(side, F.coalesce(value, F.lit(modes[c])) == F.col("__category"), "left").drop("__category")
+        df = joined.withColumn(_INDEX + c, F.coalesce(cell(_INDEX + c), F.lit(float(size))))
+    return df
+
+
+@dataclass(frozen=True)
+class SparseModel:
+    """A logistic model over numbers and columns with any number of categories.
+
+    Trees are no choice here: Spark keeps a number for every feature of every training row of theirs, and the categories are
+    the features. The linear model takes the sparse vectors as they are.
+    """
+
+    state: SparseState
+    pipeline: PipelineModel
+
+    def scored(self, rows: DataFrame, score: str = "score") -> DataFrame:
+        """``rows``, a batch or a stream, with the probability of the positive class."""
+        kept = [cell(c) for c in rows.columns]
+        return scored(self.pipeline, indexed(rows, self.state), score).select(*kept, score)
+
+    def save(self, folder: str) -> str:
+        save_sparse(self.state, f"{folder}/vocabulary")
+        self.pipeline.write().overwrite().save(f"{folder}/pipeline")
+        return folder
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> SparseModel:
+        return cls(load_sparse(spark, f"{folder}/vocabulary"), PipelineModel.load(f"{folder}/pipeline"))
+
+
+def fit_sparse_model(
+    df: DataFrame, label: str, columns: Sequence[str], numericals: Sequence[str] = (), positive_weight: float = 1.0,
+    iterations: int = 20, penalty: float = 1e-3,
+) -> SparseModel:
+    """Fits vocabularies and a logistic model on (label, numbers, categories) rows; the label is 0 or 1, numbers must be there."""
+    checkpoint_root(df.sparkSession)
+    state = fit_sparse(df, columns)
+    sizes = widths(state)
+    names = [_INDEX + c for c in columns]
+    # The encoder learns sizes only, from a row with every column's last place. Unseen places become zeros.
+    last = df.sparkSession.createDataFrame([tuple(float(sizes[c][1] - 1) for c in columns)], ", ".join(f"{quoted(n)} double" for n in names))
+    vectors = [f"{n}_vector" for n in names]
+    encoder = OneHotEncoder(inputCols=names, outputCols=vectors, handleInvalid="keep", dropLast=True).fit(last)
+    assembled = VectorAssembler(inputCols=[*numericals, *vectors], outputCol="features", handleInvalid="error")
+    weighted = indexed(df, state).withColumn("label", cell(label).cast("double")).withColumn("weight", class_weight(F.col("label"), positive_weight))
+    rows = assembled.transform(encoder.transform(weighted)).select("label", "weight", "features").persist()
+    try:
+        learner = LogisticRegression(labelCol="label", weightCol="weight", maxIter=iterations, regParam=penalty)
+        model = learner.fit(rows)
+    finally:
+        rows.unpersist()
+    return SparseModel(state, PipelineModel([encoder, assembled, model]))

@@ -8,10 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnflow.functions import ordered
-from churnflow.operators import features, partial, profile
+from churnflow.operators import features, partial, profile, sparse
 from churnflow.sources.seen_ids import SeenIds
 from churnflow.sources.tables import read_csv
 from churnflow.sources.views import view
+from churnflow.streaming.monitoring import run_to_table
 from tests.rows import SPEC
 
 
@@ -218,3 +219,34 @@ def test_footers_tell_what_is_missing(spark, tmp_path):
     plan = profile.footer_counts(session.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
     assert "PushedAggregation: [COUNT(*), COUNT(a)" in plan
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_sparse_model(spark, tmp_path):
+    """Learns from the category alone, treats unseen ones and gaps alike on batch and stream, after being saved."""
+    rng = random.Random(7)
+    good = {f"p{i}": rng.random() < 0.5 for i in range(300)}
+    rows = [(p, rng.random(), int(good[p] != (rng.random() < 0.05))) for p in rng.choices(list(good), k=6000)]
+    df = spark.createDataFrame(rows, "part string, x double, label int")
+    model = sparse.fit_sparse_model(df, "label", ["part"], ["x"], iterations=10)
+    loaded = sparse.SparseModel.load(spark, model.save(str(tmp_path / "m")))
+    judged = loaded.scored(df)
+    assert judged.columns == ["part", "x", "label", "score"]
+    assert judged.where("(score > 0.5) = (label = 1)").count() > 0.9 * 6000
+    odd = spark.createDataFrame([("p1", 0.5, 1), ("unseen", 0.5, 1), (None, 0.5, 0), ("also unseen", 0.5, 0)], "part string, x double, label int")
+    by_part = {r.part: r.score for r in loaded.scored(odd).collect()}
+    mode = loaded.state.modes.first()["category"]
+    assert by_part["unseen"] == by_part["also unseen"] != by_part["p1"]
+    assert by_part[None] == loaded.scored(spark.createDataFrame([(mode, 0.5)], "part string, x double")).first()["score"]
+    odd.write.parquet(str(tmp_path / "in"))
+    stream = loaded.scored(spark.readStream.schema(odd.schema).parquet(str(tmp_path / "in")))
+    run_to_table(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert {r.part: r.score for r in spark.read.parquet(str(tmp_path / "out")).collect()} == by_part
+
+
+@pytest.mark.parametrize("broadcast", [0, 200_000])
+def test_places_in_the_vocabulary(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(sparse, "BROADCAST", broadcast)
+    df = spark.createDataFrame([("b", 2), ("a", 10), ("b", None), (None, 10)], "s string, `n.m` int")
+    state = sparse.fit_sparse(df, ["s", "n.m"])
+    found = sparse.indexed(df.unionByName(spark.createDataFrame([("z", 7)], df.schema)), state).collect()
+    assert sorted((r["__index_s"], r["__index_n.m"]) for r in found) == [(0.0, 0.0), (1.0, 0.0), (1.0, 0.0), (1.0, 1.0), (2.0, 2.0)]
