@@ -6,6 +6,8 @@ slides that the Spark operators use.
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Callable, Mapping, Sequence
 
 from churnflow.sources.views import view_sql
@@ -455,6 +457,12 @@ def sparse_categories():
     )
 
 
+@answer
+def sparse_model():
+    return (
+        "SELECT l_partkey, count(*) AS rows, count(*) AS streamed, true AS in_range, true AS same_scores FROM lineitem GROUP BY l_partkey")
+
+
 def _state_rows(source: str) -> str:
     return f"""
         SELECT kind, "column", CAST(NULL AS VARCHAR) AS category, CAST(NULL AS BIGINT) AS ordinal, value_double,
@@ -758,19 +766,28 @@ def train_and_score():
 
 @answer
 def search_trials():
-    # The parameters that the seed draws, trial by trial.
-    names = ("n_estimators", "max_depth", "learning_rate", "min_child_weight", "subsample", "colsample_bytree", "gamma",
-             "reg_alpha", "reg_lambda", "scale_pos_weight")
-    trials = (
-        (3, 4, 0.010981591, 5, 0.867663207, 0.966984161, 2.270011543, 1.252454207, 4.298728466, 2.793624692),
-        (3, 4, 0.099152724, 10, 0.801270425, 0.828473328, 3.212488538, 1.344633199, 0.453351884, 1.974897805),
-        (4, 3, 0.236759045, 4, 0.936608134, 0.650510859, 0.621153882, 1.728928132, 0.121799721, 2.224339617),
-    )
-    return " UNION ALL ".join(
-        f"SELECT {i} AS trial, 'complete' AS state, "
-        + ", ".join(f"CAST({v} AS DOUBLE) AS {n}" for n, v in zip(names, values)) + ", true AS in_range, true AS objective_is_f1"
-        for i, values in enumerate(trials)
+    # The declared ranges, the number of trees but a few, and the rule of the draws: whole numbers, real
+    # numbers, and real numbers on a logarithmic scale, each trial from a generator of its own.
+    ranges = (
+        ("n_estimators", "int", 1, 3), ("max_depth", "int", 3, 10), ("learning_rate", "log", 0.01, 0.30), ("min_child_weight", "int", 1, 10),
+        ("subsample", "real", 0.6, 1.0), ("colsample_bytree", "real", 0.6, 1.0), ("gamma", "real", 0.0, 5.0), ("reg_alpha", "real", 0.0, 5.0),
+        ("reg_lambda", "log", 0.1, 10.0), ("scale_pos_weight", "real", 1.0, 5.0),
     )
+    rows = []
+    for trial in range(20):
+        generator, drawn = random.Random(f"42:{trial}"), []
+        for name, kind, low, high in ranges:
+            if kind == "int":
+                value = low + generator.randint(0, high - low)
+            elif kind == "log":
+                value = math.exp(generator.uniform(math.log(low), math.log(high)))
+            else:
+                value = generator.uniform(low, high)
+            drawn.append(f"round(CAST({value!r} AS DOUBLE), 9) AS {name}")
+        rows.append(f"SELECT {trial} AS trial, 'complete' AS state, {', '.join(drawn)}")
+    return _subscribers(
+        f"SELECT r.*, n > 0 AS in_range, n > 0 AS objective_is_f1, n > 0 AS best_is_repeated FROM ({' UNION ALL '.join(rows)}) r "
+        "CROSS JOIN (SELECT count(*) AS n FROM subscribers)")
 
 
 @answer
