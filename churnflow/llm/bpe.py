@@ -1,18 +1,18 @@
 """Encoding and decoding with a public word-level BPE vocabulary, reusing content-defined chunks.
 
 Texts are cut where a rolling hash of the last bytes has a given form, so that a passage is cut alike in every
-document. A chunk that was seen before isn't encoded again. A cut may fall inside a word, and the tokens beside it are
-then not those of the whole text: each join is repaired by encoding the word across it anew, from the last white space
-before the cut to the first after it. White space ends every token of this vocabulary, so beyond these two
-places old and new tokens agree.
+document. A chunk that was seen before isn't encoded again: of every different chunk, the ids between its first and its
+last white space are kept. A cut may fall inside a word, and the tokens beside it are then not those of the whole text:
+each join is repaired by encoding the text across it anew, from the last white space before the cut to the first after
+it, over as many chunks as lie between. White space ends every token of this vocabulary, so beyond these two places old
+and new tokens agree.
+
+All of this is done for a batch of texts at once, as arrays. What is remembered is bounded in bytes and ends with its task.
 """
 
 from __future__ import annotations
 
-import os
-import re
-from collections.abc import Iterable, Iterator
-from unicodedata import is_normalized
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,143 +20,132 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnflow.llm.common import by_row_count, documents_of
+from churnflow.llm.common import documents_of
 from churnflow.llm.packing import Rolling, mixed
+from churnflow.llm.wordids import WordIds, by_bytes
 
 #: Bytes that the rolling hash sees; a cut is made after about every 2**CUT_BITS bytes.
 SEEN, CUT_BITS = 12, 7
-#: What a Python worker remembers at most.
-WORDS_KEPT, CHUNK_BYTES_KEPT = 1_200_000, 32 << 20
-#: Rows whose unknown words are encoded in one call, and words to a line of that call.
-ROWS_AT_ONCE, WORDS_IN_LINE = 512, 64
+#: Bytes of text taken at once, bytes hashed at once, and what remembered chunks take at most.
+TEXT_BYTES, HASHED_BYTES, CHUNK_BYTES_KEPT = 4 << 20, 1 << 20, 32 << 20
+#: What a remembered chunk costs beside four times its bytes.
+_CHUNK_BYTES = 200
 _OF_BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
-#: What often stands behind a word.
-_MARKS = (b".", b",", b"!", b"?", b";", b":")
 #: White space that ends a token whatever stands beside it.
-_SPACE = re.compile(rb"[ \t\n\r]+")
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r"))
+
+
+def cuts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Ends of chunks: where the hash of the SEEN bytes before, all of one text, has zeros in its upper bits, and where a
+    text ends."""
+    found = [begins[1:]]
+    for at in range(0, len(data), HASHED_BYTES):
+        h = Rolling(_OF_BYTE[data[at : at + HASHED_BYTES + SEEN - 1]]).every(SEEN)
+        found.append(np.flatnonzero(h >> np.uint64(64 - CUT_BITS) == 0) + at + SEEN)
+    ends = np.unique(np.concatenate(found))
+    # The bytes seen before a text's end needn't be its own.
+    text = np.searchsorted(begins, ends - 1, side="right") - 1
+    own = (begins[text] <= ends - SEEN) | np.isin(ends, begins[1:])
+    return ends[own & (ends > 0)]
+
+
+def _stretches(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.StringArray:
+    """Ascending stretches of the bytes that share none."""
+    step = np.zeros(len(data) + 1, np.int32)
+    np.add.at(step, starts, 1)
+    np.subtract.at(step, ends, 1)
+    kept = data[np.cumsum(step[:-1], dtype=np.int8).astype(bool)]
+    bounds = np.append(0, np.cumsum(ends - starts)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(kept))
 
 
-def cuts(raw: bytes) -> list[int]:
-    """Ends of chunks: where the hash of the SEEN bytes before has zeros in its upper bits, and the text's end."""
-    h = Rolling(_OF_BYTE[np.frombuffer(raw, np.uint8)]).every(SEEN)
-    inner = np.flatnonzero(h >> np.uint64(64 - CUT_BITS) == 0) + SEEN
-    return [*inner[inner < len(raw)].tolist(), len(raw)]
+def _gather(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    return ids[at + np.arange(len(at))]
 
 
 class Encoder:
-    """Ids, as 4 bytes each, of the words and chunks seen so far."""
+    """Encodes batches of texts. One task's helper: what it remembers goes with it."""
 
     def __init__(self, path: str):
-        # One thread: the cores belong to other tasks.
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
-        self.tokens = pa.array(tokens, pa.string())
-        self.ends_word = np.array([t.endswith("</w>") for t in tokens])
-        self.marks = {m: np.array(self.tokenizer.encode(m.decode(), add_special_tokens=False).ids, "<i4").tobytes() for m in (b"", *_MARKS)}
-        #: Words used lately, and those used before them.
-        self.words: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        #: Of a chunk: the bytes before its first white space, the ids of the words between, the bytes after its last.
-        self.chunks: dict[bytes, tuple[bytes, bytes, bytes]] = {}
+        self.words = WordIds(path)
+        self.tokenizer = self.words.tokenizer
+        self.tokens = pa.array(
+            [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))], pa.string())
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Numbers of chunks. Of each: bytes before its first white space (-1 without any) and behind its last, where the
+        #: ids between them are, and how many.
+        self.chunks: dict[bytes, int] = {}
+        self.head, self.tail, self.start, self.size = (np.zeros(0, np.int64) for _ in range(4))
+        self.ids = np.zeros(0, np.int32)
         self.held = 0
 
-    def _recall(self, words: Iterable[bytes]) -> set[bytes]:
-        """The words not known; those used before lately are used lately again."""
-        missing = set(words).difference(self.words)
-        for word in [w for w in missing if w in self.older]:
-            self.words[word] = self.older[word]
-            missing.remove(word)
-        return missing
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) > WORDS_KEPT // 2:
-            self.words, self.older = {}, self.words
-        plain, others, variants = {}, [], []
-        for word in self._recall(words):
-            # Case is dropped, and a mark behind a word of letters is a token of its own.
-            mark = word[-1:] if word[-1:] in _MARKS else b""
-            stem = (word[:-1] if mark else word).lower()
-            text = stem.decode("utf-8")
-            # The tokenizer normalizes first; a letter that NFC takes apart leaves a combining mark, which a mark behind it joins.
-            if not (text.lower().isalpha() and is_normalized("NFC", text)):
-                others.append((word, word.decode("utf-8")))
-                continue
-            plain[stem] = text
-            if stem != word:
-                variants.append((word, stem, mark))
-        unknown = self._recall(plain)
-        plain = {stem: text for stem, text in plain.items() if stem in unknown}
-        # A word of letters only ends with its one token that ends a word, so that many can share a line.
-        todo = list(plain.items())
-        lines = [todo[i : i + WORDS_IN_LINE] for i in range(0, len(todo), WORDS_IN_LINE)]
-        for line, e in zip(lines, self._encode([" ".join(t for _, t in line) for line in lines])):
-            ids = np.array(e, "<i4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(line):
-                others += line
-                continue
-            raw, at = ids.tobytes(), 0
-            for (word, _), end in zip(line, (4 * ends).tolist()):
-                self.words[word] = raw[at:end]
-                at = end
-        for (word, _), e in zip(others, self._encode([t for _, t in others])):
-            self.words[word] = np.array(e, "<i4").tobytes()
-        for word, stem, mark in variants:
-            self.words[word] = self.words[stem] + self.marks[mark]
-
-    def _encode(self, texts: list[str]) -> Iterator[list[int]]:
-        return (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
-
-    def encode(self, raws: list[bytes]) -> list[bytes]:
-        """The ids of each text."""
-        # Cut all texts; take apart the chunks not seen before, and find the words across the joins.
-        fresh: dict[bytes, list[bytes]] = {}
-        documents, needed = [], set()
-        for raw in raws:
-            plan, carry, at = [], b"", 0
-            for end in cuts(raw):
-                piece = raw[at:end]
-                at = end
-                known = self.chunks.get(piece)
-                if known is None:
-                    parts = fresh.get(piece)
-                    if parts is None:
-                        parts = fresh[piece] = _SPACE.split(piece)
-                        needed.update(parts[1:-1])
-                    if len(parts) == 1:
-                        carry += piece
-                        continue
-                    head, tail = parts[0], parts[-1]
-                else:
-                    head, _, tail = known
-                join = carry + head
-                needed.add(join)
-                plan.append((join, piece))
-                carry = tail
-            needed.add(carry)
-            documents.append((plan, carry))
-        self._learn(needed)
-        of = self.words
-        for piece, parts in fresh.items():
-            if len(parts) > 1:
-                self.chunks[piece] = parts[0], b"".join([of[w] for w in parts[1:-1]]), parts[-1]
-                self.held += 5 * len(piece) + 400
-        out = []
-        for plan, last in documents:
-            ids = []
-            for join, piece in plan:
-                ids += of[join], self.chunks[piece][1]
-            ids.append(of[last])
-            out.append(b"".join(ids))
+    def _encoded(self, text: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``words.encode``, a bounded number of bytes at a time."""
+        parts, begins = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for batch in by_bytes(iter([pa.RecordBatch.from_arrays([text], names=["text"])]), size=TEXT_BYTES):
+            ids, ends = self.words.encode(batch.column("text"))
+            begins.append(ends[1:] + begins[-1][-1])
+            parts.append(ids)
+        return np.concatenate(parts), np.concatenate(begins)
+
+    def _learn(self, new: pa.BinaryArray, names: list[bytes]) -> None:
+        offsets = np.frombuffer(new.buffers()[1], np.int32)[new.offset : new.offset + len(new) + 1].astype(np.int64)
+        data = np.frombuffer(new.buffers()[2], np.uint8)
+        space = np.flatnonzero(_SPACE[data[: offsets[-1]]])
+        first, last = np.searchsorted(space, offsets[:-1]), np.searchsorted(space, offsets[1:]) - 1
+        some = last >= first
+        head, tail = np.full(len(new), -1), np.zeros(len(new), np.int64)
+        since, until = space[first[some]], space[last[some]] + 1
+        head[some] = since - offsets[:-1][some]
+        tail[some] = offsets[1:][some] - until
+        ids, begins = self._encoded(_stretches(data, since, until))
+        start, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        start[some], size[some] = begins[:-1] + len(self.ids), np.diff(begins)
+        self.chunks.update(zip(names, range(len(self.chunks), len(self.chunks) + len(names))))
+        self.head, self.tail, self.start, self.size, self.ids = (
+            np.concatenate(pair) for pair in ((self.head, head), (self.tail, tail), (self.start, start), (self.size, size), (self.ids, ids)))
+        self.held += 4 * int(offsets[-1]) + _CHUNK_BYTES * len(names)
+
+    def encode(self, text: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's ids begin, with their number at the end."""
+        offsets = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+        data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        begins = offsets - offsets[0]
+        ends = cuts(data, begins)
+        chunks = pa.BinaryArray.from_buffers(
+            pa.binary(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = chunks.dictionary_encode()
         if self.held > CHUNK_BYTES_KEPT:
-            self.chunks.clear()
-            self.held = 0
-        return out
+            self._forget()
+        different = coded.dictionary.to_pylist()
+        new = [i for i, piece in enumerate(different) if piece not in self.chunks]
+        if new:
+            self._learn(coded.dictionary.take(pa.array(new)), [different[i] for i in new])
+        of = np.array([self.chunks[piece] for piece in different], np.int64)
+        chunk = of[np.asarray(coded.indices)] if len(coded) else np.zeros(0, np.int64)
+        # What is taken over of each chunk with white space, as places in the batch.
+        some = self.head[chunk] >= 0
+        chunk, starts, ends = chunk[some], np.append(0, ends)[:-1][some], ends[some]
+        since, until = starts + self.head[chunk], ends - self.tail[chunk]
+        # What lies between, before and behind in each text is encoded anew.
+        of_text = np.searchsorted(begins, starts, side="right") - 1
+        before = np.searchsorted(of_text, np.arange(len(begins)))
+        joins, join_begins = self._encoded(_stretches(
+            data, np.insert(until, before[:-1], begins[:-1]), np.insert(since, before[1:], begins[1:])))
+        # Each join is followed by what is taken over behind it, if anything in its text.
+        sizes = np.zeros((len(since) + len(text), 2), np.int64)
+        sizes[:, 0] = np.diff(join_begins)
+        followed = np.delete(np.arange(len(sizes)), before[1:] + np.arange(len(text)))
+        sizes[followed, 1] = self.size[chunk]
+        own = np.repeat(np.tile([True, False], len(sizes)), sizes.ravel())
+        out = np.empty(len(own), np.int32)
+        out[own] = joins
+        out[~own] = _gather(self.ids, self.start[chunk], self.size[chunk])
+        total = np.append(0, np.cumsum(sizes.sum(axis=1)))
+        return out, total[before + np.arange(len(begins))]
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """The text of each list of ids."""
@@ -166,16 +155,6 @@ class Encoder:
         return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self.tokens.take(ids.values)), " ")
 
 
-#: A worker's encoders outlive its tasks, so what one task learned serves the next.
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder_of(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 def encode_decode(documents: DataFrame, path: str) -> DataFrame:
     """Per row: ``doc_id``, ``ids`` (as the tokenizer at ``path`` encodes the whole text, without added special tokens)
     and ``decoded`` (as it decodes them, special tokens kept).
@@ -184,14 +163,13 @@ def encode_decode(documents: DataFrame, path: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path)
-        for batch in by_row_count(batches, ROWS_AT_ONCE):
-            done = encoder.encode([(t.as_py() or "").encode("utf-8") for t in batch.column("text")])
-            ends = np.cumsum([0, *(len(ids) // 4 for ids in done)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(done), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, encoder.decode(ids)], names=["doc_id", "ids", "decoded"])
-
-    return documents_of(documents).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+        encoder = Encoder(path)
+        for batch in by_bytes(batches, size=TEXT_BYTES):
+            ids, begins = encoder.encode(batch.column("text"))
+            lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, encoder.decode(lists)], names=["doc_id", "ids", "decoded"])
+
+    return documents_of(documents).withColumn("text", F.coalesce("text", F.lit(""))).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
 def digests() -> list[Column]:

@@ -1,11 +1,12 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from churnflow.llm import bpe
+from churnflow.llm import bpe, wordids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -19,6 +20,11 @@ def library():
     return Tokenizer.from_file(PATH)
 
 
+def ids_of(encoder, texts):
+    ids, begins = encoder.encode(pa.array(texts, pa.string()))
+    return [ids[s:e].tolist() for s, e in zip(begins, begins[1:])]
+
+
 def expected(library, text):
     ids = library.encode(text or "", add_special_tokens=False).ids
     return ids, library.decode(ids, skip_special_tokens=False)
@@ -33,14 +39,15 @@ def test_equals_the_library(spark, docs_of, messy, library, sf_dir):
 
 @pytest.mark.parametrize("bits", [0, 1, 3])
 def test_cuts_inside_words_are_repaired(library, monkeypatch, bits):
-    monkeypatch.setattr(bpe, "CUT_BITS", bits) if bits else monkeypatch.setattr(bpe, "cuts", lambda raw: list(range(1, len(raw) + 1)))
+    monkeypatch.setattr(bpe, "CUT_BITS", bits) if bits else monkeypatch.setattr(bpe, "cuts", lambda data, begins: np.arange(1, len(data) + 1))
+    monkeypatch.setattr(bpe, "HASHED_BYTES", 500)
     rng = random.Random(bits)
     pieces = ["a", "Bb", "'s", " ", "\n", "é", "<|endoftext|>", "12", "--", "ß", "漢", "👍", "\t", "longword", "\x0b"]
     texts = ODD[:9] + ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 120))) for _ in range(150)]
     encoder = bpe.Encoder(PATH)
     for _ in range(2):  # the second time, all chunks are known
-        for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
-            assert list(memoryview(ids).cast("i")) == expected(library, text)[0]
+        for text, ids in zip(texts, ids_of(encoder, texts)):
+            assert ids == expected(library, text)[0], text
 
 
 def test_letters_that_normalization_takes_apart(library):
@@ -48,19 +55,39 @@ def test_letters_that_normalization_takes_apart(library):
     letters = [chr(c) for c in (0x95D, 0x9DF, 0xA5E, 0xB5C, 0xF43, 0xFB1D, 0xFB2A, 0xFB2C)]
     texts = [f"{word}{mark}" for c in letters for word in (c, f"ab{c}", f"{c}ab", f"AB{c}") for mark in ("", *".,!?;:")]
     texts += ["한,", "한글.", "É! é?", " ".join(texts)]
-    for text, ids in zip(texts, bpe.Encoder(PATH).encode([t.encode() for t in texts])):
-        assert list(memoryview(ids).cast("i")) == expected(library, text)[0]
+    for text, ids in zip(texts, ids_of(bpe.Encoder(PATH), texts)):
+        assert ids == expected(library, text)[0]
 
 
 def test_memory_is_bounded(library, monkeypatch):
-    monkeypatch.setattr(bpe, "WORDS_KEPT", 20)
+    monkeypatch.setattr(wordids, "KEPT_BYTES", 5000)
     monkeypatch.setattr(bpe, "CHUNK_BYTES_KEPT", 2000)
+    monkeypatch.setattr(bpe, "TEXT_BYTES", 200)
     encoder = bpe.Encoder(PATH)
     for i in range(30):
         texts = [f"text number {i} has words {j} " * 5 for j in range(i, i + 4)]
-        for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
-            assert list(memoryview(ids).cast("i")) == expected(library, text)[0]
-        assert len(encoder.older) < 300 and encoder.held <= 2000
+        for text, ids in zip(texts, ids_of(encoder, texts)):
+            assert ids == expected(library, text)[0]
+        # A batch may go beyond the bound before the next one forgets.
+        assert encoder.held <= 2000 + 4 * 700 + 700 * 200 and encoder.words.held <= 5000 + 700 * 151
+
+
+def test_nothing_is_remembered_between_tasks(docs_of):
+    """Neither the module nor anything it imports keeps an encoder once its task is over."""
+    import gc
+
+    rows = [(i, f"some words {i}") for i in range(50)]
+
+    def count(batches):
+        gc.collect()
+        held = sum(isinstance(o, (bpe.Encoder, wordids.WordIds)) for o in gc.get_objects())
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([held] * batch.num_rows)], names=["held"])
+
+    docs = docs_of(rows, 8)
+    bpe.encode_decode(docs, PATH).count()
+    # The same workers serve these tasks.
+    assert {r.held for r in docs.select("doc_id").mapInArrow(count, "held long").collect()} == {0}
 
 
 def test_shared_passages_are_cut_alike():
@@ -69,7 +96,7 @@ def test_shared_passages_are_cut_alike():
     pieces = []
     for before in (b"", b"something else "):
         raw, at, own = before + passage, 0, []
-        for end in bpe.cuts(raw):
+        for end in bpe.cuts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])).tolist():
             own.append(raw[at:end])
             at = end
         assert b"".join(own) == raw
