@@ -23,6 +23,19 @@ def documents_of(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def column(name: str) -> Column:
+    """The column of this name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def helper(df: DataFrame, name: str) -> str:
+    """A name for a column of ours beside all columns of a table, whatever these are called."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def document_key() -> Column:
     """A hash that tells texts of one id apart, as well as documents without an id."""
     doc_id = F.col("doc_id").cast("long")
@@ -37,6 +50,12 @@ def keyed(documents: DataFrame) -> DataFrame:
     )
 
 
+def marked(documents: DataFrame) -> tuple[DataFrame, str, str]:
+    """The table with all its columns, and the names of two more: what ``keyed`` calls ``doc`` and ``key``."""
+    doc, key = helper(documents, "doc"), helper(documents, "key")
+    return documents.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), key: document_key()}), doc, key
+
+
 def lowered(text: Column) -> Column:
     """A-Z in lower case, all other letters as they are."""
     return F.translate(text, UPPER, UPPER.lower())

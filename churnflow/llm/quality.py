@@ -10,7 +10,6 @@ the network hasn't seen, calibrates its probabilities.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnflow.llm.common import documents_of, held_out, stored
+from churnflow.llm.common import documents_of, held_out, helper, stored
+from churnflow.llm.wordids import by_bytes, stretches
 
 #: Hash rows of the table of word vectors, their length, signs in an index vector, and neighbours to each side.
 ROWS, DIM, SIGNS, REACH = 1 << 14, 24, 4, 2
@@ -28,20 +28,33 @@ ROWS, DIM, SIGNS, REACH = 1 << 14, 24, 4, 2
 SAMPLE = 20_000
 HIDDEN, STEPS, BATCH, RATE, DECAY = 32, 1500, 256, 3e-3, 1e-4
 THRESHOLD = 0.7
-#: Tokens that a task handles at once.
-AT_ONCE = 400_000
-#: Runs of letters and digits, or of other visible characters, case kept.
-_TOKEN = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[!-/:-@\[-`{-~]+")
-
-
-def tokens(text: str | None) -> list[bytes]:
-    return _TOKEN.findall((text or "").encode("utf-8", "surrogatepass"))
-
-
-def _rows_of(found: list[bytes]) -> np.ndarray:
-    if not found:
-        return np.zeros(0, np.int64)
-    return (pd.util.hash_array(np.array(found, dtype=object), categorize=False) % np.uint64(ROWS)).astype(np.int64)
+#: Tokens that a task handles at once, and tokens of one document that it takes at a time.
+AT_ONCE, PART = 200_000, 100_000
+#: Kinds of bytes: none of a token, letters and digits (case kept), other visible characters.
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = 2
+_KIND[[c for c in range(0x30, 0x7B) if chr(c).isalnum()]] = 1
+_KIND[0x80:] = 1
+
+
+def token_rows(text: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash rows of all tokens of all texts, and where each text's begin, with their number at the end. A token is a
+    run of letters and digits, or of other visible characters."""
+    offsets = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(len(text) + 1, np.int64)
+    kind = _KIND[data]
+    start = kind > 0
+    start[1:] &= kind[1:] != kind[:-1]
+    begins = offsets[:-1][offsets[:-1] < len(data)]
+    start[begins] = kind[begins] > 0
+    kept = data[kind > 0]
+    bounds = np.append(np.flatnonzero(start[kind > 0]), len(kept)).astype(np.int32)
+    found = pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(kept)]).dictionary_encode()
+    row = (pd.util.hash_array(np.array([*found.dictionary.to_pylist(), b""], dtype=object), categorize=False) % np.uint64(ROWS)).astype(np.int64)
+    return row[np.asarray(found.indices)], np.searchsorted(np.flatnonzero(start), offsets)
 
 
 def index_vectors() -> np.ndarray:
@@ -53,20 +66,65 @@ def index_vectors() -> np.ndarray:
     return out
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """Ids of some documents, the hash rows of their tokens, and where each document's tokens end. A long document makes
-    a batch of its own."""
-    ids, parts, n = [], [], 0
-    for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-            parts.append(_rows_of(tokens(text.as_py())))
-            ids.append(doc_id.as_py())
-            n += len(parts[-1])
-            if n >= AT_ONCE:
-                yield ids, np.concatenate(parts), np.cumsum([len(p) for p in parts])
-                ids, parts, n = [], [], 0
-    if ids:
-        yield ids, np.concatenate(parts), np.cumsum([len(p) for p in parts])
+@dataclass(frozen=True)
+class _Group:
+    """Parts of documents: their tokens' hash rows beside REACH tokens to each side that a neighbouring part owns."""
+
+    rows: np.ndarray
+    #: Where each part begins, with the end of the last; what it owns; whether it is its document's first and last.
+    begins: np.ndarray
+    own: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    ids: list
+
+    @classmethod
+    def of(cls, parts: list[tuple]) -> _Group:
+        begins = np.append(0, np.cumsum([len(rows) for _, rows, *_ in parts]))
+        own = np.zeros(begins[-1], bool)
+        for at, (_, _, low, high, _, _) in zip(begins.tolist(), parts):
+            own[at + low : at + high] = True
+        return cls(np.concatenate([p[1] for p in parts]), begins, own, np.array([p[4] for p in parts]), np.array([p[5] for p in parts]),
+                   [p[0] for p in parts])
+
+    def part_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.begins) - 1), np.diff(self.begins))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[_Group]:
+    """All documents in order; a long one in several parts, over several groups."""
+    held, n = [], 0
+    for batch in by_bytes(batches):
+        stretched = stretches(batch.column("text"))
+        if len(stretched) == 1:
+            rows, begins = token_rows(stretched[0])
+        else:
+            rows = np.concatenate([token_rows(s)[0] for s in stretched])
+            begins = np.array([0, len(rows)])
+        for doc_id, since, until in zip(batch.column("doc_id").to_pylist(), begins[:-1].tolist(), begins[1:].tolist()):
+            for at in range(since, max(until, since + 1), PART):
+                end = min(at + PART, until)
+                low, high = max(since, at - REACH), min(until, end + REACH)
+                held.append((doc_id, rows[low:high], at - low, end - low, at == since, end == until))
+                n += high - low
+                if n >= AT_ONCE:
+                    yield _Group.of(held)
+                    held, n = [], 0
+    if held:
+        yield _Group.of(held)
+
+
+def _sums(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The sum of each part's rows; zeros for an empty part."""
+    out = np.zeros((len(begins) - 1, values.shape[1]))
+    some = np.flatnonzero(np.diff(begins))
+    if len(some):
+        out[some] = np.add.reduceat(values, begins[some], axis=0, dtype=np.float64)
+    return out
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents_of(documents).withColumn("text", F.coalesce("text", F.lit("")))
 
 
 def word_vectors(documents: DataFrame) -> np.ndarray:
@@ -74,14 +132,15 @@ def word_vectors(documents: DataFrame) -> np.ndarray:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, total = index_vectors(), np.zeros((ROWS, DIM))
-        for _, rows, ends in _batches(batches):
-            document = np.searchsorted(ends, np.arange(len(rows)), side="right")
+        for group in _groups(batches):
+            rows, part = group.rows, group.part_of()
             around = np.zeros((len(rows), DIM), np.float32)
             of = index[rows]
             for step in range(1, REACH + 1):
-                same = (document[step:] == document[:-step])[:, None]
+                same = (part[step:] == part[:-step])[:, None]
                 around[step:] += of[:-step] * same
                 around[:-step] += of[step:] * same
+            rows, around = rows[group.own], around[group.own]
             order = np.argsort(rows, kind="stable")
             starts = np.flatnonzero(np.diff(rows[order], prepend=-1))
             if len(starts):
@@ -92,7 +151,7 @@ def word_vectors(documents: DataFrame) -> np.ndarray:
     names = [f"v{d}" for d in range(DIM)]
     schema = "row long, " + ", ".join(f"{n} long" for n in names)
     # ROWS rows at most, whatever the size of the corpus.
-    sums = documents_of(documents).mapInArrow(gather, schema).groupBy("row").agg(*(F.sum(n).alias(n) for n in names)).toPandas()
+    sums = _texts(documents).mapInArrow(gather, schema).groupBy("row").agg(*(F.sum(n).alias(n) for n in names)).toPandas()
     out = np.zeros((ROWS, DIM), np.float32)
     if len(sums):
         out[sums["row"].to_numpy()] = sums[names].to_numpy(np.float32)
@@ -109,24 +168,31 @@ def pooled(documents: DataFrame, vectors: np.ndarray) -> DataFrame:
     table = documents.sparkSession.sparkContext.broadcast(vectors)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, rows, ends in _batches(batches):
-            x = np.zeros((len(ids), WIDTH), np.float32)
-            starts = np.append(0, ends[:-1])
-            some = np.flatnonzero(ends > starts)
-            if len(some):
-                of, n = table.value[rows], (ends - starts)[some][:, None]
-                mean = np.add.reduceat(of, starts[some], axis=0, dtype=np.float64) / n
-                square = np.add.reduceat(of * of, starts[some], axis=0, dtype=np.float64) / n
-                moved = np.zeros_like(of)
-                np.subtract(of[1:], of[:-1], out=moved[1:])
-                moved[starts[some]] = 0
-                moves = np.add.reduceat(moved * moved, starts[some], axis=0, dtype=np.float64) / np.maximum(n - 1, 1)
-                x[some] = np.hstack([mean, np.sqrt(np.maximum(square - mean * mean, 0)), np.sqrt(moves)])
-            flat = pa.array(x.ravel())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), flat)], names=["doc_id", "x"])
-
-    return documents_of(documents).mapInArrow(pool, "doc_id long, x array<float>")
+        # What the parts so far of a document that goes on in the next group add up to.
+        carried = np.zeros(1 + 3 * DIM)
+        for group in _groups(batches):
+            of = table.value[group.rows]
+            own = group.own[:, None]
+            moved = np.zeros_like(of)
+            np.subtract(of[1:], of[:-1], out=moved[1:])
+            moved[group.begins[:-1][np.diff(group.begins) > 0]] = 0
+            sums = np.hstack([_sums(x, group.begins) for x in (own.astype(np.float32), of * own, of * of * own, moved * moved * own)])
+            document = np.cumsum(group.first) - group.first[0]
+            total = np.zeros((document[-1] + 1, sums.shape[1]))
+            np.add.at(total, document, sums)
+            if not group.first[0]:
+                total[0] += carried
+            done = len(total) if group.last[-1] else len(total) - 1
+            carried = total[-1]
+            n, total = total[:done, :1], total[:done, 1:]
+            mean, square, moves = total[:, :DIM] / np.maximum(n, 1), total[:, DIM : 2 * DIM] / np.maximum(n, 1), total[:, 2 * DIM :] / np.maximum(n - 1, 1)
+            x = np.hstack([mean, np.sqrt(np.maximum(square - mean * mean, 0)), np.sqrt(moves)]).astype(np.float32)
+            ids = [i for i, last in zip(group.ids, group.last) if last]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, WIDTH, dtype=np.int32)), pa.array(x.ravel()))],
+                names=["doc_id", "x"])
+
+    return _texts(documents).mapInArrow(pool, "doc_id long, x array<float>")
 
 
 @dataclass
@@ -218,5 +284,6 @@ def of_good_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPL
     Of rows that share an id, all stay if one is taken for label 1.
     """
     scores = quality_scores(documents, labels, sample, threshold)
-    good = scores.groupBy("doc_id").agg(F.max("predicted").alias("p")).where("p = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_bad"))
-    return documents.join(good, F.col("doc_id").cast("long") == F.col("_bad"), "left_anti")
+    bad = helper(documents, "bad")
+    rejected = scores.groupBy("doc_id").agg(F.max("predicted").alias("p")).where("p = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(bad))
+    return documents.join(rejected, F.col("doc_id").cast("long") == F.col(bad), "left_anti")

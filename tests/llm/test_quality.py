@@ -76,3 +76,37 @@ def test_word_vectors_add_up_over_tasks(docs_of):
     rows = [(i, "the cat sat on the mat " * (i % 3 + 1)) for i in range(12)]
     one, many = (q.word_vectors(docs_of(rows, n)) for n in (1, 5))
     assert np.array_equal(one, many)
+
+
+def brute_tokens(text):
+    import re
+
+    return re.findall(rb"[A-Za-z0-9\x80-\xff]+|[!-/:-@\[-`{-~]+", text.encode())
+
+
+def test_tokens_equal_a_pattern(messy):
+    import pandas as pd
+    import pyarrow as pa
+
+    texts = [t or "" for _, t in messy] + ["a.b", "", "x", "...", "é!é", "tail\x7f\x00head"]
+    rows, begins = q.token_rows(pa.array(texts))
+    for text, since, until in zip(texts, begins, begins[1:]):
+        want = pd.util.hash_array(np.array([*brute_tokens(text), b""], dtype=object), categorize=False)[:-1] % np.uint64(q.ROWS)
+        assert rows[since:until].tolist() == want.tolist()
+
+
+@pytest.mark.parametrize("part", [1, 3, 50])
+def test_long_texts_in_parts(docs_of, messy, monkeypatch, part):
+    """Vectors and pooled numbers are the same however documents are taken apart."""
+    from churnflow.llm import wordids
+
+    docs = docs_of([(i, t) for i, t in messy if t is None or len(t) < 3000] + [(77, "a b. c d! " * 40)], 2)
+    vectors = q.word_vectors(docs)
+    whole = sorted((repr(r.doc_id), r.x) for r in q.pooled(docs, vectors).collect())
+    monkeypatch.setattr(q, "PART", part)
+    monkeypatch.setattr(q, "AT_ONCE", 2 * part)
+    monkeypatch.setattr(wordids, "TEXT_BYTES", 100)
+    assert np.array_equal(q.word_vectors(docs), vectors)
+    parts = sorted((repr(r.doc_id), r.x) for r in q.pooled(docs, vectors).collect())
+    assert [i for i, _ in parts] == [i for i, _ in whole]
+    assert np.allclose([x for _, x in parts], [x for _, x in whole], atol=1e-5)
