@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnflow.llm.common import INSTEAD, MARK, document_key, keyed, stored
+from churnflow.llm.common import INSTEAD, MARK, column, helper, keyed, marked, stored
 
 SCOPE = 200
 
@@ -79,31 +79,31 @@ def _matches(documents: DataFrame, kinds: dict[str, str]) -> DataFrame:
 
 
 def parts_of(documents: DataFrame) -> DataFrame:
-    """(doc, key, kind, start, end, hit) of base findings and of all weak parts."""
-    return _matches(keyed(documents).where("text IS NOT NULL"), BASE | WEAK)
+    """(doc, key, kind, start, end) of base findings and of all weak parts."""
+    return _matches(keyed(documents).where("text IS NOT NULL"), BASE | WEAK).drop("hit")
 
 
-def linked(parts: DataFrame, scope: int = SCOPE, gaps: bool = False) -> DataFrame:
+def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Base findings, and the weak parts that have a complementary part within ``scope`` code points.
 
-    The distance of two parts is that of their starts or, with ``gaps``, what lies between one's end and the other's
-    start. A weak part that overlaps a base finding, the starts within the scope, is left to the base.
+    What counts is the gap, from the end of one to the start of the other, however long either is. A weak part that
+    overlaps a base finding is left to the base.
     """
     role = F.create_map(*(F.lit(x) for pair in ROLE.items() for x in pair))
     base = F.col("kind").isin(*BASE)
-    first, last = F.floor(F.col("start") / scope), F.floor(F.col("end" if gaps else "start") / scope)
+    # A part is in every bucket that it touches, and meets what is there or in the next bucket to either side.
+    first, last = F.floor(F.col("start") / scope), F.floor(F.col("end") / scope)
     near = parts.select(
         "doc", "key", F.col("start").alias("at"), F.col("end").alias("until"), role[F.col("kind")].alias("role"), base.alias("base"),
         F.explode(F.sequence(first - 1, last + 1)).alias("bucket"),
     )
     wanted = reduce(lambda a, k: a.when(F.col("kind") == k, F.array(*map(F.lit, COMPLEMENT[k]))), COMPLEMENT, F)
-    weak = parts.where(~base).withColumns({"bucket": F.explode(F.sequence(first, last)) if gaps else first, "wanted": wanted})
-    started = F.abs(F.col("start") - F.col("at")) <= scope
+    weak = parts.where(~base).withColumns({"bucket": F.explode(F.sequence(first, last)), "wanted": wanted})
     apart = F.greatest(F.col("start") - F.col("until"), F.col("at") - F.col("end")) <= scope
-    met = weak.join(near, ["doc", "key", "bucket"]).where(apart if gaps else started)
+    met = weak.join(near, ["doc", "key", "bucket"]).where(apart)
     judged = met.groupBy(*parts.columns).agg(
         F.max(F.array_contains("wanted", F.col("role"))).alias("complete"),
-        F.max(F.col("base") & (F.col("at") < F.col("end")) & (F.col("until") > F.col("start")) & started).alias("known"),
+        F.max(F.col("base") & (F.col("at") < F.col("end")) & (F.col("until") > F.col("start"))).alias("known"),
     )
     return parts.where(base).unionByName(judged.where("complete AND NOT known").drop("complete", "known"))
 
@@ -119,9 +119,9 @@ def secrets(documents: DataFrame, scope: int = SCOPE) -> DataFrame:
     return keyed(documents).drop("text").join(found, ["doc", "key"], "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
 
 
-def _spans(parts: DataFrame, scope: int, gaps: bool = False) -> DataFrame:
+def _spans(parts: DataFrame, scope: int) -> DataFrame:
     order = F.create_map(*(F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)))
-    return linked(stored(parts, "secret-parts"), scope, gaps).groupBy("doc", "key").agg(
+    return linked(stored(parts, "secret-parts"), scope).groupBy("doc", "key").agg(
         F.sort_array(F.collect_set(F.struct("start", order[F.col("kind")].alias("order"), "kind", "end"))).alias("spans"))
 
 
@@ -130,26 +130,51 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
 
 
+def _runs(found: DataFrame) -> DataFrame:
+    """(doc, key, runs): overlapping and touching findings as one, in order, as (start, end)."""
+    place = Window.partitionBy("doc", "key").orderBy("start", "end")
+    reached = F.max("end").over(place.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.when(F.col("start") < reached, 0).otherwise(1)
+    return (
+        found.select("doc", "key", "start", "end").withColumn("new", new)
+        .withColumn("run", F.sum("new").over(place)).groupBy("doc", "key", "run")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .groupBy("doc", "key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
+    )
+
+
+#: Code points that a text is cut into before stretches are taken out of it: a stretch is found by its number, not by
+#: reading the text from its start.
+_PIECE = 1000
+
+
+def _stretch(since: Column, until: Column) -> Column:
+    """The code points of the text in ``pieces`` from one place to another; null is the end."""
+    first, last = F.floor(since / _PIECE).cast("int"), F.floor(until / _PIECE).cast("int")
+    behind = (since % _PIECE + 1).cast("int")
+    piece = lambda i: F.coalesce(F.get("pieces", i), F.lit(""))
+    inner = F.when(last - first > 1, F.array_join(F.slice("pieces", first + 2, last - first - 1), "")).otherwise("")
+    return F.when(first == last, F.substring(piece(first), behind, (until - since).cast("int"))).otherwise(
+        F.concat(F.substring(piece(first), behind, F.lit(_PIECE)), inner, F.substring(piece(last), F.lit(1), (until % _PIECE).cast("int"))))
+
+
 def without_secrets(documents: DataFrame, scope: int = SCOPE, instead: str = "[SECRET]") -> DataFrame:
     """The documents, with all their columns, where every run of found secrets is replaced; ``n_chars`` follows the text.
 
-    A weak part counts here if the gap to a complementary part is within the scope, however long either is. A document
-    without findings is unchanged.
+    A document without findings is unchanged. The work on one text grows with its length and its findings, not with
+    their product.
     """
-    # A long part is in many buckets, so the text of its match stays behind.
-    found = stored(_spans(parts_of(documents).drop("hit"), scope, gaps=True), "secrets").select(
-        F.col("doc").alias("_doc"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
-    text, spans = F.col("text").cast("string"), F.col("_spans")
-    # Overlapping spans are one; what stands before each, and the rest behind the last, is kept.
-    rest = F.aggregate(
-        spans, F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).cast("long").alias("at")),
-        lambda a, s: F.struct(
-            F.when(s.start < a.at, a.kept).otherwise(F.array_append(a.kept, F.substring(text, (a.at + 1).cast("int"), (s.start - a.at).cast("int")))).alias("kept"),
-            F.greatest(a.at, s.end).alias("at")),
-        lambda a: F.array_join(F.array_append(a.kept, F.substring(text, (a.at + 1).cast("int"), F.lit(2147483647))), instead),
-    )
-    marked = documents.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "_key": document_key()})
-    cleaned = marked.join(found, ["_doc", "_key"], "left").withColumn("text", F.when(spans.isNull(), text).otherwise(rest))
+    runs = stored(_runs(linked(stored(parts_of(documents), "secret-parts"), scope)), "secret-runs")
+    texts = keyed(documents).join(runs, ["doc", "key"]).select(
+        "doc", "key", "runs", F.length("text").cast("long").alias("size"), F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % _PIECE), F.lit(0)).alias("pieces"))
+    # What stands before each run, and behind the last.
+    gaps = F.transform(F.sequence(F.lit(0), F.size("runs")), lambda i: _stretch(
+        F.coalesce(F.get("runs", i - 1).end, F.lit(0)), F.coalesce(F.get("runs", i).start, F.col("size"))))
+    replaced = texts.select("doc", "key", F.array_join(gaps, instead).alias("replaced")).groupBy("doc", "key").agg(F.max("replaced").alias("replaced"))
+    rows, doc, key = marked(documents)
+    new = helper(rows, "replaced")
+    cleaned = rows.join(stored(replaced, "replaced").withColumnsRenamed({"doc": doc, "key": key, "replaced": new}), [doc, key], "left")
+    changed = {"text": F.coalesce(F.col(new), F.col("text").cast("string"))}
     if "n_chars" in documents.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(spans.isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(documents.schema["n_chars"].dataType))
-    return cleaned.select(*documents.columns)
+        changed["n_chars"] = F.when(F.col(new).isNull(), F.col("n_chars")).otherwise(F.length(new)).cast(documents.schema["n_chars"].dataType)
+    return cleaned.withColumns(changed).select(*map(column, documents.columns))

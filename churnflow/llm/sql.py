@@ -71,17 +71,27 @@ SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0
 FROM n LEFT JOIN cut USING (doc_id)"""
 
 
+# The patterns, in the order of their kinds; the base ones are those of the contract, letters in either case.
+_OP8_PATTERNS = {
+    "assign": r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+              r"""[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": "AKIA[A-Z0-9]{16,}",
+    "hex": "[0-9a-f]{24,}",
+    **secret_scan.WEAK,
+}
+
+
 def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
 def _op8() -> str:
-    # The patterns and the order of kinds; a match's neighbours are marked with a private character.
+    # A match's neighbours are marked with a private character.
     mark = "chr(57344)"
     found = "\nUNION ALL ".join(
         f"SELECT doc_id, '{kind}' AS kind, {i} AS o, string_split(regexp_replace(coalesce(text, ''), {_quoted('(' + p + ')')}, "
         f"{mark} || '\\1' || {mark}, 'g'), {mark}) AS pieces FROM documents"
-        for i, (kind, p) in enumerate((secret_scan.BASE | secret_scan.WEAK).items()))
+        for i, (kind, p) in enumerate(_OP8_PATTERNS.items()))
     return f"""
 WITH f AS ({found}),
 u AS (SELECT doc_id, kind, o, unnest(pieces) AS hit, unnest(range(len(pieces))) AS i FROM f WHERE len(pieces) > 1),
@@ -94,7 +104,7 @@ p AS (
     AND (kind <> 'key' OR (regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[0-9]')))),
 weak AS (
   SELECT w.doc_id, w.kind, w.o, w.s, w.e
-  FROM p w JOIN p n ON w.doc_id = n.doc_id AND abs(w.s - n.s) <= 200 WHERE NOT w.base
+  FROM p w JOIN p n ON w.doc_id = n.doc_id AND greatest(w.s - n.e, n.s - w.e) <= 200 WHERE NOT w.base
   GROUP BY ALL
   HAVING bool_or(CASE WHEN w.kind = 'key' THEN n.role IN ('name', 'place') ELSE n.role = 'secret' END)
      AND NOT bool_or(n.base AND n.s < w.e AND n.e > w.s)),

@@ -50,10 +50,11 @@ def test_weak_parts_count_only_together(docs_of):
 
 
 def test_scope_is_exact(docs_of):
-    def text(gap):
-        return ACCESS + " " * (gap - len(ACCESS)) + KEY
-
-    assert weak(docs_of, text(200), text(201)) == [["key"], []]
+    """The gap counts, on either side, however long the parts are."""
+    long = "Ab1+" * 86
+    texts = [a + " " * gap + b for a, b in ((ACCESS, KEY), (KEY, ACCESS), (long, "user: alice"), ("user: alice", long)) for gap in (200, 201)]
+    assert weak(docs_of, *texts) == [["key"], [], ["key"], [], ["key", "id"], [], ["id", "key"], []]
+    assert weak(docs_of, f'{{"private_key": "{long}", "client_id": "svc-4711"}}') == [["key", "id"]]
 
 
 def test_spans_join_by_start_then_kind(docs_of):
@@ -98,5 +99,34 @@ def test_found_spans_are_not_broadcast_by_hint(docs_of, spark):
     assert "Join" in plan and "Broadcast" not in plan
 
 
+def test_many_secrets_in_one_text(docs_of):
+    """Time grows with the text, not with the square of it."""
+    import time
+
+    text = "".join(f"line {i} token=abc{i:09d} é\n" for i in range(40_000))
+    want = "".join(f"line {i} [SECRET] é\n" for i in range(40_000))
+    started = time.time()
+    got = s.without_secrets(docs_of([(1, text), (2, "x" * 2500 + " password=abcdefgh " + "y" * 999), (3, "token=abcdefgh")])).collect()
+    assert {r.doc_id: r.text for r in got} == {1: want, 2: "x" * 2500 + " [SECRET] " + "y" * 999, 3: "[SECRET]"}
+    assert time.time() - started < 60
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1000])
+def test_pieces_of_any_size(docs_of, monkeypatch, piece):
+    monkeypatch.setattr(s, "_PIECE", piece)
+    texts = {"a token=" + "ab12" * 8 + " b 👍 " + ACCESS: "a [SECRET] b 👍 [SECRET]", "": "", "token=abcdef" * 3: "[SECRET]", "\n\ntoken=abcdef\n": "\n\n[SECRET]\n"}
+    got = {r.doc_id: r.text for r in s.without_secrets(docs_of(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["doc", "key", "runs", "replaced", "size", "pieces", "_spans", "_doc", "a.b"]
+    rows = [(1, "x token=abcdefgh", *"abcdefghi"), (None, None, *"abcdefghi")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = s.without_secrets(frame)
+    assert out.columns == frame.columns
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [(1, "x [SECRET]", *"abcdefghi"), rows[1]]))
+
+
 def test_empty_table(docs_of):
     assert s.secrets(docs_of([])).count() == 0 and s.without_secrets(docs_of([])).count() == 0
