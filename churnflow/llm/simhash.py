@@ -15,9 +15,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from churnflow.llm.common import documents_of, stored
+from churnflow.llm.common import column, documents_of, keyed, marked, stored
 from churnflow.llm.graph import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -46,13 +45,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id`` and ``fp`` (the 64 bits as a signed long) of every row; a null text has no words."""
+    return _marks(documents_of(documents), shingle)
+
+
+def _marks(rows: DataFrame, shingle: int) -> DataFrame:
+    """``fp`` beside all columns but ``text``."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(fp)], names=[*kept, "fp"])
 
-    return documents_of(documents).mapInArrow(of, "doc_id long, fp long")
+    kept = [c for c in rows.columns if c != "text"]
+    return rows.mapInArrow(of, ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept) + ", fp long")
 
 
 def ball(bits: int, radius: int) -> list[int]:
@@ -84,6 +89,12 @@ def linked(different: DataFrame, radius: int = RADIUS) -> DataFrame:
     return met.distinct().where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
+def _roots(different: DataFrame, radius: int) -> DataFrame:
+    """(fp, root) of different fingerprints; one without a link is its own root."""
+    roots = components(linked(different.select("fp"), radius))
+    return different.join(roots, different.fp == roots.node, "left").select(*different.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Per row: ``doc_id``, ``fp`` and ``component_id``, the smallest id reachable over links of at most ``radius`` bits.
 
@@ -91,25 +102,28 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
     kept. A null id is no smallest id, unless a component has no other.
     """
     marks = stored(fingerprints(documents, shingle), "fingerprints")
-    different = marks.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(linked(different.select("fp"), radius))
-    # A fingerprint without a link is its own root.
-    rooted = different.join(roots, different.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _roots(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), radius)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of = stored(rooted.join(least, "root").select("fp", "component_id"), "components")
     return marks.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns.
+    """One document of each component, with all its columns: the one with the smallest id.
 
-    Of rows that repeat that id, the one with the smallest text stays. Rows without an id stay.
+    Of different texts under that id, which are documents of their own, the one with the least hash stays, and of rows that
+    repeat id and text, one. A text under an id that another component keeps isn't lost by that. Rows without an id stay.
     """
-    kept = near_duplicates(documents, shingle, radius).select(F.col("component_id").alias("_kept")).distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    with_id = (
-        documents.where("doc_id IS NOT NULL").join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
-        .withColumn("_nth", first).where("_nth = 1").drop("_nth")
-    )
-    return with_id.unionByName(documents.where("doc_id IS NULL"))
+    marks = stored(_marks(keyed(documents).where("doc_id IS NOT NULL"), shingle), "fingerprints")
+    first = F.min(F.struct("doc", "key"))
+    rooted = _roots(marks.groupBy("fp").agg(first.alias("first")), radius)
+    chosen = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc", "first.key")
+    # Rows that repeat are rare; only they are looked at side by side.
+    counted = stored(marks.groupBy("doc", "key").agg(F.count("*").alias("n")).join(chosen, ["doc", "key"], "left_semi"), "chosen")
+    rows, doc, key = marked(documents.where("doc_id IS NOT NULL"))
+    once, more = (counted.where(c).select(F.col("doc").alias(doc), F.col("key").alias(key)) for c in ("n = 1", "n > 1"))
+    own = [column(c) for c in documents.columns]
+    kept = rows.join(once, [doc, key], "left_semi").select(*own)
+    if not more.isEmpty():
+        kept = kept.unionByName(rows.join(more, [doc, key], "left_semi").dropDuplicates([doc, key]).select(*own))
+    return kept.unionByName(documents.where("doc_id IS NULL"))

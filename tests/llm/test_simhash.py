@@ -109,6 +109,20 @@ def test_one_of_each(docs_of, messy):
     assert sorted(r.doc_id if r.doc_id is not None else -99 for r in kept.collect()) == want
 
 
+def test_texts_that_share_an_id(docs_of):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    kept = s.one_of_each(docs_of([(5, a), (5, b), (9, b), (9, b), (5, a)])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(5, a), (5, b)]
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["doc", "key", "fp", "_nth", "_kept", "n", "first", "root", "a.b"]
+    rows = [(1, "some text here", *"abcdefghi"), (2, "some text here", *"abcdefghi"), (None, None, *"abcdefghi")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    kept = s.one_of_each(frame)
+    assert kept.columns == frame.columns and sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, [rows[0], rows[2]]))
+
+
 def test_empty_table(docs_of):
     assert s.near_duplicates(docs_of([])).count() == 0
     assert s.one_of_each(docs_of([])).count() == 0
