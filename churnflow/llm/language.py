@@ -8,16 +8,16 @@ passes through it. It is trained in numpy by backpropagation through time, on a
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnflow.llm.common import documents_of, held_out
+from churnflow.llm.common import documents_of, held_out, stored
 
 #: Bytes of a segment, units in each direction, segments that run side by side.
 SEGMENT, UNITS, SIDE_BY_SIDE = 64, 8, 4096
@@ -25,7 +25,9 @@ SEGMENT, UNITS, SIDE_BY_SIDE = 64, 8, 4096
 SAMPLE, STRETCH = 400, 256
 STEPS, BATCH, RATE = 220, 192, 0.02
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+#: Languages that are learned at most, the most frequent ones.
+LANGUAGES = 256
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -171,15 +173,17 @@ def document_probabilities(net: Network, raws: list[bytes]) -> np.ndarray:
 
 
 def sample_of(documents: DataFrame, size: int = SAMPLE) -> tuple[list[str], list[str]]:
-    """About ``size`` stretches of text of each language, from documents that aren't held out, have a language and a letter."""
+    """About ``size`` stretches of text of each language, from documents that aren't held out, have a language and a letter.
+
+    At most LANGUAGES languages are learned, so what comes to the driver is bounded.
+    """
     usable = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
     ).where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # One row per language, counted over all documents.
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return [], []
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, size / n))))[F.col("lang")]
+    # Counted over all documents.
+    counts = stored(usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES), "languages")
+    usable = usable.join(F.broadcast(counts), "lang")
+    share = F.least(F.lit(1.0), F.lit(size) / F.col("n"))
     h = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     at = F.pmod(F.xxhash64("text", "doc_id"), F.greatest(F.length("text") - STRETCH, F.lit(1))).cast("int")
     rows = usable.where(h < share * (1 << 30)).select("lang", F.substring("text", at + 1, F.lit(STRETCH)).alias("text")).orderBy("lang", "text").collect()

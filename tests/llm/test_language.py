@@ -40,6 +40,19 @@ def test_odd_rows(docs_of, messy):
         assert 0 <= r.score <= 1 and (r.score == 0 or r.lang_pred in ("en", "de"))
 
 
+@pytest.mark.parametrize("text", ["½", "²", "①", "Ⅷ", "1 2_3", "٣٤", ""])
+def test_numbers_are_no_letters(docs_of, text):
+    rows = [(i, "der die das und ist " * 5, "de") for i in range(5)] + [(i, "the and of to in " * 5, "en") for i in range(5, 9)] + [(99, text, "en")]
+    assert [(r.lang_pred, r.score) for r in lang.languages(docs_of(rows)).collect() if r.doc_id == 99] == [("und", 0.0)]
+
+
+def test_languages_are_bounded(docs_of, monkeypatch):
+    monkeypatch.setattr(lang, "LANGUAGES", 2)
+    rows = [(i, f"text in language {i % 7}", f"l{i % 7}" if i % 7 else "most") for i in range(100)] + [(200 + i, "more text", "most") for i in range(9)]
+    found = {r.lang_pred for r in lang.languages(docs_of(rows)).collect()}
+    assert len(found) <= 2 and len(set(lang.sample_of(docs_of(rows))[1])) == 2 and "most" in lang.sample_of(docs_of(rows))[1]
+
+
 def test_nothing_to_learn(docs_of):
     assert {(r.lang_pred, r.score) for r in lang.languages(docs_of([(1, "text", None), (2, None, "en")])).collect()} == {("und", 0.0)}
     assert lang.languages(docs_of([])).count() == 0
