@@ -26,7 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnflow.llm.common import documents_of, stored
+from churnflow.functions.running import running_totals
+from churnflow.llm.common import documents_of, keyed, stored
 from churnflow.llm.packing import Rolling, bucket_of, group_of, in_groups, mixed, narrow, pack56, runs, unpack56, wide
 
 LENGTH, GRAM, DENSE = 100, 32, 500
@@ -341,9 +342,22 @@ def without_repeated_strings(documents: DataFrame, length: int = LENGTH, gram: i
 
     A byte goes if a string of ``length`` bytes that covers it also starts earlier: in a document with a smaller id, or
     before in the same one. A null text is empty. Rows without an id are left whole and are nobody's earlier copy.
-    An id stands for one document: rows that repeat it are taken for its copies, and lose the same stretches. ``length`` is
-    at most 255.
+    Rows that repeat id and text are one document, and lose the same stretches. Different texts under one id are documents
+    of their own, in the order of their hashes. ``length`` is at most 255.
     """
+    rows = keyed(documents)
+    texts_of_id = rows.where("doc_id IS NOT NULL").groupBy("doc").agg(F.min("key").alias("least"), F.max("key").alias("most"))
+    if texts_of_id.where("least <> most").isEmpty():
+        return _without_repeated(documents, length, gram, dense)
+    # Numbers in the order of ids and hashes take the place of the ids.
+    different = rows.where("doc_id IS NOT NULL").select(F.lit(0).alias("all"), F.struct("doc", "key").alias("at"), F.lit(1).alias("one")).distinct()
+    numbers = stored(running_totals(different, "all", "at", ["one"]).select("at.doc", "at.key", F.col("before_one").alias("number")), "numbers")
+    numbered = rows.join(numbers, ["doc", "key"], "left").select(F.col("number").alias("doc_id"), "text")
+    done = _without_repeated(numbered, length, gram, dense).withColumnRenamed("doc_id", "number")
+    return done.join(numbers, "number", "left").select(F.col("doc").alias("doc_id"), "n_bytes", "removed", "kept")
+
+
+def _without_repeated(documents: DataFrame, length: int, gram: int, dense: int) -> DataFrame:
     size = documents_of(documents).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_groups = max(64, size // GROUP_BYTES)
     step = _Repeats(length, gram, dense, max(10, (size // BUCKET_BYTES).bit_length()), n_groups)

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from churnflow.llm import suffixes as s
+from churnflow.llm.common import keyed
 
 
 def brute(rows, length):
@@ -37,6 +38,22 @@ def test_equals_brute_force(docs_of, messy, length, gram, dense, seed):
     assert got(s.without_repeated_strings(docs_of(rows), length, gram, dense)) == brute(rows, length)
 
 
+def test_texts_that_share_an_id(docs_of, messy):
+    """Each text is a document of its own; none loses what occurs once."""
+    rng = random.Random(8)
+    x, y, z = ("".join(rng.choice("abcdefgh ") for _ in range(240)) for _ in range(3))
+    rows = [(1, x), (2, x), (2, y), (3, z + y), (3, z), (3, z), (None, x), (-4, y[:150])]
+    docs = docs_of(rows)
+    order = {(r.doc_id, r.text): (r.doc_id, r.key) for r in keyed(docs.where("doc_id IS NOT NULL")).collect()}
+    numbers = {place: i for i, place in enumerate(sorted(set(order.values())))}
+    want = brute([(numbers[order[r]] if r in order else None, r[1]) for r in rows], 100)
+    back = {n: i for (i, _), n in numbers.items()} | {None: None}
+    want = sorted(repr((back[r[0]], *r[1:])) for r in map(eval, want))
+    assert got(s.without_repeated_strings(docs)) == want
+    removed = sorted((r.doc_id, sum(e.end - e.start for e in r.removed)) for r in s.without_repeated_strings(docs_of([(1, x), (2, x), (2, y)])).collect())
+    assert removed == [(1, 0), (2, 0), (2, 240)]
+
+
 def test_small_tasks_settle_alike(docs_of, messy, monkeypatch):
     monkeypatch.setattr(s, "CHUNK", 3)
     assert got(s.without_repeated_strings(docs_of(messy))) == brute(messy, 100)
