@@ -14,9 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnflow.llm.common import document_key, keyed, lowered, small, split_words, stored
+from churnflow.llm.common import column, keyed, lowered, marked, small, split_words, stored
 
-WINDOW = 10
+#: Words of a phrase, and words that may stand between those of a close match.
+WINDOW, SLACK = 10, 5
 #: What lies between words: ASCII but for digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -102,9 +103,24 @@ def _candidates(index: PhraseIndex) -> DataFrame:
     return met.join(small(starts), "pair").select("doc", "key", "phrase_id", "size", (F.col("at") - F.col("o1")).alias("start")).where("start >= 0")
 
 
+def _near_candidates(index: PhraseIndex, slack: int) -> DataFrame:
+    """(doc, key, phrase_id, size, start): where a phrase's two rarest terms stand within its length and ``slack`` words, from the
+    first of them; ``size`` is that span. Postings meet by buckets of a span's length."""
+    near = small(index.rarest.join(index.phrases, "phrase_id").select("phrase_id", "t1", "t2", (F.col("size") + slack).alias("span")))
+    first = index.postings.join(near, F.col("term_id") == F.col("t1")).select(
+        "phrase_id", "span", "t2", "doc", "key", "pos", (F.col("pos") / F.col("span")).cast("int").alias("bucket"))
+    second = index.postings.join(near, F.col("term_id") == F.col("t2")).select(
+        "phrase_id", "doc", "key", F.col("pos").alias("other"),
+        F.explode(F.sequence((F.col("pos") / F.col("span")).cast("int") - 1, (F.col("pos") / F.col("span")).cast("int") + 1)).alias("bucket"))
+    met = first.where("t2 IS NOT NULL").join(second, ["phrase_id", "doc", "key", "bucket"]).where("abs(pos - other) < span")
+    met = met.select("doc", "key", "phrase_id", "span", "pos").unionByName(
+        first.where("t2 IS NULL").select("doc", "key", "phrase_id", "span", "pos"))
+    return met.select("doc", "key", "phrase_id", F.col("span").alias("size"), F.col("pos").alias("start"))
+
+
 def _with_words(documents: DataFrame, candidates: DataFrame) -> DataFrame:
     """One row per candidate, and one for a document without any, beside the words of its document."""
-    per_document = candidates.groupBy("doc", "key").agg(F.collect_set(F.struct("phrase_id", "size", "start")).alias("found"))
+    per_document = candidates.groupBy("doc", "key").agg(F.collect_set(F.struct("near", "phrase_id", "size", "start")).alias("found"))
     return (
         keyed(documents).join(per_document, ["doc", "key"], "left")
         .select("doc_id", "doc", "key", "found", item_words(F.col("text")).alias("w"))
@@ -112,73 +128,75 @@ def _with_words(documents: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, index: PhraseIndex | None = None) -> DataFrame:
+def contamination(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, index: PhraseIndex | None = None, slack: int | None = None
+) -> DataFrame:
     """Per document: ``doc_id``, ``n_words``, ``hits`` (sorted spans of words that are exact phrases; they may
-    overlap), ``n_hit`` (words inside any), ``items`` (sorted ids of the items with such phrases).
+    overlap), ``n_hit`` (words inside any), ``items`` (sorted ids of the items with such phrases) and, with ``slack``, ``near_items``
+    (sorted ids of the items with a phrase whose different terms all stand, in any order, within its length plus so many words).
 
     A null or empty text has no words. An item shorter than the window is one phrase, an item without words or id
     none. Rows that repeat both ``doc_id`` and text count once; a null ``doc_id`` is kept. Without documents the result
     is empty, without items nothing is hit.
     """
-    return _judged(documents, index or build_index(documents, benchmark, window)).drop("doc", "key")
+    return _judged(documents, index or build_index(documents, benchmark, window), slack).drop("doc", "key")
 
 
-def _judged(documents: DataFrame, index: PhraseIndex) -> DataFrame:
-    read = _with_words(documents, _candidates(index)).select(
-        "doc_id", "doc", "key", "n_words", F.col("c.phrase_id").alias("phrase_id"), F.col("c.start").alias("start"),
-        F.slice("w", F.coalesce(F.col("c.start") + 1, F.lit(1)), F.coalesce(F.col("c.size"), F.lit(0))).alias("gram"),
-    )
-    phrases = small(index.phrases.select("phrase_id", F.col("terms").alias("gram"), "size"))
-    checked = read.join(phrases, ["phrase_id", "gram"], "left")
-    spans = checked.groupBy("doc_id", "doc", "key").agg(
-        F.max("n_words").cast("long").alias("n_words"),
-        F.sort_array(F.collect_set(F.when(F.col("size").isNotNull(), F.struct("start", (F.col("start") + F.col("size")).alias("end"))))).alias("hits"),
-        F.collect_set(F.when(F.col("size").isNotNull(), F.col("phrase_id"))).alias("phrases"),
+def _items_of(found: DataFrame, phrases: str, index: PhraseIndex, name: str) -> DataFrame:
+    """(doc, key, name): the sorted ids of the items that the phrases are in."""
+    return (
+        found.select("doc", "key", F.explode(phrases).alias("phrase_id")).join(small(index.items), "phrase_id")
+        .groupBy("doc", "key").agg(F.sort_array(F.collect_set("item_id")).alias(name))
     )
-    spans = stored(spans, "phrase-hits")
-    items = (
-        spans.select("doc", "key", F.explode("phrases").alias("phrase_id")).join(small(index.items), "phrase_id")
-        .groupBy("doc", "key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+
+
+def _judged(documents: DataFrame, index: PhraseIndex, slack: int | None = None) -> DataFrame:
+    candidates = _candidates(index).withColumn("near", F.lit(False))
+    if slack is not None:
+        candidates = candidates.unionByName(_near_candidates(index, slack).withColumn("near", F.lit(True)))
+    # The words of a phrase, or those around a place where it may be, in any order.
+    start, size = F.col("c.start"), F.col("c.size")
+    words = F.when(F.col("c.near"), F.slice("w", F.greatest(start - size + 2, F.lit(1)), 2 * size - 1)).otherwise(
+        F.slice("w", F.coalesce(start + 1, F.lit(1)), F.coalesce(size, F.lit(0))))
+    read = _with_words(documents, candidates).select(
+        "doc_id", "doc", "key", "n_words", F.col("c.near").alias("near"), F.col("c.phrase_id").alias("phrase_id"), start.alias("start"), size.alias("size"),
+        words.alias("words"))
+    phrases = small(index.phrases.select("phrase_id", "terms"))
+    inside = F.exists(
+        F.sequence(F.lit(1), F.greatest(F.size("words") - F.col("size") + 1, F.lit(1))),
+        lambda at: F.size(F.array_except("terms", F.slice("words", at, F.col("size")))) == 0,
     )
+    checked = read.join(phrases, "phrase_id", "left")
+    exact, close = ~F.col("near") & (F.col("words") == F.col("terms")), F.col("near") & inside
+    found = [
+        F.sort_array(F.collect_set(F.when(exact, F.struct("start", (F.col("start") + F.col("size")).alias("end"))))).alias("hits"),
+        F.collect_set(F.when(exact, F.col("phrase_id"))).alias("phrases"),
+    ]
+    if slack is not None:
+        found.append(F.collect_set(F.when(close, F.col("phrase_id"))).alias("near_phrases"))
+    spans = stored(checked.groupBy("doc_id", "doc", "key").agg(F.max("n_words").cast("long").alias("n_words"), *found), "phrase-hits")
     covered = F.aggregate(
         "hits", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
         lambda a, s: F.struct(
             (a.n + F.greatest(s.end - F.greatest(s.start, a.end), F.lit(0))).alias("n"), F.greatest(s.end, a.end).alias("end")),
     ).n
-    return spans.join(items, ["doc", "key"], "left").select(
-        "doc_id", "doc", "key", "n_words", "hits", covered.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    none = F.array().cast("array<string>")
+    judged = spans.join(_items_of(spans, "phrases", index, "items"), ["doc", "key"], "left")
+    columns = ["doc_id", "doc", "key", "n_words", "hits", covered.alias("n_hit"), F.coalesce("items", none).alias("items")]
+    if slack is not None:
+        judged = judged.join(_items_of(spans, "near_phrases", index, "near_items"), ["doc", "key"], "left")
+        columns.append(F.coalesce("near_items", none).alias("near_items"))
+    return judged.select(*columns)
 
 
-def proximity_matches(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int = 5, index: PhraseIndex | None = None) -> DataFrame:
+def proximity_matches(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int = SLACK, index: PhraseIndex | None = None) -> DataFrame:
     """(doc_id, item_id) where all different terms of a phrase stand, in any order, within its length plus ``slack`` words.
 
-    The two rarest terms' postings meet first, by buckets of that length; the words around them decide. Nulls, repeated
-    rows and empty tables as for ``contamination``.
+    The two rarest terms' postings meet first; the words around them decide. Nulls, repeated rows and empty tables as for
+    ``contamination``.
     """
-    index = index or build_index(documents, benchmark, window)
-    near = small(index.rarest.join(index.phrases, "phrase_id").select("phrase_id", "t1", "t2", (F.col("size") + slack).alias("span")))
-    first = index.postings.join(near, F.col("term_id") == F.col("t1")).select(
-        "phrase_id", "span", "t2", "doc", "key", "pos", (F.col("pos") / F.col("span")).cast("int").alias("bucket"))
-    second = index.postings.join(near, F.col("term_id") == F.col("t2")).select(
-        "phrase_id", "doc", "key", F.col("pos").alias("other"),
-        F.explode(F.sequence((F.col("pos") / F.col("span")).cast("int") - 1, (F.col("pos") / F.col("span")).cast("int") + 1)).alias("bucket"))
-    met = first.where("t2 IS NOT NULL").join(second, ["phrase_id", "doc", "key", "bucket"]).where("abs(pos - other) < span")
-    met = met.select("doc", "key", "phrase_id", "span", "pos").unionByName(
-        first.where("t2 IS NULL").select("doc", "key", "phrase_id", "span", "pos"))
-    around = (
-        _with_words(documents, met.select("doc", "key", "phrase_id", F.col("span").alias("size"), F.col("pos").alias("start")))
-        .where("c IS NOT NULL")
-        .select("doc_id", F.col("c.phrase_id").alias("phrase_id"), F.col("c.size").alias("span"),
-                F.slice("w", F.greatest(F.col("c.start") - F.col("c.size") + 2, F.lit(1)), 2 * F.col("c.size") - 1).alias("around"))
-    )
-    inside = F.exists(
-        F.sequence(F.lit(1), F.greatest(F.size("around") - F.col("span") + 1, F.lit(1))),
-        lambda at: F.size(F.array_except("terms", F.slice("around", at, F.col("span")))) == 0,
-    )
-    return (
-        around.join(small(index.phrases.select("phrase_id", "terms")), "phrase_id").where(inside)
-        .join(small(index.items), "phrase_id").select("doc_id", "item_id").distinct()
-    )
+    found = contamination(documents, benchmark, window, index, slack)
+    return found.select("doc_id", F.explode("near_items").alias("item_id")).distinct()
 
 
 def item_digest(items: Column) -> Column:
@@ -188,5 +206,6 @@ def item_digest(items: Column) -> Column:
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents, with all their columns, that hold no phrase of an item."""
     dirty = stored(_judged(documents, build_index(documents, benchmark, window)).where("n_hit > 0").select("doc", "key"), "dirty")
-    marked = documents.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "_key": document_key()})
-    return marked.join(dirty, (F.col("_doc") == dirty.doc) & (F.col("_key") == dirty.key), "left_anti").drop("_doc", "_key")
+    rows, doc, key = marked(documents)
+    dirty = dirty.withColumnsRenamed({"doc": doc, "key": key})
+    return rows.join(dirty, [doc, key], "left_anti").select(*map(column, documents.columns))

@@ -29,10 +29,12 @@ def tokenizer_path() -> str:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = decontamination.contamination(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), slack=decontamination.SLACK)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        decontamination.item_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+        decontamination.item_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near"), decontamination.item_digest(F.col("near_items")).alias("near_sha256"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

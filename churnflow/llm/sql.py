@@ -21,10 +21,23 @@ h AS (SELECT doc_id, item_id, s, n FROM g JOIN p USING (gram, n)),
 words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS k FROM h) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
-  FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id),
+q AS (SELECT gram, n, list_distinct(string_split(gram, ' ')) AS terms FROM (SELECT DISTINCT n, gram FROM p)),
+u AS (SELECT gram, n, len(terms) AS many, unnest(terms) AS term FROM q),
+c AS (
+  SELECT doc_id, gram, n FROM (SELECT DISTINCT doc_id, unnest(w) AS term FROM d) JOIN u USING (term)
+  GROUP BY doc_id, gram, n, many HAVING count(*) = many),
+x AS (
+  SELECT doc_id, w, gram, n, terms, unnest(range(1, greatest(len(w) - (n + 5) + 1, 1) + 1)) AS s
+  FROM c JOIN d USING (doc_id) JOIN q USING (gram, n)),
+near AS (SELECT DISTINCT doc_id, item_id FROM x JOIN p USING (gram, n) WHERE list_has_all(list_slice(w, s, s + n + 4), terms)),
+close AS (
+  SELECT doc_id, count(*) AS n_near, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS near_ids
+  FROM near GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0) AS n_near, sha256(coalesce(near_ids, '')) AS near_sha256
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN close USING (doc_id)"""
 
 _OP2 = f"""
 WITH d AS (SELECT doc_id, {_SPACED_WORDS} AS w FROM documents),

@@ -55,6 +55,31 @@ def test_equals_brute_force(spark, docs_of, case, monkeypatch, broadcast):
         monkeypatch.setattr(d, "small", lambda df: df)
     benchmark = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, key string")
     assert got(d.contamination(docs_of(rows), benchmark)) == brute(rows, items)
+    both = d.contamination(docs_of(rows), benchmark, slack=5)
+    assert got(both) == brute(rows, items)
+    assert {(r.doc_id, r.n_words, tuple(r.near_items)) for r in both.collect()} == near(rows, items, 5)
+
+
+def near(rows, items, slack, window=10):
+    phrases = {}
+    for item, text in items:
+        w = words(text)
+        n = min(window, len(w))
+        for i in range(len(w) - n + 1) if item is not None and w else ():
+            phrases.setdefault((frozenset(w[i : i + n]), n + slack), set()).add(str(item))
+    out = set()
+    for doc_id, text in set(rows):
+        w = words(text)
+        places = {t: [i for i, x in enumerate(w) if x == t] for t in set(w)}
+        ids = set()
+        for (terms, span), of in phrases.items():
+            if terms <= places.keys():
+                rarest = min(terms, key=lambda t: len(places[t]))
+                # Any window with all terms holds the rarest one.
+                if any(terms <= set(w[s : s + span]) for at in places[rarest] for s in range(max(0, at - span + 1), at + 1)):
+                    ids |= of
+        out.add((doc_id, len(w), tuple(sorted(ids))))
+    return out
 
 
 def test_empty_tables(spark, docs_of):

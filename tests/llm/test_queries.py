@@ -12,7 +12,8 @@ from tests.llm import test_simhash
 from tests.oracle import connect, difference
 
 SCHEMAS = {
-    "op1_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+    "op1_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, "
+                          "n_near bigint, near_sha256 string",
     "op2_substring_dedup": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
     "op3_topk_search": "query_id bigint, rank int, vec_id bigint, score bigint",
     "op4_simhash": "doc_id bigint, fingerprint string, component_id bigint",
