@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from churnflow.llm import bpe, decontamination, quality, secret_scan, simhash
-from churnflow.llm.common import read_table, stored
+from churnflow.llm.common import read_table
 from churnflow.llm.queries import tokenizer_path
+from churnflow.session import work_folder, work_scope
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,5 +51,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``, each written and read again, and returns the last one's rows."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = work_folder(spark, name.replace(" ", "-"))
+        # What a stage keeps for itself goes with it.
+        with work_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
