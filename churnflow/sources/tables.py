@@ -41,7 +41,8 @@ def read_csv(
     Types are never guessed: validation sees the cells as written. Cells belong to the names above them: files may have
     their columns in different orders, and a file with other columns fails the read. A row with more cells than its header fails the
     job, unless what is too much is empty; missing cells at its end are null. Cells with line breaks need ``multiline``, which puts
-    lines together to records first, by their quotes, many tasks to a file; without it a file that has such cells is refused.
+    lines together to records first, by their quotes, many tasks to a file, and returns them in no order; without it a file that has such
+    cells is refused.
     """
     options = {"header": True, "inferSchema": False, "escape": '"'}
     names = _reading(what, path, lambda: spark.read.options(**options, multiLine=multiline, enforceSchema=False).csv(path)).columns
