@@ -1,10 +1,14 @@
 """State in parts, ids across deliveries, columns by name."""
 
 import dataclasses
+import math
 import random
 from pathlib import Path
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnflow.functions import ordered
@@ -250,3 +254,37 @@ def test_places_in_the_vocabulary(spark, monkeypatch, broadcast):
     state = sparse.fit_sparse(df, ["s", "n.m"])
     found = sparse.indexed(df.unionByName(spark.createDataFrame([("z", 7)], df.schema)), state).collect()
     assert sorted((r["__index_s"], r["__index_n.m"]) for r in found) == [(0.0, 0.0), (1.0, 0.0), (1.0, 0.0), (1.0, 1.0), (2.0, 2.0)]
+
+
+def test_sparse_model_is_a_table(spark, tmp_path):
+    """The driver holds numbers and an intercept alone, and the fit ends where Spark's own logistic regression does."""
+    rng = random.Random(3)
+    effect = {**{f"a{i}": rng.gauss(0, 2) for i in range(25)}, **{f"b{i}": rng.gauss(0, 1) for i in range(4)}}
+    drawn = [(f"a{int(rng.random() ** 2 * 25)}", f"b{rng.randrange(4)}", 500 + 100 * rng.random(), 7.0) for _ in range(800)]
+    rows = [(a, b, x, u, int(rng.random() < 1 / (1 + math.exp(-(effect[a] + effect[b] + (x - 550) / 30))))) for a, b, x, u in drawn]
+    df = spark.createDataFrame(rows, "a string, b string, x double, same double, label int")
+    model = sparse.fit_sparse_model(df, "label", ["a", "b"], ["x", "same"], 2.5, 20, 1e-2)
+    assert model.weights.columns == ["column", "category", "weight"]
+    assert model.weights.count() == df.select("a").distinct().count() + df.select("b").distinct().count()
+    assert set(model.numbers) == {"x", "same"} and model.numbers["same"] == 0
+    hot = [F.when(F.col(c) == v, 1.0).otherwise(0.0).alias(v) for c, values in (("a", 25), ("b", 4)) for v in (f"{c}{i}" for i in range(values))]
+    weight = F.when(F.col("label") == 1, 2.5).otherwise(1.0).alias("weight")
+    wide = VectorAssembler(inputCols=["x", *effect], outputCol="features").transform(df.select("*", weight, *hot))
+    plain = LogisticRegression(weightCol="weight", regParam=1e-2, maxIter=300, tol=1e-12).fit(wide)
+    both = model.scored(plain.transform(wide).select(*df.columns, vector_to_array("probability")[1].alias("plain")))
+    assert both.where("abs(score - plain) > 1e-5").isEmpty()
+    loaded = sparse.SparseModel.load(spark, model.save(str(tmp_path / "m")))
+    assert (loaded.numbers, loaded.intercept) == (model.numbers, model.intercept)
+
+
+def test_sparse_model_of_one_label(spark):
+    for label in (0, 1):
+        df = spark.createDataFrame([("p", 1.0, label), ("q", 2.0, label)], "part string, x double, label int")
+        assert {r.score for r in sparse.fit_sparse_model(df, "label", ["part"], ["x"]).scored(df).collect()} == {float(label)}
+
+
+@pytest.mark.parametrize("row", [("p", None, 1), ("p", 1.0, None), ("p", 1.0, 2)])
+def test_sparse_model_needs_numbers_and_labels(spark, row):
+    df = spark.createDataFrame([("p", 1.0, 0), ("q", 2.0, 1), row], "part string, x double, label int")
+    with pytest.raises(Exception, match="is missing|neither 0 nor 1"):
+        sparse.fit_sparse_model(df, "label", ["part"], ["x"])
