@@ -2,11 +2,12 @@
 
 import dataclasses
 
+import pytest
 from pyspark.sql import functions as F
 
 from churnflow.operators import training
 from churnflow.operators.split import fit_split
-from churnflow.plans import catalog
+from churnflow.plans import bootstrap, catalog
 from tests.rows import SPEC
 
 
@@ -36,6 +37,23 @@ def test_model_saved_prepares_once(spark, sf_dir, monkeypatch):
     assert made == [1]
 
 
+def test_raw_rows_are_parsed_once(spark, tmp_path, monkeypatch):
+    class Enough(Exception):
+        pass
+
+    def stop(rows, *_):
+        assert rows.count() == 50
+        raise Enough
+
+    raw, times = counted(spark, spark.range(50).select(F.col("id").cast("string").alias(SPEC.id_column)), SPEC.id_column)
+    monkeypatch.setattr(bootstrap, "three_way_split", stop)
+    with pytest.raises(Enough):
+        bootstrap.run_bootstrap(spark, raw, str(tmp_path), SPEC)
+    assert times.value == 50
+    with pytest.raises(ValueError, match="Raw data is empty"):
+        bootstrap.run_bootstrap(spark, raw.limit(0), str(tmp_path), SPEC)
+
+
 def test_rows_are_dealt_to_parts_once(spark):
     rows = [(str(i), i % 7 / 7, i % 2) for i in range(200)]
     df = spark.createDataFrame(rows, f"`{SPEC.id_column}` string, x double, `{SPEC.target}` int")
